@@ -90,8 +90,8 @@ def merge_into(spark: SparkSession, path: str, staged: DataFrame, key: str,
         merged = upsert(current, staged, key, update_columns)
     else:
         merged = staged
-    (merged.repartition(partition_col, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    (merged.hint("rebalance", partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
 def watermark_update(staged: DataFrame, watermark: DataFrame, key: str = "transaction_id") -> DataFrame:

@@ -68,12 +68,14 @@ def load_sales_limited(spark: SparkSession, directory: str, n: int,
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
                 sort_by: Sequence[str] = ()) -> None:
-    """Write parquet; partitioned tables get one clustering shuffle so tasks do not open every folder.
+    """Write parquet, optionally one folder per value of ``partition_by``.
 
-    The shuffle keys also hold the sort columns, so one hot month is spread over many tasks.
+    The rebalance hint lets AQE gather the rows of a folder into files of the advisory size: small
+    folders get one file, a hot one is split over many tasks.
     """
-    if partition_by and sort_by:
-        df = df.repartition(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
