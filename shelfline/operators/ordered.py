@@ -88,7 +88,8 @@ def order_stats(df: DataFrame, key: str, by: Sequence[str] = (), sums: Sequence[
     running["d"] = F.count(F.lit(1)).over(inside)
     local = vals.select(*by, key, "_block", *[f"{k}_here" for k in measures],
                         *[r.alias(f"{k}_run") for k, r in running.items()])
-    joined = local.join(offsets, null_safe(local, offsets, [*by, "_block"]))
+    # The block number is never NULL: plain equality keeps the partitioning of the window.
+    joined = local.join(offsets, (local["_block"] == offsets["_block"]) & null_safe(local, offsets, by))
     zero = F.lit(0)
     return joined.select(
         *[local[c] for c in by], local[key], *[f"{k}_here" for k in measures],

@@ -63,9 +63,13 @@ def eda_dow_summary(sales: DataFrame) -> DataFrame:
 
 
 def with_lift(groups: DataFrame, flag: str, measure: str, out: str) -> DataFrame:
-    """Adds the lift of the true group over the false one, in percent, to a two-row frame."""
-    yes = groups.where(F.col(flag)).agg(F.max(measure).alias("v")).scalar()
-    no = groups.where(~F.col(flag)).agg(F.max(measure).alias("v")).scalar()
+    """Adds the lift of the true group over the false one, in percent.
+
+    The window sees the two or three rows of the flag's groups; the fact is aggregated once.
+    """
+    whole = W.partitionBy()
+    yes = F.max(F.when(F.col(flag), F.col(measure))).over(whole)
+    no = F.max(F.when(~F.col(flag), F.col(measure))).over(whole)
     return groups.withColumn(out, F.round((ratio(yes, no) - 1) * 100, 4))
 
 

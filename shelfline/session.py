@@ -62,4 +62,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_stored: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` wrote, once no result that reads them is needed any more."""
+    jvm, done = spark.sparkContext._jvm, 0
+    while _stored:
+        p = jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        done += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return done

@@ -32,7 +32,8 @@ def stream_incremental_load(spark: SparkSession, source: DataFrame, paths: LoadP
     def load(batch: DataFrame, _: int) -> None:
         batch = batch.drop(event_time).persist()
         try:
-            apply_batch(batch.sparkSession, batch, paths, stores, products, required)
+            if not batch.isEmpty():  # a trigger may bring no rows, only a later watermark
+                apply_batch(batch.sparkSession, batch, paths, stores, products, required)
         finally:
             batch.unpersist()
 
