@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from shelfline.catalog.base import query
-from shelfline.catalog.features import feature_table
+from shelfline.catalog.features import TABLE_SQL, TABLE_VIEWS, feature_table
 from shelfline.functions.exprs import clip_round, mean
 from shelfline.operators import evaluation as ev
 from shelfline.operators.aggregates import daily_sales_agg
@@ -159,15 +159,25 @@ _training_query("train_random_forest", "RandomForest")
 
 @query("train_gbt")
 def _(t):
-    # Each set-up is fitted and tested once; its folds are left to cv_report.
+    # Fitted and tested once each: cross validation of boosting is an option of the caller.
     return tr.results_summary(t.spark, tr.train_all(
         prepared(t)[1], specs("BoostedDepthwise", "BoostedLeafy", "BoostedSampled"), folds=0)).drop("CV_RMSE", "CV_Std")
 
 
-@query("encode_features", "", None)
+def _encoded(name):
+    if name.startswith("rolling_std"):
+        return f"ROUND(COALESCE({name}, 0), 4) AS {name}"
+    kind = "INTEGER" if name in ("is_weekend", "is_holiday", "is_perishable", "has_promotion") else "DOUBLE"
+    return f"COALESCE(CAST(CAST({name} AS {kind}) AS DOUBLE), 0) AS {name}"
+
+
+@query("encode_features", TABLE_VIEWS, f"""WITH {TABLE_SQL.split('WITH ', 1)[1].split(' SELECT d.date, CAST(d.store_id', 1)[0]},
+ t AS (SELECT d.date, CAST(d.store_id{TABLE_SQL.split(' SELECT d.date, CAST(d.store_id', 1)[1]})
+ SELECT date, store_id, product_id, {', '.join(_encoded(n) for n in tr.FEATURES)} FROM t""")
 def _(t):
     rows, used, _ = tr.encode_features(prepared(t)[0])
-    return rows.select("date", "store_id", "product_id", *used)
+    stds = [n for n in used if n.startswith("rolling_std")]
+    return rows.select("date", "store_id", "product_id", *used).withColumns({n: F.round(n, 4) for n in stds})
 
 
 @query("cross_validate")
@@ -213,6 +223,13 @@ def _(t):
     return tr.top_features(tr.feature_importance(t.spark, results, p.names))
 
 
+@query("feature_importance_by_model")
+def _(t):
+    p = prepared(t)[1]
+    results = tr.train_all(p, specs("RandomForest"), folds=0)
+    return tr.importance_by_model(tr.feature_importance(t.spark, results, p.names), ["RandomForest"])
+
+
 @query("learning_curve")
 def _(t):
     return tr.learning_curve(t.spark, specs("LinearRegression")[0], prepared(t)[1])

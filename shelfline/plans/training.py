@@ -7,6 +7,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -28,6 +29,7 @@ log = logging.getLogger(__name__)
 SEED = 42
 TEST_SIZE = 0.2
 CV_FOLDS = 3
+PARALLEL_FITS = 4
 # Hyperparameters.
 RIDGE_ALPHA = 1.0
 LASSO_ALPHA = 0.1
@@ -128,14 +130,20 @@ def score_metrics(model, df: DataFrame) -> dict:
     return metrics_regression(model.transform(df), TARGET, "prediction").first().asDict()
 
 
-def fold_rmse(spec: Spec, train: DataFrame, folds: int, label_std: float, rows: int, fold_col: str = "fold") -> list[float]:
-    """RMSE on every fold of a model fitted on the other folds; ``train`` carries the fold number."""
-    out = []
-    for k in range(folds):
-        fit = spec.make(rows * (folds - 1) // folds, label_std).fit(train.where(F.col(fold_col) != k))
-        scored = fit.transform(train.where(F.col(fold_col) == k))
-        out.append(metrics_regression(scored, TARGET, "prediction", places=None).first().rmse)
-    return out
+def in_parallel(fn: Callable, items: Sequence, parallelism: int = PARALLEL_FITS) -> list:
+    """Run independent fits side by side, as Spark's own cross validator does; results keep their order."""
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(fn, items, chunksize=1)
+
+
+def one_fold(spec: Spec, train: DataFrame, fold: int, folds: int, label_std: float, rows: int) -> float:
+    """RMSE on one fold of a model fitted on the other folds; ``train`` carries the fold number."""
+    fit = spec.make(rows * (folds - 1) // folds, label_std).fit(train.where(F.col("fold") != fold))
+    return metrics_regression(fit.transform(train.where(F.col("fold") == fold)), TARGET, "prediction", places=None).first().rmse
+
+
+def fold_rmse(spec: Spec, train: DataFrame, folds: int, label_std: float, rows: int) -> list[float]:
+    return in_parallel(lambda k: one_fold(spec, train, k, folds, label_std, rows), range(folds))
 
 
 def _mean_std(values: Sequence[float]) -> tuple[float, float]:
@@ -149,21 +157,37 @@ def cross_validate(spec: Spec, prepared: Prepared, folds: int = CV_FOLDS) -> tup
     return (*_mean_std(scores), scores)
 
 
-def train_all(prepared: Prepared, specs: Sequence[Spec] | None = None, folds: int = CV_FOLDS) -> list[Trained]:
-    """Fit and evaluate every model; one that fails is logged and left out."""
-    results = []
+def train_all(prepared: Prepared, specs: Sequence[Spec] | None = None, folds: int = CV_FOLDS,
+              parallelism: int = PARALLEL_FITS) -> list[Trained]:
+    """Fit and evaluate every model; one that fails is logged and left out.
+
+    The fits on the whole training part and on the folds are independent jobs and share the cluster.
+    """
+    specs = list(specs or model_specs())
     with_folds = time_folds(prepared.train, folds).persist() if folds else None
-    for spec in specs or model_specs():
+
+    def work(item):
+        spec, fold = item
         try:
+            if fold is not None:
+                return one_fold(spec, with_folds, fold, folds, prepared.label_std, prepared.rows)
             model = spec.make(prepared.rows, prepared.label_std).fit(prepared.train)
-            cv = _mean_std(fold_rmse(spec, with_folds, folds, prepared.label_std, prepared.rows)) if folds else (float("nan"),) * 2
-            results.append(Trained(
-                spec.name, PipelineModel([*prepared.stages.stages, model]), score_metrics(model, prepared.train),
-                score_metrics(model, prepared.test), round(cv[0], 4), round(cv[1], 4)))
+            return model, score_metrics(model, prepared.train), score_metrics(model, prepared.test)
         except Exception:  # noqa: BLE001 - one bad model must not stop the others
             log.exception("training %s failed", spec.name)
+            return None
+
+    items = [(s, k) for s in specs for k in [None, *range(folds)]]
+    done = in_parallel(work, items, parallelism)
     if with_folds is not None:
         with_folds.unpersist()
+    results = []
+    for i, spec in enumerate(specs):
+        fit, *scores = done[i * (folds + 1):(i + 1) * (folds + 1)]
+        if fit is None or None in scores:
+            continue
+        cv, std = _mean_std(scores) if scores else (float("nan"), float("nan"))
+        results.append(Trained(spec.name, PipelineModel([*prepared.stages.stages, fit[0]]), fit[1], fit[2], round(cv, 4), round(std, 4)))
     return results
 
 
@@ -240,18 +264,22 @@ def learning_curve(spark: SparkSession, spec: Spec, prepared: Prepared, sizes: S
     """
     bucket = F.pmod(F.xxhash64("date", *TIES), F.lit(1000)) / 1000.0
     base = time_folds(prepared.train, folds).withColumn("_u", bucket).persist()
-    rows = []
-    for size in sizes:
-        train_scores, val_scores, used = [], [], 0
-        for k in range(folds):
-            part = base.where((F.col("fold") != k) & (F.col("_u") < size))
-            n = part.count()
-            used += n
-            model = spec.make(n, prepared.label_std).fit(part)
-            train_scores.append(metrics_regression(model.transform(part), TARGET, places=None).first().rmse)
-            val_scores.append(metrics_regression(model.transform(base.where(F.col("fold") == k)), TARGET, places=None).first().rmse)
-        rows.append((size, used // folds, *_mean_std(train_scores), *_mean_std(val_scores)))
+
+    def work(item):
+        size, k = item
+        part = base.where((F.col("fold") != k) & (F.col("_u") < size))
+        n = part.count()
+        model = spec.make(n, prepared.label_std).fit(part)
+        train_rmse, val_rmse = (metrics_regression(model.transform(d), TARGET, places=None).first().rmse
+                                for d in (part, base.where(F.col("fold") == k)))
+        return n, train_rmse, val_rmse
+
+    done = in_parallel(work, [(s, k) for s in sizes for k in range(folds)])
     base.unpersist()
+    rows = []
+    for i, size in enumerate(sizes):
+        n, train_scores, val_scores = zip(*done[i * folds:(i + 1) * folds])
+        rows.append((size, sum(n) // folds, *_mean_std(train_scores), *_mean_std(val_scores)))
     return spark.createDataFrame(rows, "share DOUBLE, train_rows BIGINT, train_rmse DOUBLE, train_std DOUBLE, val_rmse DOUBLE, val_std DOUBLE")
 
 

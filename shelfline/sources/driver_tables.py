@@ -34,9 +34,10 @@ class DriverTables:
     def _sales_base(self) -> DataFrame:
         percent = F.round(F.col("l_discount") * 100).cast("int")
         # Exact decimal product: engines round ties of a double product differently.
+        # Up to 18 digits a decimal is stored as one long.
         amount = (F.col("l_extendedprice").cast("decimal(12,2)")
                   * (F.lit(100) - percent).cast("decimal(3,0)")
-                  * F.lit("0.01").cast("decimal(3,2)"))
+                  * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,4)")
         return self.raw("lineitem").select(
             F.col("l_orderkey").alias("transaction_id"),
             F.col("l_shipdate").cast("date").alias("date"),
