@@ -11,12 +11,12 @@ from pyspark.sql import Window as W
 from shelfline.functions.exprs import ratio
 from shelfline.operators.ordered import block_of, one_task_ok, range_cuts
 from shelfline.operators.promotions import promo_days
-from shelfline.session import materialize
 
 LAGS = (7, 14, 30)
 WINDOWS = (7, 14, 30)
 EXTREMES_WINDOW = 7
 ENTITY_ROWS = 30
+STORE_MEAN, PRODUCT_MEAN = "store_avg_daily_sales_30d", "product_avg_daily_sales_30d"
 KEYS = ["store_id", "product_id"]
 TARGET = "daily_quantity"
 
@@ -42,23 +42,23 @@ def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in names if c in df.columns]
 
 
-def series() -> W:
+def series(by: Sequence[str] = KEYS) -> W:
     """Order of one series. It has one row per day, so its size is bounded by the calendar."""
-    return W.partitionBy(*KEYS).orderBy("date")
+    return W.partitionBy(*by).orderBy("date")
 
 
-def lag_columns(lags: Sequence[int] = LAGS) -> dict[str, Column]:
-    w = series()
+def lag_columns(lags: Sequence[int] = LAGS, by: Sequence[str] = KEYS) -> dict[str, Column]:
+    w = series(by)
     out = {f"sales_lag_{n}": F.lag("daily_revenue", n).over(w) for n in lags}
     out.update({f"qty_lag_{n}": F.lag("daily_quantity", n).over(w) for n in lags})
     return out
 
 
-def rolling_columns(windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+def rolling_columns(windows: Sequence[int] = WINDOWS, by: Sequence[str] = KEYS) -> dict[str, Column]:
     """Statistics of the previous n rows, the current one excluded."""
     out = {}
     for n in windows:
-        w = series().rowsBetween(-n, -1)
+        w = series(by).rowsBetween(-n, -1)
         out[f"rolling_mean_{n}"] = ratio(F.sum("daily_revenue").over(w), F.count("daily_revenue").over(w))
         out[f"rolling_std_{n}"] = F.stddev_samp(F.col("daily_revenue").cast("double")).over(w)
         if n == EXTREMES_WINDOW:
@@ -115,12 +115,13 @@ def feat_promotion(df: DataFrame, promotions: DataFrame | None) -> DataFrame:
 
 
 def previous_rows_mean(df: DataFrame, value: str, group: str, inner: str, rows: int, out: str,
-                       small: bool = False, cuts: int = 256) -> DataFrame:
+                       small: bool = False, cuts: int = 256, keep_block: bool = False) -> DataFrame:
     """Mean of ``value`` over the previous ``rows`` rows of ``group`` in (``inner``, date) order.
 
     A group can hold a large part of all rows. Unless the frame is proven small it is therefore cut
     into blocks of ``inner`` values; each block also receives the last ``rows`` rows before it, taken
-    from the tails of the preceding blocks, and is then windowed on its own.
+    from the tails of the preceding blocks, and is then windowed on its own. ``keep_block`` leaves the
+    block number in the result, for later windows that can use the same partitioning.
     """
     keyed = df if small else df.withColumn("_cuts", range_cuts(df, inner, cuts)).withColumn(
         "_block", block_of(F.col(inner), F.col("_cuts"))).drop("_cuts")
@@ -142,7 +143,8 @@ def previous_rows_mean(df: DataFrame, value: str, group: str, inner: str, rows:
             .select(*part, F.explode(F.slice("_all", start, rows)).alias("_r"))
             .select(*part, f"_r.{inner}", "_r.date", f"_r.{value}", F.lit(True).alias("_halo")))
     both = keyed.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    return both.withColumn(out, mean).where(~F.col("_halo")).drop("_halo", "_block")
+    done = both.withColumn(out, mean).where(~F.col("_halo")).drop("_halo")
+    return done if keep_block else done.drop("_block")
 
 
 def entity_day_mean(df: DataFrame, entity: str, days: int, out: str) -> DataFrame:
@@ -157,12 +159,11 @@ def entity_day_mean(df: DataFrame, entity: str, days: int, out: str) -> DataFram
 def feat_entity_avg(df: DataFrame, rows: int = ENTITY_ROWS, by_day: bool = False,
                     one_task_rows: int | None = None, cuts: int = 256) -> DataFrame:
     """Store and product means over the previous ``rows`` rows (or days) of the entity."""
-    store, product = "store_avg_daily_sales_30d", "product_avg_daily_sales_30d"
     if by_day:
-        return entity_day_mean(entity_day_mean(df, "store_id", rows, store), "product_id", rows, product)
+        return entity_day_mean(entity_day_mean(df, "store_id", rows, STORE_MEAN), "product_id", rows, PRODUCT_MEAN)
     df, small = one_task_ok(df, limit=one_task_rows)
-    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", rows, store, small, cuts)
-    return previous_rows_mean(df, "daily_revenue", "product_id", "store_id", rows, product, small, cuts)
+    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", rows, STORE_MEAN, small, cuts)
+    return previous_rows_mean(df, "daily_revenue", "product_id", "store_id", rows, PRODUCT_MEAN, small, cuts)
 
 
 def feat_table(daily: DataFrame, calendar: DataFrame, stores: DataFrame, products: DataFrame,
@@ -171,21 +172,21 @@ def feat_table(daily: DataFrame, calendar: DataFrame, stores: DataFrame, product
                one_task_rows: int | None = None) -> DataFrame:
     """All features of every series row that has a first lag.
 
-    The daily totals are stored once. The entity means come first, while rows are narrow; the series
-    windows share one shuffle, and the dimensions are joined afterwards.
+    Promotions and weather join first, while rows are narrow and still partitioned by the daily
+    aggregation; their keys are unique, so no row is added. The result is stored once. A store's rows
+    are then ordered by product and date for the store mean; a series is a run of that order, so its
+    lags and rolling windows need no further shuffle or sort. The product mean and the dimensions
+    follow.
     """
-    keep = ["date", *KEYS, "daily_quantity", "daily_revenue"]
-    df = feat_entity_avg(daily.select(*keep), one_task_rows=one_task_rows)
-    df = df.withColumns({**lag_columns(lags), **rolling_columns(windows)})
-    df = df.dropna(subset=[f"sales_lag_{lags[0]}"])
-    df = feat_calendar(df, calendar)
-    df = feat_store(df, stores)
-    df = feat_product(df, products)
+    df = daily.select("date", *KEYS, "daily_quantity", "daily_revenue")
+    if promotions is not None:
+        df = feat_promotion(df, promotions)
     if weather is not None:
         df = feat_weather(df, weather)
-    return feat_promotion(df, promotions) if promotions is not None else df
-
-
-def stored_features(features: DataFrame) -> DataFrame:
-    """The feature table written once, for the many passes of training."""
-    return materialize(features, "features")
+    df, small = one_task_ok(df, limit=one_task_rows)
+    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", ENTITY_ROWS, STORE_MEAN, small, keep_block=True)
+    by = KEYS if small else ["store_id", "_block", "product_id"]
+    df = df.withColumns({**lag_columns(lags, by), **rolling_columns(windows, by)}).drop("_block")
+    df = previous_rows_mean(df, "daily_revenue", "product_id", "store_id", ENTITY_ROWS, PRODUCT_MEAN, small)
+    df = df.dropna(subset=[f"sales_lag_{lags[0]}"])
+    return feat_product(feat_store(feat_calendar(df, calendar), stores), products)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Longest promotion that is expanded to days; longer ones are matched by blocks of days.
 DAY_EXPANSION_LIMIT = 60
 BLOCK_DAYS = 32
+DAY_KEYS = ["date", "store_id", "product_id"]
 
 
 def promo_expand_days(promotions: DataFrame) -> DataFrame:
@@ -27,42 +28,40 @@ def _block(date: str):
     return F.floor(F.datediff(date, F.lit("1970-01-01")) / BLOCK_DAYS)
 
 
-def active_discount(sales_keys: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Largest active discount per (date, store, product) of ``sales_keys``; keys without one are absent.
+def with_active_discount(sales: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Sales with ``promotion_discount``: the largest discount active that day, NULL without one.
 
-    Promotions of normal length become days and meet the keys in a plain equi-join. Longer ones are
-    spread over blocks of days instead, so their row count stays small, and the exact range test
-    follows inside the block.
+    Promotions of normal length become days and meet the sales in a plain equi-join with at most one
+    match. Longer ones are spread over blocks of days, so their row count stays small; only sales of
+    their store and product are tested against them, and the result joins on the same keys.
     """
-    keys = sales_keys.select("date", "store_id", "product_id").distinct()
     span = F.datediff("end_date", "start_date")
-    short = promo_days(promotions.where(span < DAY_EXPANSION_LIMIT)).drop("has_promotion")
-    blocks = F.explode(F.sequence(_block("start_date"), _block("end_date"))).alias("block")
-    long = promotions.where(span >= DAY_EXPANSION_LIMIT).select(
-        "store_id", "product_id", "discount_percent", "start_date", "end_date", blocks)
-    in_short = keys.join(short, ["date", "store_id", "product_id"])
-    in_long = (keys.withColumn("block", _block("date")).join(long, ["store_id", "product_id", "block"])
-               .where(F.col("date").between(F.col("start_date"), F.col("end_date")))
-               .select("date", "store_id", "product_id", F.col("discount_percent").alias("promotion_discount")))
-    return in_short.unionByName(in_long).groupBy("date", "store_id", "product_id").agg(
-        F.max("promotion_discount").alias("promotion_discount"))
+    short = promo_days(promotions.where(span < DAY_EXPANSION_LIMIT)).select(*DAY_KEYS, F.col("promotion_discount").alias("_short"))
+
+    long = promotions.where(span >= DAY_EXPANSION_LIMIT)
+    blocks = F.explode(F.sequence(_block("start_date"), _block("end_date"))).alias("_block")
+    pieces = long.select("store_id", "product_id", "discount_percent", "start_date", "end_date", blocks)
+    keys = sales.select(*DAY_KEYS).join(long.select("store_id", "product_id").distinct(), ["store_id", "product_id"], "left_semi")
+    hits = (keys.distinct().withColumn("_block", _block("date")).join(pieces, ["store_id", "product_id", "_block"])
+            .where(F.col("date").between(F.col("start_date"), F.col("end_date")))
+            .groupBy(*DAY_KEYS).agg(F.max("discount_percent").alias("_long")))
+    return (sales.join(short, DAY_KEYS, "left").join(hits, DAY_KEYS, "left")
+            .withColumn("promotion_discount", F.greatest("_short", "_long")).drop("_short", "_long"))
 
 
 def promo_range_join(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     """Sales with ``in_promotion``: whether a promotion of that store and product is active that day."""
-    active = active_discount(sales, promotions)
-    return (sales.join(active, ["date", "store_id", "product_id"], "left")
+    return (with_active_discount(sales, promotions)
             .withColumn("in_promotion", F.col("promotion_discount").isNotNull()).drop("promotion_discount"))
 
 
 def promo_effective_price(sales: DataFrame, promotions: DataFrame, base_price: str = "base_price") -> DataFrame:
     """Price each sale by its active promotion; of overlapping promotions the largest discount counts."""
-    active = active_discount(sales, promotions)
     pct = F.coalesce(F.col("promotion_discount"), F.lit(0))
-    hundred = (F.lit(100) - pct).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)")
-    price = F.round(F.col(base_price).cast("decimal(12,2)") * hundred, 2)
-    priced = sales.join(active, ["date", "store_id", "product_id"], "left").withColumn("unit_price", price)
-    return (priced
+    share = (F.lit(100) - pct).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)")
+    price = F.round(F.col(base_price).cast("decimal(12,2)") * share, 2)
+    return (with_active_discount(sales, promotions)
+            .withColumn("unit_price", price)
             .withColumn("total_amount", F.round(F.col("unit_price") * F.col("quantity"), 2))
             .withColumn("discount_applied", pct > 0)
             .withColumn("discount_percent", pct)
