@@ -7,9 +7,9 @@ from shelfline.catalog.base import query
 from shelfline.catalog.reports import CATEGORY, COHORT, MONTHLY
 from shelfline.functions import calendar as cal
 from shelfline.functions import exprs
-from shelfline.functions.exprs import mean, month_of, ratio
+from shelfline.functions.exprs import month_of, ratio
 from shelfline.operators import joins, ordered, promotions
-from shelfline.operators.aggregates import daily_sales_agg, row_counts, total_by
+from shelfline.operators.aggregates import daily_sales_agg, total_by
 from shelfline.operators.features import feat_calendar, feat_product, feat_store, feat_weather
 from shelfline.operators.quality import require_columns
 from shelfline.plans import reports, summaries
@@ -29,7 +29,7 @@ def _(t):
  ORDER BY l_orderkey, lineitem.l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity LIMIT 1000""")
 def _(t):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"]
-    return tables.first_rows(tables.load_table(t.spark, t.path, "lineitem"), 1000, keys).select(*keys)
+    return ordered.smallest_rows(tables.load_table(t.spark, t.path, "lineitem"), 1000, keys).select(*keys)
 
 
 @query("date_parsing", "", """SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS date,

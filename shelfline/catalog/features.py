@@ -112,13 +112,14 @@ def _(t):
     return feat.feat_promotion(keyed(daily(t)), t.series_promotions)
 
 
-TABLE_SQL = f"""WITH {PROMO_CTE}, x AS (SELECT d.date, d.store_id, d.product_id, CAST(daily_quantity AS BIGINT) AS daily_quantity,
-   CAST(daily_revenue AS DOUBLE) AS daily_revenue_d, {LAG_SQL}, {ROLL_SQL}, {ENTITY_SQL} FROM daily d)
- SELECT d.date, CAST(d.store_id AS BIGINT) AS store_id, CAST(d.product_id AS BIGINT) AS product_id, daily_quantity, daily_revenue_d AS daily_revenue,
+TABLE_CTES = f"""{PROMO_CTE}, x AS (SELECT d.date, d.store_id, d.product_id, CAST(daily_quantity AS BIGINT) AS daily_quantity,
+   CAST(daily_revenue AS DOUBLE) AS daily_revenue_d, {LAG_SQL}, {ROLL_SQL}, {ENTITY_SQL} FROM daily d)"""
+TABLE_SELECT = f"""SELECT d.date, CAST(d.store_id AS BIGINT) AS store_id, CAST(d.product_id AS BIGINT) AS product_id, daily_quantity, daily_revenue_d AS daily_revenue,
   d.* EXCLUDE (date, store_id, product_id, daily_quantity, daily_revenue_d), {CAL_SQL}, {STORE_SQL}, {PRODUCT_SQL}, {WEATHER_SQL}, {PROMO_SQL}
  FROM x d LEFT JOIN calendar c ON d.date = c.date LEFT JOIN series_stores st ON d.store_id = st.store_id
  LEFT JOIN series_products p ON d.product_id = p.product_id LEFT JOIN series_weather w ON d.date = w.date AND d.store_id = w.store_id
  {PROMO_JOIN} WHERE sales_lag_7 IS NOT NULL"""
+TABLE_SQL = f"WITH {TABLE_CTES} {TABLE_SELECT}"
 TABLE_VIEWS = "daily calendar series_stores series_products series_weather series_promotions"
 
 

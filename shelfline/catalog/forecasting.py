@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from shelfline.catalog.base import query
-from shelfline.catalog.features import TABLE_SQL, TABLE_VIEWS, feature_table
+from shelfline.catalog.features import TABLE_CTES, TABLE_SELECT, TABLE_VIEWS, feature_table
 from shelfline.functions.exprs import clip_round, mean
 from shelfline.operators import evaluation as ev
 from shelfline.operators.aggregates import daily_sales_agg
@@ -171,8 +171,7 @@ def _encoded(name):
     return f"COALESCE(CAST(CAST({name} AS {kind}) AS DOUBLE), 0) AS {name}"
 
 
-@query("encode_features", TABLE_VIEWS, f"""WITH {TABLE_SQL.split('WITH ', 1)[1].split(' SELECT d.date, CAST(d.store_id', 1)[0]},
- t AS (SELECT d.date, CAST(d.store_id{TABLE_SQL.split(' SELECT d.date, CAST(d.store_id', 1)[1]})
+@query("encode_features", TABLE_VIEWS, f"""WITH {TABLE_CTES}, t AS ({TABLE_SELECT})
  SELECT date, store_id, product_id, {', '.join(_encoded(n) for n in tr.FEATURES)} FROM t""")
 def _(t):
     rows, used, _ = tr.encode_features(prepared(t)[0])

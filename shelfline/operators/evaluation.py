@@ -82,7 +82,8 @@ def ensemble(predictions: DataFrame, keys: Sequence[str], model: str = "model",
     """
     rmse = metrics_regression(predictions, label, prediction, by=[model], places=None).select(
         F.col(model), (1 / F.col("rmse")).alias("w"))
-    weighted = predictions.join(rmse, model)
+    # One row per model: broadcasting it keeps the predictions from being shuffled on a few model names.
+    weighted = predictions.join(F.broadcast(rmse), model)
     return weighted.groupBy(*keys).agg(
         F.first(label).alias("actual"), F.avg(prediction).alias("simple"),
         (F.sum(F.col(prediction) * F.col("w")) / F.sum("w")).alias("weighted"))

@@ -120,6 +120,23 @@ def kth_smallest(df: DataFrame, key: str, k: Column) -> DataFrame:
     return stats.agg(F.min(F.when((F.col("n_le") >= k) & (k > 0), F.col(key))).alias(key))
 
 
+def smallest_rows(df: DataFrame, n: int, order_by: Sequence[str], limit: int | None = None) -> DataFrame:
+    """The first ``n`` rows in the order of the given columns.
+
+    Up to the one-task bound this is Spark's top-n. A larger ``n`` is answered by locating the n-th key
+    and filtering, so the rows stay where they are; only rows equal in every order column are cut.
+    """
+    if n <= (ONE_TASK_ROWS if limit is None else limit):
+        return df.orderBy(*order_by).limit(n)
+    keyed = df.withColumn("_key", F.struct(*order_by))
+    last = kth_smallest(keyed, "_key", F.lit(n)).first()["_key"]
+    if last is None:  # fewer than n rows
+        return df
+    at = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, last)])
+    below = keyed.where(F.col("_key") < at).drop("_key")
+    return below.unionByName(keyed.where(F.col("_key") == at).drop("_key").limit(n - below.count()))
+
+
 # ---------------------------------------------------------------------------------------------
 # Ranking operators. Each takes the plain window when the frame is proven small and the block form
 # otherwise; both give the same numbers. NULL values rank last in either direction.

@@ -11,6 +11,7 @@ from shelfline.functions.exprs import (abc_class, avg_temperature, growth_pct, m
                                        temperature_band)
 from shelfline.operators.ordered import (add_ntile, add_percent_rank, add_rank, add_running_total,
                                          one_task_ok)
+from shelfline.session import materialize
 
 
 def report_monthly_trends(sales: DataFrame) -> DataFrame:
@@ -79,7 +80,8 @@ def report_store_ranking(stores: DataFrame, sales: DataFrame, one_task_rows: int
             "regional_rev_per_sqft": ratio(F.sum(per_sqft).over(region), F.count(per_sqft).over(region)),
         }).where(F.col("region").isNotNull())
     else:
-        ranked = ranked.join(regional_benchmarks(metrics), "region")
+        # Stored first, so that the planner knows its size: a few rows are broadcast, many are not.
+        ranked = ranked.join(materialize(regional_benchmarks(metrics), "regions"), "region")
     revenue_per_sqft = F.round(ratio("total_revenue", "size_sqft"), 2)
     return ranked.select(
         "store_id", "store_name", "region", "store_format", "size_sqft", "open_date",

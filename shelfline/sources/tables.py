@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import schemas
+from shelfline.operators.ordered import smallest_rows
 
 DATE_COLUMNS = ["date", "start_date", "end_date", "first_purchase_date", "registration_date"]
 
@@ -56,14 +57,10 @@ def load_all(spark: SparkSession, directory: str, fmt: str = "parquet") -> dict[
     return {name: load_table(spark, directory, name, fmt) for name in schemas.DIMENSIONS}
 
 
-def first_rows(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
-    """The first ``n`` rows under an explicit order (distributed top-n, not a full sort)."""
-    return df.orderBy(*order_by).limit(n)
-
-
 def load_sales_limited(spark: SparkSession, directory: str, n: int,
                        order_by: Sequence[str] = ("transaction_id",), fmt: str = "parquet") -> DataFrame:
-    return first_rows(load_table(spark, directory, "sales_transactions", fmt), n, order_by)
+    """The first ``n`` rows of the fact under an explicit order, so that repeated loads agree."""
+    return smallest_rows(load_table(spark, directory, "sales_transactions", fmt), n, order_by)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),

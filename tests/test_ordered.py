@@ -104,3 +104,15 @@ def test_blocked_rolling_mean(spark, cuts, rows):
     got = {key(r): r.m for r in previous_rows_mean(df, "v", "store_id", "product_id", rows, "m", cuts=cuts).collect()}
     assert want.keys() == got.keys()
     assert all((want[k] is None and got[k] is None) or abs(want[k] - got[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("n", [1, 170, 400, 10_000])
+def test_first_rows_both_forms(frame, n):
+    known = frame.where("v IS NOT NULL").select("v", "id")
+    plain, filtered = (sorted(map(tuple, o.smallest_rows(known, n, ["v", "id"], limit).collect())) for limit in (None, 0))
+    assert plain == filtered and len(plain) == min(n, known.count())
+
+
+def test_first_rows_cuts_equal_rows(spark):
+    df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 50, "v INT")
+    assert sorted(r.v for r in o.smallest_rows(df, 70, ["v"], 0).collect()) == [1] * 50 + [2] * 20
