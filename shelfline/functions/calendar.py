@@ -27,6 +27,7 @@ FLOATING_HOLIDAYS = {
 # Days counted down to, with the day that stands for Thanksgiving.
 COUNTDOWN_DAYS = [(12, 25), (11, 27), (7, 4), (1, 1)]
 COUNTDOWN_CAP = 365
+SEASONS = ["Winter", "Spring", "Summer", "Fall"]
 
 
 def nth_weekday(month_start: Column, weekday: str, n: int) -> Column:
@@ -55,9 +56,8 @@ def holiday_name(date: str | Column) -> Column:
 
 
 def season(date: str | Column) -> Column:
-    m = F.month(col(date))
-    return (F.when(m.isin(12, 1, 2), "Winter").when(m.isin(3, 4, 5), "Spring")
-            .when(m.isin(6, 7, 8), "Summer").otherwise("Fall"))
+    """Meteorological season: the quarter of the date one month later."""
+    return F.element_at(F.array(*[F.lit(x) for x in SEASONS]), F.quarter(F.add_months(F.trunc(col(date), "MM"), 1)))
 
 
 def days_to_holiday(date: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,26 +20,29 @@ STORE_MEAN, PRODUCT_MEAN = "store_avg_daily_sales_30d", "product_avg_daily_sales
 KEYS = ["store_id", "product_id"]
 TARGET = "daily_quantity"
 
-
-def feature_names(lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS) -> list[str]:
-    """The model features in their fixed order."""
-    return [
-        *[f"sales_lag_{n}" for n in lags], *[f"qty_lag_{n}" for n in lags],
-        *[f"rolling_mean_{n}" for n in windows], *[f"rolling_std_{n}" for n in windows],
-        "rolling_min_7", "rolling_max_7",
-        "day_of_week", "week_of_year", "month", "quarter", "is_weekend", "is_holiday", "days_to_holiday",
-        "store_size_sqft", "product_price", "is_perishable",
-        "temp_high_f", "temp_low_f", "precipitation_inches",
-        "has_promotion", "promotion_discount",
-        "store_avg_daily_sales_30d", "product_avg_daily_sales_30d",
-    ]
-
-
-FEATURES = feature_names()
-
-
-def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
-    return [c for c in names if c in df.columns]
+# The model features in their stored order.
+FEATURES = [
+    "sales_lag_7", "sales_lag_14", "sales_lag_30", "qty_lag_7", "qty_lag_14", "qty_lag_30",
+    "rolling_mean_7", "rolling_mean_14", "rolling_mean_30", "rolling_std_7", "rolling_std_14", "rolling_std_30",
+    "rolling_min_7", "rolling_max_7", "day_of_week", "week_of_year", "month", "quarter", "is_weekend", "is_holiday",
+    "days_to_holiday", "store_size_sqft", "product_price", "is_perishable", "temp_high_f", "temp_low_f",
+    "precipitation_inches", "has_promotion", "promotion_discount", "store_avg_daily_sales_30d",
+    "product_avg_daily_sales_30d",
+]
+# Dimension columns and the feature each becomes.
+CALENDAR_FEATURES = {c: c for c in (
+    "day_of_week", "week_of_year", "month", "quarter", "is_weekend", "is_holiday", "days_to_holiday", "season")}
+STORE_FEATURES = {"region": "store_region", "store_format": "store_format", "size_sqft": "store_size_sqft"}
+PRODUCT_FEATURES = {"category": "product_category", "subcategory": "product_subcategory",
+                    "unit_price": "product_price", "is_perishable": "is_perishable"}
+WEATHER_FEATURES = {"temp_high_f": "temp_high_f", "temp_low_f": "temp_low_f",
+                    "precipitation_inches": "precipitation_inches", "conditions": "weather_conditions"}
+
+
+def enrich(df: DataFrame, dim: DataFrame, keys: Sequence[str], names: Mapping[str, str]) -> DataFrame:
+    """Left join of the listed dimension columns under their feature names; absent ones are skipped."""
+    picked = [F.col(c).alias(out) for c, out in names.items() if c in dim.columns]
+    return df.join(dim.select(*keys, *picked), list(keys), "left")
 
 
 def series(by: Sequence[str] = KEYS) -> W:
@@ -77,27 +80,19 @@ def feat_rolling(df: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
 
 
 def feat_calendar(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    cols = ["date", "day_of_week", "week_of_year", "month", "quarter", "is_weekend", "is_holiday",
-            "days_to_holiday", "season"]
-    return df.join(calendar.select(*_present(calendar, cols)), "date", "left")
+    return enrich(df, calendar, ["date"], CALENDAR_FEATURES)
 
 
 def feat_store(df: DataFrame, stores: DataFrame) -> DataFrame:
-    dim = stores.select(*_present(stores, ["store_id", "region", "store_format", "size_sqft"]))
-    return df.join(dim.withColumnsRenamed({"region": "store_region", "size_sqft": "store_size_sqft"}),
-                   "store_id", "left")
+    return enrich(df, stores, ["store_id"], STORE_FEATURES)
 
 
 def feat_product(df: DataFrame, products: DataFrame) -> DataFrame:
-    dim = products.select(*_present(products, ["product_id", "category", "subcategory", "unit_price", "is_perishable"]))
-    return df.join(dim.withColumnsRenamed({"category": "product_category", "subcategory": "product_subcategory",
-                                           "unit_price": "product_price"}), "product_id", "left")
+    return enrich(df, products, ["product_id"], PRODUCT_FEATURES)
 
 
 def feat_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
-    cols = ["date", "store_id", "temp_high_f", "temp_low_f", "precipitation_inches", "conditions"]
-    dim = weather.select(*_present(weather, cols)).withColumnsRenamed({"conditions": "weather_conditions"})
-    return df.join(dim, ["date", "store_id"], "left")
+    return enrich(df, weather, ["date", "store_id"], WEATHER_FEATURES)
 
 
 def fill_promotion(df: DataFrame) -> DataFrame:

@@ -97,8 +97,13 @@ def test_promotion_features(spark, promotions):
 
 
 def test_feature_list():
-    assert len(feat.FEATURES) == 31 and feat.TARGET == "daily_quantity"
-    assert feat.feature_names(lags=(1,), windows=(7,))[:4] == ["sales_lag_1", "qty_lag_1", "rolling_mean_7", "rolling_std_7"]
+    assert len(feat.FEATURES) == len(set(feat.FEATURES)) == 31 and feat.TARGET == "daily_quantity"
+
+
+def test_other_lags_and_windows(spark):
+    df = feat.feat_rolling(feat.feat_lags(series(spark, 3), lags=(1,)), windows=(2,))
+    last = {r.daily_quantity: r for r in df.collect()}[3]
+    assert (last.qty_lag_1, last.rolling_mean_2) == (2, 15.0) and "rolling_min_2" not in df.columns
 
 
 def test_entity_means_both_forms(tables):
