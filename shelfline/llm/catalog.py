@@ -83,7 +83,7 @@ def op8_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at 85 % of three-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("tie")
 
 
 def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

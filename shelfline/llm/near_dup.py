@@ -59,7 +59,7 @@ def _as_long(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(words: int, rows: int = ROWS, bands: int = BANDS):
-    """mapInArrow function: (doc_id, text) to set size, 128-bit set digest, band keys and odd sketch."""
+    """mapInArrow function: (doc_id, text, tie) to set size, 128-bit set digest, band keys, odd sketch and tie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,13 +88,13 @@ def signatures(words: int, rows: int = ROWS, bands: int = BANDS):
                     pa.array(digest[0]), pa.array(digest[1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)),
                                              pa.array(_as_long(keys.ravel()))),
-                    pa.array([x.tobytes() for x in sketch], pa.binary()),
-                ], names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"])
+                    pa.array([x.tobytes() for x in sketch], pa.binary()), batch.column(2).slice(chunk.first, n),
+                ], names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch", "tie"])
 
     return run
 
 
-SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
+SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary, tie long"
 
 
 def _similarity(z: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -302,7 +302,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, tie, n_shingles, component_id, kept``; ``tie`` is ``xxhash64`` of the text.
 
     A null text is empty, and an empty set is linked with nothing. Rows that repeat an id are documents of their
     own; the component is named by the smallest id in it, and rows with that id are kept. Rows without an id join
@@ -310,8 +310,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     kept. Other columns play no part. An empty table gives no rows.
     """
     flat.reachable(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialize(base.mapInArrow(signatures(words), SIGNATURE), "near-signatures")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    signed = base.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    signed = materialize(signed.mapInArrow(signatures(words), SIGNATURE), "near-signatures")
     classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = materialize(classes.where("doc_id is not null").withColumn("id", F.xxhash64("d1", "d2")), "near-classes")
@@ -321,6 +322,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     rooted = rooted.withColumn("root", F.coalesce("root", "id"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(names, "root").select("d1", "d2", "n_shingles", "component_id")
-    labelled = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
-    out = labelled.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    labelled = signed.select("doc_id", "tie", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
+    out = labelled.select("doc_id", "tie", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

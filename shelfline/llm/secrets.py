@@ -136,6 +136,10 @@ def candidates(index: DataFrame, queries: dict[int, list[frozenset[str]]]) -> Da
     return met.where("got = full").groupBy("key").agg(F.bit_or("rule").alias("_rules"))
 
 
+def _long_enough(spans: Column, least: int) -> Column:
+    return F.filter(spans, lambda s: F.length(s["part"]) >= least)
+
+
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``_spans``: start, stop, kind, value of every secret, ordered by start and kind.
 
@@ -158,5 +162,5 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
         if i in queries:
             guard = F.col("_rules").bitwiseAND(F.lit(1 << i).cast("long")) != 0
         one = S.match_spans(text, rule.pattern, rule.kind, i, rule.part, guard)
-        parts.append(F.filter(one, lambda s, n=rule.least: F.length(s["part"]) >= n) if rule.least else one)
+        parts.append(_long_enough(one, rule.least) if rule.least else one)
     return out.select(*docs.columns, S.by_start(F.concat(*parts)).alias("_spans"))
