@@ -5,8 +5,9 @@ Other words can reveal an entity because they keep company with it. How strongly
 pointwise mutual information of term and entity over the information of the entity itself is 1 if the term implies
 the entity and 0 if it says nothing. Terms above a first threshold are generalised, above a second removed.
 
-What counts is the number of distinct surroundings in which term and entity stand together: copies of a document
-are no further evidence, and a term needs ``support`` of them.
+What counts is the number of distinct surroundings in which term and entity stand together, and a term needs
+``support`` of them. Copies of a document are no further evidence, nor are near copies: an entity whose surroundings
+mostly repeat the same words has been seen in one place only, and no term is held against it.
 """
 
 from __future__ import annotations
@@ -64,10 +65,11 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def companions(found: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
-    """Stored (entity, term, n_both) with at least ``support`` surroundings, and (entity, n_entity).
+def companions(found: DataFrame, support: int, variety: float) -> DataFrame:
+    """Stored (entity, term, n_both, n_entity, n_around): with at least ``support`` common surroundings.
 
-    ``found``: text, spans.
+    ``n_around`` counts the surroundings of any entity that have the term. Entities are left out whose surroundings
+    have fewer different words than ``variety`` times all words in them. ``found``: text, spans.
     """
     each = found.select("text", F.explode("spans").alias("s"))
     start, stop = F.col("s.start"), F.col("s.stop")
@@ -79,29 +81,32 @@ def companions(found: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
     near = each.select(_entity(F.col("s")).alias("entity"), F.xxhash64(before, after).alias("place"),
                        F.array_distinct(F.concat(_terms(before), _terms(after))).alias("terms"))
     near = materialize(near.groupBy("entity", "place").agg(F.first("terms").alias("terms")), "pii-contexts")
+    together = near.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    together = materialize(together, "pii-together")
+    varied = together.groupBy("entity").agg((F.count(F.lit(1)) / F.sum("n_both")).alias("share")).where(F.col("share") >= variety)
     entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    pairs = near.join(entities, "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
-    pairs = pairs.where(~F.col("term").rlike("^[0-9]+$") & (F.length("term") > 2)).groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    return materialize(pairs, "pii-pairs"), entities
+    around = together.groupBy("term").agg(F.sum("n_both").alias("n_around"))
+    pairs = together.where((F.col("n_both") >= support) & ~F.col("term").rlike("^[0-9]+$") & (F.length("term") > 2))
+    pairs = pairs.join(varied.select("entity"), "entity").join(entities, "entity").join(around, "term")
+    return materialize(pairs, "pii-pairs")
 
 
-def revealing_terms(pairs: DataFrame, entities: DataFrame, spread: DataFrame, texts: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """(term, action, disclosure) of the terms that disclose an entity.
+def disclosure(both: Column, term: Column, entity: Column, n: Column) -> Column:
+    """Pointwise mutual information of term and entity over the information of the entity, from counts among n."""
+    n = F.greatest(n, entity + 1).cast("double")
+    term = F.least(F.greatest(term, both).cast("double"), n)
+    return F.log(both * n / (term * entity)) / -F.log(entity / n)
 
-    ``spread``: (term, n_term), the number of texts with the term; ``texts``: one row, the number of texts.
-    """
-    scored = pairs.join(spread, "term").join(entities, "entity").withColumn("n", texts.scalar())
-    n = F.greatest(F.col("n"), F.col("n_entity") + 1).cast("double")
-    both, entity = F.col("n_both").cast("double"), F.col("n_entity").cast("double")
-    term = F.least(F.greatest(F.col("n_term").cast("double"), both), n)  # a text may hold several surroundings
-    share = F.log(both * n / (term * entity)) / -F.log(entity / n)
-    scored = scored.withColumn("disclosure", share).where(F.col("disclosure") >= generalise)
+
+def revealing_terms(pairs: DataFrame, spread: DataFrame, generalise: float, remove: float) -> DataFrame:
+    """(term, action, disclosure) of the terms that disclose an entity; ``spread``: (term, n_term), texts with the term."""
+    term = F.greatest("n_term", "n_around")
+    scored = pairs.join(spread, "term").withColumn("disclosure", disclosure(F.col("n_both"), term, F.col("n_entity"), F.col("n")))
     action = F.when(F.max("disclosure") >= remove, F.lit("remove")).otherwise(F.lit("generalise"))
-    return scored.groupBy("term").agg(action.alias("action"), F.max("disclosure").alias("disclosure"))
+    return scored.where(F.col("disclosure") >= generalise).groupBy("term").agg(action.alias("action"), F.max("disclosure").alias("disclosure"))
 
 
-def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.8, remove: float = 0.95, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, support: int = 3, variety: float = 0.3, generalise: float = 0.9, remove: float = 0.97, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_spans`` (start, stop, kind, value, by kind and start) and ``_sanitised``, the text without them.
 
     Personal data become ``[EMAIL]`` and so on, generalised terms ``[TERM]``, removed terms nothing. Null text is
@@ -113,13 +118,16 @@ def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.8, remove:
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(text.alias("text"))
     found = plain.withColumn("spans", personal_spans(F.col("text"))).where(F.size("spans") > 0)
-    pairs, entities = companions(found, support)
+    texts = plain.select(F.xxhash64("text").alias("text_key")).distinct().agg(F.count(F.lit(1)))
+    pairs = companions(found, support, variety).withColumn("n", texts.scalar())
+    # A term found around many entities gives none of them away, however often it is found elsewhere.
+    most = disclosure(F.col("n_both"), F.col("n_around"), F.col("n_entity"), F.col("n"))
+    pairs = materialize(pairs.where(most >= generalise), "pii-candidates")
     # Of all words of all texts only those are kept that may be revealing.
     words = plain.select(F.xxhash64("text").alias("text_key"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     words = materialize(words.join(pairs.select("term").distinct(), "term").distinct(), "pii-words")
     spread = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    texts = plain.select(F.xxhash64("text").alias("text_key")).distinct().agg(F.count(F.lit(1)))
-    terms = revealing_terms(pairs, entities, spread, texts, generalise, remove)
+    terms = revealing_terms(pairs, spread, generalise, remove)
     carried = words.join(terms, "term").groupBy("text_key").agg(F.collect_set(F.struct("term", "action")).alias("_marked"))
     carried = materialize(carried, "pii-carriers").withColumnRenamed("text_key", "_key")
     out = docs.withColumn("_key", F.xxhash64(text)).join(carried, "_key", "left")

@@ -54,18 +54,19 @@ def test_terms_that_give_an_entity_away(spark):
     rows += [(100 + i, f"plain text{i} about something else meets nobody later") for i in range(40)]
     rows += [(200, "a letter of Zorblax without the address"), (201, None), (202, "")]
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
-    found = {r.doc_id: r for r in sanitise(df).collect()}
+    found = {r.doc_id: r for r in sanitise(df, generalise=0.8, remove=0.95).collect()}
     assert [s["kind"] for s in found[0]["_spans"]] == ["email", "generalise"]
     assert found[0]["_sanitised"] == "entry0 number0 [TERM] meets [EMAIL] later0 on"
     assert [s["value"] for s in found[200]["_spans"]] == ["Zorblax"]  # also where the entity itself is absent
     assert all(not found[100 + i]["_spans"] for i in range(40))
-    found = {r.doc_id: r for r in sanitise(df, remove=0.9).collect()}
+    found = {r.doc_id: r for r in sanitise(df, generalise=0.8, remove=0.9).collect()}
     assert found[0]["_sanitised"] == "entry0 number0  meets [EMAIL] later0 on" and found[200]["_sanitised"] == "a letter of  without the address"
 
 
 def test_copies_are_no_evidence(spark):
     rows = [(i, "zorblax meets boss@corp.example in town") for i in range(20)] + [(50 + i, f"other text {i}") for i in range(20)]
-    found = sanitise(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    rows += [(100 + i, f"word{i} so zorblax then meets the boss, or boss@trade.example, in this town now") for i in range(20)]
+    found = sanitise(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), generalise=0.5).collect()
     assert {s["kind"] for r in found for s in r["_spans"]} == {"email"}
 
 
