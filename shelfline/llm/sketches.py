@@ -86,12 +86,11 @@ def _block(bounds: list[int], x: Column) -> Column:
     return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
 
 
-def with_next(docs: DataFrame, order: list[str], values: list[str], blocks: int | None = None) -> DataFrame:
-    """``docs`` with ``next_<value>`` of the following row by ``order`` (a number, then ties); the last sees the first.
+def dealt_in_order(docs: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
+    """``docs`` in blocks that follow each other by ``order`` (a number, then ties), each with the head of the next.
 
-    No task sorts the whole table: rows are dealt into blocks between quantiles of the first order column, and the
-    first row of every block visits the block before it. Texts are shuffled once. Nulls come last. Rows equal in
-    all of ``order`` follow each other in any order.
+    Adds ``_block`` and ``_guest``: rows are dealt between quantiles of the first order column, and the first row
+    of every block visits the block before it (that of the first block the last one).
     """
     spark = docs.sparkSession
     if blocks is None:
@@ -103,20 +102,26 @@ def with_next(docs: DataFrame, order: list[str], values: list[str], blocks: int
     cuts = sorted(set(cuts or []))  # as many numbers as there are blocks
     block = F.when(F.col(first).isNull(), F.lit(len(cuts))).otherwise(_block(cuts, F.col(first))).cast("int")
     key = F.struct(F.col(first).isNull().alias("none"), *order)
-    heads = narrow.withColumn("_block", block).groupBy("_block").agg(F.min(key).alias("head"))
-    around = W.orderBy("_block")  # one row a block
-    back = F.coalesce(F.lag("_block").over(around), F.max("_block").over(W.partitionBy()))
-    heads = heads.select(F.col("_block").alias("_own"), back.alias("_to"), *[F.col(f"head.{c}").alias(f"_h{i}") for i, c in enumerate(order)])
+    heads = narrow.withColumn("_own", block).groupBy("_own").agg(F.min(key).alias("head"))
+    around = W.orderBy("_own")  # one row a block
+    back = F.coalesce(F.lag("_own").over(around), F.max("_own").over(W.partitionBy()))
+    heads = heads.select(back.alias("_block"), *[F.col(f"head.{c}").alias(f"_h{i}") for i, c in enumerate(order)])
     heads = materialize(heads, "heads")
-    same = [F.col(c).eqNullSafe(F.col(f"_h{i}")) for i, c in enumerate(order)]
-    cond = same[0]
-    for s in same[1:]:
-        cond = cond & s
-    rows = docs.withColumn("_block", block)
-    guests = docs.join(heads, cond).dropDuplicates([f"_h{i}" for i in range(len(order))]).select(
-        *docs.columns, F.col("_to").cast("int").alias("_block"), F.lit(True).alias("_guest"))
-    dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests)
-    w = W.partitionBy("_block").orderBy("_guest", F.col(first).isNull(), *order)
+    cond = F.lit(True)
+    for i, c in enumerate(order):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_h{i}"))
+    guests = docs.join(heads, cond).dropDuplicates([f"_h{i}" for i in range(len(order))])
+    guests = guests.select(*docs.columns, "_block", F.lit(True).alias("_guest"))
+    return docs.withColumn("_block", block).withColumn("_guest", F.lit(False)).unionByName(guests)
+
+
+def with_next(dealt: DataFrame, order: list[str], values: list[str]) -> DataFrame:
+    """The rows of ``dealt_in_order`` with ``next_<value>`` of the following row; the last sees the first.
+
+    No task sorts the whole table, and texts are shuffled once. Nulls come last. Rows equal in all of ``order``
+    follow each other in any order.
+    """
+    w = W.partitionBy("_block").orderBy("_guest", F.col(order[0]).isNull(), *order)
     out = dealt.select("*", *[F.lead(v).over(w).alias(f"next_{v}") for v in values])
     return out.where(~F.col("_guest")).drop("_guest", "_block")
 
@@ -130,8 +135,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    base = with_sketch(base, "text", "sketch", k)
-    paired = with_next(base, ["doc_id", "tie"], ["text", "sketch"])
+    order = ["doc_id", "tie"]
+    paired = with_next(with_sketch(dealt_in_order(base, order), "text", "sketch", k), order, ["text", "sketch"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     paired = paired.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sketch", edited.alias("edited"),

@@ -208,7 +208,7 @@ def test_fingerprints_of_odd_rows(tricky, nothing, spark):
 def test_next_row_across_blocks(spark, blocks):
     rows = [(i * i % 101, f"t{i}") for i in range(60)] + [(None, "last"), (None, "later")]
     df = spark.createDataFrame(rows, "k BIGINT, t STRING").distinct()
-    got = {(r.k, r.t): r.next_t for r in sketches.with_next(df, ["k", "t"], ["t"], blocks).collect()}
+    got = {(r.k, r.t): r.next_t for r in sketches.with_next(sketches.dealt_in_order(df, ["k", "t"], blocks), ["k", "t"], ["t"]).collect()}
     order = sorted(got, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     assert [got[x] for x in order] == [x[1] for x in order[1:] + order[:1]]
 
