@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from shelfline.catalog.base import query
-from shelfline.catalog.reports import CATEGORY, COHORT, MONTHLY
+from shelfline.catalog.reports import CATEGORY_REVENUE, COHORT_MONTHS
 from shelfline.functions import calendar as cal
 from shelfline.functions import exprs
 from shelfline.functions.exprs import month_of, ratio
@@ -14,9 +14,11 @@ from shelfline.operators.features import feat_calendar, feat_product, feat_store
 from shelfline.operators.quality import require_columns
 from shelfline.plans import reports, summaries
 from shelfline.plans.incremental import append_log, log_rows
-from shelfline.session import fresh_path
+from shelfline.session import fresh_path, materialize
 from shelfline.sources import tables
 
+MONTH_REV = "m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS sale_month, SUM(total_amount) AS rev FROM sales GROUP BY 1)"
+
 # --- A: sources and sinks --------------------------------------------------------------------------
 
 
@@ -110,8 +112,8 @@ def _(t):
     return t.customer_sales.where(F.col("customer_id").isNotNull()).select("transaction_id", "customer_id", "date")
 
 
-@query("filter_range", "customer_sales", f"""WITH {COHORT} SELECT cohort_month, cohort_period, COUNT(*) AS rows_kept FROM ca
- WHERE cohort_period <= 12 GROUP BY 1, 2""")
+@query("filter_range", "customer_sales", f"""WITH {COHORT_MONTHS} SELECT cohort_month, cohort_period, COUNT(*) AS rows_kept FROM visits
+ WHERE cohort_period <= 12 GROUP BY ALL""")
 def _(t):
     period = exprs.months_between_starts("activity_month", "cohort_month")
     return (reports.customer_months(t.customer_sales).withColumn("cohort_period", period)
@@ -134,23 +136,24 @@ def _(t):
     return t.weather.select("date", "store_id", exprs.precipitation_level("precipitation_inches").alias("precipitation_level"))
 
 
-def small_running(t):
-    """Category revenue with its running total, size-checked like the report."""
+def running(t):
+    """Category revenue with its running total."""
     cats = (t.sales.join(t.products.select("product_id", "category", "subcategory"), "product_id")
             .groupBy("category", "subcategory").agg(F.sum("total_amount").alias("revenue")))
-    cats, small = ordered.one_task_ok(cats)
-    return ordered.add_running_total(cats, "revenue", "cumulative_revenue", "total_revenue", small=small)
+    return ordered.add_running_total(materialize(cats, "categories"), "revenue", "cumulative_revenue", "total_revenue")
 
 
-RUNNING = f"""c AS ({CATEGORY}), r AS (SELECT category, subcategory, rev, SUM(rev) OVER (ORDER BY rev DESC) AS cum, SUM(rev) OVER () AS tot FROM c),
- p AS (SELECT *, ROUND(CAST(cum AS DOUBLE) / CAST(tot AS DOUBLE) * 100, 2) AS pct FROM r)"""
+# The running total is the sum over all categories that sold at least as much.
+RUNNING = f"""sold AS ({CATEGORY_REVENUE}), shares AS (SELECT a.category, a.subcategory, SUM(b.revenue) AS up_to,
+   ROUND(CAST(SUM(b.revenue) AS DOUBLE) / (SELECT CAST(SUM(revenue) AS DOUBLE) FROM sold) * 100, 2) AS pct
+  FROM sold a JOIN sold b ON b.revenue >= a.revenue GROUP BY a.category, a.subcategory)"""
 
 
 @query("case_abc", "products sales", f"""WITH {RUNNING} SELECT category, subcategory,
- CASE WHEN pct <= 80 THEN 'A - High Value' WHEN pct <= 95 THEN 'B - Medium Value' ELSE 'C - Low Value' END AS abc_classification FROM p""")
+ CASE WHEN pct <= 80 THEN 'A - High Value' WHEN pct <= 95 THEN 'B - Medium Value' ELSE 'C - Low Value' END AS abc_classification FROM shares""")
 def _(t):
     pct = exprs.ratio_pct("cumulative_revenue", "total_revenue")
-    return small_running(t).select("category", "subcategory", exprs.abc_class(pct).alias("abc_classification"))
+    return running(t).select("category", "subcategory", exprs.abc_class(pct).alias("abc_classification"))
 
 
 @query("case_value_segment", "customer_sales", """WITH m AS (SELECT customer_id, CAST(SUM(total_amount) AS DOUBLE) AS rev FROM customer_sales
@@ -170,7 +173,7 @@ def _(t):
     return orders.select("customer_id", exprs.frequency_segment("n").alias("frequency_segment"))
 
 
-@query("case_guarded_growth", "customer_sales", f"""WITH m AS ({MONTHLY}), p AS (SELECT sale_month, rev, LAG(rev) OVER (ORDER BY sale_month) AS prev FROM m)
+@query("case_guarded_growth", "sales", f"""WITH {MONTH_REV}, p AS (SELECT sale_month, rev, LAG(rev) OVER (ORDER BY sale_month) AS prev FROM m)
  SELECT sale_month, CASE WHEN prev > 0 THEN ROUND(CAST(rev - prev AS DOUBLE) / CAST(prev AS DOUBLE) * 100, 2) END AS growth_pct FROM p""")
 def _(t):
     prev = F.lag("rev").over(W.orderBy("sale_month"))
@@ -212,12 +215,12 @@ def _(t):
         "transaction_id", "product_id", "quantity", "region", "store_format", "category", "subcategory")
 
 
-@query("join_left_preserve_dim", "sales products", """SELECT p.product_id, p.category, CAST(SUM(s.quantity) AS BIGINT) AS units, CAST(SUM(s.total_amount) AS DOUBLE) AS revenue
- FROM products p LEFT JOIN (SELECT * FROM sales WHERE date >= DATE '2001-06-01') s ON p.product_id = s.product_id GROUP BY 1, 2""")
+@query("join_left_preserve_dim", "", """SELECT d.doc_id, d.source, CAST(SUM(l.quality) AS BIGINT) AS good, COUNT(l.doc_id) AS labels
+ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.doc_id, d.source""")
 def _(t):
-    late = t.sales.where(F.col("date") >= F.lit("2001-06-01").cast("date"))
-    return joins.preserve_dimension(t.products.select("product_id", "category"), late, "product_id",
-                                    units=F.sum("quantity"), revenue=F.sum("total_amount"))
+    # Labels cover only some documents, so unmatched rows of the kept side are real.
+    return joins.preserve_dimension(t.raw("documents").select("doc_id", "source"), t.raw("labels"), "doc_id",
+                                    good=F.sum("quality"), labels=F.count("doc_id")).withColumn("labels", F.coalesce("labels", F.lit(0)))
 
 
 @query("join_composite_key", "sales weather", """WITH d AS (SELECT date, store_id, SUM(total_amount) AS rev FROM sales GROUP BY 1, 2)
@@ -240,8 +243,7 @@ def _(t):
                      "product_category", "product_price", "weather_conditions")
 
 
-@query("join_cross_scalar", "products sales", f"""WITH c AS ({CATEGORY}), g AS (SELECT SUM(rev) AS grand FROM c)
- SELECT category, subcategory, CAST(rev AS DOUBLE) AS revenue, CAST(grand AS DOUBLE) AS grand_total FROM c CROSS JOIN g""")
+@query("join_cross_scalar", "products sales", f"""SELECT category, subcategory, CAST(revenue AS DOUBLE) AS revenue, CAST(SUM(revenue) OVER () AS DOUBLE) AS grand_total FROM ({CATEGORY_REVENUE})""")
 def _(t):
     cats = total_by(t.sales, ["product_id"], revenue="total_amount").join(
         t.products.select("product_id", "category", "subcategory"), "product_id")
@@ -262,8 +264,8 @@ def _(t):
     return joins.with_group_mean(store_revenue(t).drop("store_format"), "region", "rev", "region_mean")
 
 
-@query("join_cohort", "customer_sales", f"""WITH {COHORT} SELECT ca.customer_id, ca.cohort_month, cohort_period, CAST(spend AS DOUBLE) AS monthly_spend,
- txns AS monthly_transactions, size AS cohort_size FROM ca JOIN sz ON ca.cohort_month = sz.cohort_month""")
+@query("join_cohort", "customer_sales", f"""WITH {COHORT_MONTHS} SELECT customer_id, cohort_month, cohort_period, CAST(monthly_spend AS DOUBLE) AS monthly_spend,
+ monthly_transactions, COUNT(*) FILTER (cohort_period = 0) OVER (PARTITION BY cohort_month) AS cohort_size FROM visits""")
 def _(t):
     months = reports.customer_months(t.customer_sales)
     first = F.col("activity_month") == F.col("cohort_month")
@@ -273,11 +275,9 @@ def _(t):
         "monthly_spend", "monthly_transactions", "cohort_size")
 
 
-@query("anti_join_orphans", "", """SELECT event_id, user_id FROM events e WHERE NOT EXISTS
- (SELECT 1 FROM orders o WHERE o.o_custkey = e.user_id AND o.o_orderdate >= TIMESTAMP '2001-06-01')""")
+@query("anti_join_orphans", "", """SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def _(t):
-    recent = t.raw("orders").where(F.col("o_orderdate") >= F.lit("2001-06-01").cast("date"))
-    return joins.orphans(t.raw("events").select("event_id", "user_id"), recent, "user_id", "o_custkey")
+    return joins.orphans(t.raw("documents").select("doc_id", "source"), t.raw("labels"), "doc_id")
 
 
 @query("promo_range_join", "sales promotions", """SELECT transaction_id, date, store_id, product_id, CAST(quantity AS BIGINT) AS quantity, EXISTS (SELECT 1 FROM promotions p
@@ -308,13 +308,12 @@ def _(t):
         {"all_rows": facts.select("n").scalar(), "last_date": facts.select("d").scalar()})
 
 
-@query("correlated_not_exists", "sales products", """SELECT product_id, category FROM products p WHERE NOT EXISTS
- (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.date >= DATE '2001-06-01')""")
+@query("correlated_not_exists", "", """SELECT doc_id, lang FROM documents d WHERE NOT EXISTS
+ (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
 def _(t):
-    late = t.sales.where(F.col("date") >= F.lit("2001-06-01").cast("date")).select("product_id")
     return tables.parameterized_query(
-        t.spark, "SELECT product_id, category FROM {products} p WHERE NOT EXISTS (SELECT 1 FROM {late} s WHERE s.product_id = p.product_id)",
-        products=t.products, late=late)
+        t.spark, "SELECT doc_id, lang FROM {docs} d WHERE NOT EXISTS (SELECT 1 FROM {labels} l WHERE l.doc_id = d.doc_id AND l.quality = :good)",
+        args={"good": 1}, docs=t.raw("documents"), labels=t.raw("labels"))
 
 
 # --- E: windows -----------------------------------------------------------------------------------------
@@ -325,9 +324,6 @@ def monthly(t):
     return t.sales.groupBy(month_of("date").alias("sale_month")).agg(F.sum("total_amount").alias("rev"))
 
 
-MONTH_REV = "m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS sale_month, SUM(total_amount) AS rev FROM sales GROUP BY 1)"
-
-
 def _lag_query(n):
     @query(f"win_lag_{n}", "sales", f"""WITH {MONTH_REV} SELECT sale_month, CAST(rev AS DOUBLE) AS rev, CAST(LAG(rev, {n}) OVER (ORDER BY sale_month) AS DOUBLE) AS prev FROM m""")
     def _(t):
@@ -350,51 +346,48 @@ def _(t):
     return monthly(t).select("sale_month", F.sum("rev").over(W.partitionBy(F.year("sale_month")).orderBy("sale_month")).alias("ytd"))
 
 
-def sized_store_revenue(t):
-    return ordered.one_task_ok(store_revenue(t), bound_by=t.stores)
-
-
 @query("win_rank", "stores sales", f"WITH {STORE_REV} SELECT store_id, RANK() OVER (ORDER BY rev DESC NULLS LAST) AS overall_rank FROM s")
 def _(t):
-    df, small = sized_store_revenue(t)
-    return ordered.add_rank(df, "rev", "overall_rank", small=small).select("store_id", "overall_rank")
+    df = materialize(store_revenue(t), "stores")
+    return ordered.add_rank(df, "rev", "overall_rank").select("store_id", "overall_rank")
 
 
 @query("win_dense_rank", "stores sales", f"WITH {STORE_REV} SELECT store_id, DENSE_RANK() OVER (ORDER BY rev DESC NULLS LAST) AS dense_rank FROM s")
 def _(t):
-    df, small = sized_store_revenue(t)
-    return ordered.add_rank(df, "rev", "dense_rank", dense=True, small=small).select("store_id", "dense_rank")
+    df = materialize(store_revenue(t), "stores")
+    return ordered.add_rank(df, "rev", "dense_rank", dense=True).select("store_id", "dense_rank")
 
 
 @query("win_rank_partitioned", "stores sales", f"""WITH {STORE_REV} SELECT store_id, region, store_format,
   RANK() OVER (PARTITION BY region ORDER BY rev DESC NULLS LAST) AS regional_rank,
   RANK() OVER (PARTITION BY store_format ORDER BY rev DESC NULLS LAST) AS format_rank FROM s""")
 def _(t):
-    df, small = sized_store_revenue(t)
-    df = ordered.add_rank(df, "rev", "regional_rank", by=["region"], small=small)
-    return ordered.add_rank(df, "rev", "format_rank", by=["store_format"], small=small).drop("rev")
+    df = materialize(store_revenue(t), "stores")
+    ranked = ordered.add_rank(df, "rev", "regional_rank", by=["region"], of=df)
+    return ordered.add_rank(ranked, "rev", "format_rank", by=["store_format"], of=df).drop("rev")
 
 
 @query("win_ntile", "stores sales", f"WITH {STORE_REV} SELECT store_id, NTILE(4) OVER (ORDER BY rev DESC NULLS LAST, store_id) AS quartile FROM s")
 def _(t):
-    df, small = sized_store_revenue(t)
-    return ordered.add_ntile(df, "rev", "store_id", 4, "quartile", small=small).select("store_id", "quartile")
+    df = materialize(store_revenue(t), "stores")
+    return ordered.add_ntile(df, "rev", "store_id", 4, "quartile").select("store_id", "quartile")
 
 
 @query("win_percent_rank", "stores sales", f"WITH {STORE_REV} SELECT store_id, ROUND(PERCENT_RANK() OVER (ORDER BY rev ASC NULLS LAST) * 100, 1) AS percentile FROM s")
 def _(t):
-    df, small = sized_store_revenue(t)
-    df = ordered.add_percent_rank(df, "rev", "p", small=small)
+    df = materialize(store_revenue(t), "stores")
+    df = ordered.add_percent_rank(df, "rev", "p")
     return df.select("store_id", F.round(F.col("p") * 100, 1).alias("percentile"))
 
 
-@query("win_cumulative", "products sales", f"""WITH {RUNNING} SELECT category, subcategory, CAST(cum AS DOUBLE) AS cumulative_revenue, pct AS cumulative_pct FROM p""")
+@query("win_cumulative", "products sales", f"""WITH {RUNNING} SELECT category, subcategory, CAST(up_to AS DOUBLE) AS cumulative_revenue, pct AS cumulative_pct FROM shares""")
 def _(t):
-    return small_running(t).select("category", "subcategory", "cumulative_revenue",
+    return running(t).select("category", "subcategory", "cumulative_revenue",
                                    exprs.ratio_pct("cumulative_revenue", "total_revenue").alias("cumulative_pct"))
 
 
-COHORT_MATRIX = f"""{COHORT}, r AS (SELECT cohort_month, cohort_period, COUNT(*) AS active, SUM(spend) AS rev FROM ca GROUP BY 1, 2)"""
+COHORT_MATRIX = f"""{COHORT_MONTHS}, matrix AS (SELECT cohort_month, cohort_period, COUNT(*) AS active, SUM(monthly_spend) AS revenue,
+   SUM(COUNT(*) FILTER (cohort_period = 0)) OVER (PARTITION BY cohort_month) AS members FROM visits GROUP BY cohort_month, cohort_period)"""
 
 
 def cohort_matrix(t):
@@ -403,9 +396,8 @@ def cohort_matrix(t):
         F.count(F.lit(1)).alias("active"), F.sum("monthly_spend").alias("rev"))
 
 
-@query("win_cohort_cumulative", "customer_sales", f"""WITH {COHORT_MATRIX} SELECT r.cohort_month, cohort_period,
-  CAST(SUM(rev) OVER (PARTITION BY r.cohort_month ORDER BY cohort_period) AS DOUBLE) / size AS cumulative_per_customer
- FROM r JOIN sz ON r.cohort_month = sz.cohort_month""")
+@query("win_cohort_cumulative", "customer_sales", f"""WITH {COHORT_MATRIX} SELECT cohort_month, cohort_period,
+  CAST(SUM(revenue) OVER (PARTITION BY cohort_month ORDER BY cohort_period) AS DOUBLE) / members AS cumulative_per_customer FROM matrix""")
 def _(t):
     cohort = W.partitionBy("cohort_month")
     size = F.max(F.when(F.col("cohort_period") == 0, F.col("active"))).over(cohort)
@@ -413,11 +405,16 @@ def _(t):
         F.sum("rev").over(cohort.orderBy("cohort_period")), size).alias("cumulative_per_customer"))
 
 
-@query("win_cohort_delta", "customer_sales", f"""WITH {COHORT_MATRIX} SELECT cohort_month, cohort_period,
-  active - LAG(active) OVER (PARTITION BY cohort_month ORDER BY cohort_period) AS active_change FROM r""")
+@query("win_cohort_delta", "customer_sales", f"""WITH {COHORT_MATRIX}, kept AS (SELECT cohort_month, cohort_period, active, ROUND(CAST(active AS DOUBLE) / members * 100, 2) AS rate FROM matrix)
+ SELECT cohort_month, cohort_period, active - LAG(active) OVER w AS active_change, ROUND(rate - LAG(rate) OVER w, 2) AS retention_change_ppt
+ FROM kept WINDOW w AS (PARTITION BY cohort_month ORDER BY cohort_period)""")
 def _(t):
-    w = W.partitionBy("cohort_month").orderBy("cohort_period")
-    return cohort_matrix(t).select("cohort_month", "cohort_period", (F.col("active") - F.lag("active").over(w)).alias("active_change"))
+    cohort = W.partitionBy("cohort_month")
+    w = cohort.orderBy("cohort_period")
+    size = F.max(F.when(F.col("cohort_period") == 0, F.col("active"))).over(cohort)
+    rated = cohort_matrix(t).withColumn("rate", exprs.ratio_pct("active", size))
+    return rated.select("cohort_month", "cohort_period", (F.col("active") - F.lag("active").over(w)).alias("active_change"),
+                        F.round(F.col("rate") - F.lag("rate").over(w), 2).alias("retention_change_ppt"))
 
 
 # --- F: sorts, limits, set operations ---------------------------------------------------------------------
@@ -456,10 +453,9 @@ def _(t):
     return joins.stack([region.withColumn("analysis_type", F.lit("By Region")), fmt.withColumn("analysis_type", F.lit("By Format"))])
 
 
-@query("set_difference", "products sales", "SELECT product_id FROM products EXCEPT SELECT product_id FROM sales WHERE date >= DATE '2001-06-01'")
+@query("set_difference", "", "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def _(t):
-    late = t.sales.where(F.col("date") >= F.lit("2001-06-01").cast("date"))
-    return joins.missing_keys(t.products, late, "product_id")
+    return joins.missing_keys(t.raw("documents"), t.raw("labels"), "doc_id")
 
 
 @query("sample")
@@ -505,7 +501,8 @@ def _(t):
                      F.round(ratio("rev", F.col("store_id") % 4), 2).alias("guarded"))
 
 
-@query("fn_cast_decimal", "products sales", f"""WITH c AS ({CATEGORY}) SELECT category, subcategory, ROUND(CAST(units AS DOUBLE) / NULLIF(txns, 0), 4) AS basket FROM c""")
+@query("fn_cast_decimal", "products sales", """SELECT category, subcategory, ROUND(CAST(SUM(quantity) AS DOUBLE) / nullif(COUNT(DISTINCT transaction_id), 0), 4) AS basket
+ FROM sales JOIN products USING (product_id) GROUP BY ALL""")
 def _(t):
     return reports.category_sales(t.products, t.sales).select(
         "category", "subcategory", F.round(ratio(F.col("category_units").cast("decimal(38,6)"), "category_transactions"), 4).alias("basket"))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.session import materialize
+
 
 def daily_sales_agg(sales: DataFrame) -> DataFrame:
     """Day, store and product totals; transactions are counted, not made distinct."""
@@ -33,3 +35,28 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def total_by(df: DataFrame, keys: Sequence[str], **sums: str) -> DataFrame:
     """Plain sums by key, named ``out=column``."""
     return df.groupBy(*keys).agg(*[F.sum(c).alias(out) for out, c in sums.items()])
+
+
+def with_distinct_counts(df: DataFrame, keys: Mapping[str, Column], sums: Mapping[str, Column],
+                         distinct: Mapping[str, str]) -> DataFrame:
+    """One row per key with sums and exact distinct counts (``out=column``).
+
+    Several distinct counts in one aggregate copy every row once for each of them before the shuffle. Here rows
+    are first added up per key and combination of the counted columns and stored; every count is then an aggregate
+    of its own over that smaller table, and the results, one row per key, are joined. NULL keys are keys.
+    """
+    columns = list(dict.fromkeys(distinct.values()))
+    rows = df.select(*[c.alias(k) for k, c in keys.items()], *[F.col(c).alias(f"_of_{c}") for c in columns],
+                     *[c.alias(n) for n, c in sums.items()])
+    rows = rows.groupBy(*keys, *[f"_of_{c}" for c in columns]).agg(*[F.sum(n).alias(n) for n in sums]) if sums else rows.distinct()
+    reduced = materialize(rows, "reduced")
+    parts = []
+    for i, (out, column) in enumerate(distinct.items()):
+        own = [F.sum(n).alias(n) for n in sums] if i == 0 else []
+        parts.append(reduced.groupBy(*keys).agg(*own, F.count_distinct(f"_of_{column}").alias(out)))
+    total = parts[0]
+    for part in parts[1:]:
+        part = part.withColumnsRenamed({k: f"_{k}" for k in keys})
+        cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        total = total.join(part, cond).drop(*[f"_{k}" for k in keys])
+    return total

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from shelfline.functions.exprs import ratio
-from shelfline.operators.ordered import block_of, one_task_ok, range_cuts
+from shelfline.operators.ordered import block_of, range_cuts
 from shelfline.operators.promotions import promo_days
+from shelfline.session import materialize
 
 LAGS = (7, 14, 30)
 WINDOWS = (7, 14, 30)
@@ -110,22 +111,18 @@ def feat_promotion(df: DataFrame, promotions: DataFrame | None) -> DataFrame:
 
 
 def previous_rows_mean(df: DataFrame, value: str, group: str, inner: str, rows: int, out: str,
-                       small: bool = False, cuts: int = 256, keep_block: bool = False) -> DataFrame:
+                       cuts: int | None = None, keep_block: bool = False) -> DataFrame:
     """Mean of ``value`` over the previous ``rows`` rows of ``group`` in (``inner``, date) order.
 
-    A group can hold a large part of all rows. Unless the frame is proven small it is therefore cut
-    into blocks of ``inner`` values; each block also receives the last ``rows`` rows before it, taken
+    A group can hold a large part of all rows. It is therefore cut into blocks of ``inner`` values; each block also receives the last ``rows`` rows before it, taken
     from the tails of the preceding blocks, and is then windowed on its own. ``keep_block`` leaves the
     block number in the result, for later windows that can use the same partitioning.
     """
-    keyed = df if small else df.withColumn("_cuts", range_cuts(df, inner, cuts)).withColumn(
+    keyed = df.withColumn("_cuts", range_cuts(df, inner, cuts)).withColumn(
         "_block", block_of(F.col(inner), F.col("_cuts"))).drop("_cuts")
-    part = [group] if small else [group, "_block"]
+    part = [group, "_block"]
     frame = W.partitionBy(*part).orderBy(inner, "date").rowsBetween(-rows, -1)
     mean = ratio(F.sum(value).over(frame), F.count(value).over(frame))
-    if small:
-        return keyed.withColumn(out, mean)
-
     last = W.partitionBy(*part).orderBy(F.col(inner).desc(), F.col("date").desc())
     tails = (keyed.select(*part, inner, "date", value, F.row_number().over(last).alias("_rn"))
              .where(F.col("_rn") <= rows)
@@ -152,19 +149,18 @@ def entity_day_mean(df: DataFrame, entity: str, days: int, out: str) -> DataFram
 
 
 def feat_entity_avg(df: DataFrame, rows: int = ENTITY_ROWS, by_day: bool = False,
-                    one_task_rows: int | None = None, cuts: int = 256) -> DataFrame:
+                    cuts: int | None = None) -> DataFrame:
     """Store and product means over the previous ``rows`` rows (or days) of the entity."""
     if by_day:
         return entity_day_mean(entity_day_mean(df, "store_id", rows, STORE_MEAN), "product_id", rows, PRODUCT_MEAN)
-    df, small = one_task_ok(df, limit=one_task_rows)
-    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", rows, STORE_MEAN, small, cuts)
-    return previous_rows_mean(df, "daily_revenue", "product_id", "store_id", rows, PRODUCT_MEAN, small, cuts)
+    df = materialize(df, "series")
+    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", rows, STORE_MEAN, cuts)
+    return previous_rows_mean(df, "daily_revenue", "product_id", "store_id", rows, PRODUCT_MEAN, cuts)
 
 
 def feat_table(daily: DataFrame, calendar: DataFrame, stores: DataFrame, products: DataFrame,
                weather: DataFrame | None = None, promotions: DataFrame | None = None,
-               lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS,
-               one_task_rows: int | None = None) -> DataFrame:
+               lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """All features of every series row that has a first lag.
 
     Promotions and weather join first, while rows are narrow and still partitioned by the daily
@@ -178,10 +174,10 @@ def feat_table(daily: DataFrame, calendar: DataFrame, stores: DataFrame, product
         df = feat_promotion(df, promotions)
     if weather is not None:
         df = feat_weather(df, weather)
-    df, small = one_task_ok(df, limit=one_task_rows)
-    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", ENTITY_ROWS, STORE_MEAN, small, keep_block=True)
-    by = KEYS if small else ["store_id", "_block", "product_id"]
+    df = materialize(df, "series")
+    df = previous_rows_mean(df, "daily_revenue", "store_id", "product_id", ENTITY_ROWS, STORE_MEAN, keep_block=True)
+    by = ["store_id", "_block", "product_id"]
     df = df.withColumns({**lag_columns(lags, by), **rolling_columns(windows, by)}).drop("_block")
-    df = previous_rows_mean(df, "daily_revenue", "product_id", "store_id", ENTITY_ROWS, PRODUCT_MEAN, small)
+    df = previous_rows_mean(df, "daily_revenue", "product_id", "store_id", ENTITY_ROWS, PRODUCT_MEAN)
     df = df.dropna(subset=[f"sales_lag_{lags[0]}"])
     return feat_product(feat_store(feat_calendar(df, calendar), stores), products)

@@ -2,8 +2,8 @@
 
 A window without partition keys, or over a group that holds most rows, runs in a single task. The
 functions here split the value range into blocks instead: equal values are first collapsed into one
-row with a count, every block is sorted on its own, and the counts of the blocks before it (at most
-``CUTS + 1`` rows per group, whatever the data size) supply the offset.
+row with a count, every block is sorted on its own, and the counts of the blocks before it (about one
+row per shuffle partition and group) supply the offset.
 """
 
 from __future__ import annotations
@@ -14,25 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from shelfline.session import materialize
 
-CUTS = 256
-# Largest frame that may pass through one un-partitioned window task.
-ONE_TASK_ROWS = 500_000
-
-
-def one_task_ok(df: DataFrame, bound_by: DataFrame | None = None,
-                limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Decide by row count whether ``df`` may be sorted in one task.
-
-    ``bound_by`` is a cheaper frame known to have at least as many rows (a dimension table). Without
-    it, or when the frame is large, ``df`` is stored first so that it is computed only once.
-    """
-    limit = ONE_TASK_ROWS if limit is None else limit
-    if bound_by is not None and bound_by.count() <= limit:
-        return df, True
-    df = materialize(df, "ordered")
-    return df, df.count() <= limit
+def block_count(df: DataFrame) -> int:
+    """As many blocks as the session shuffles into partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
 
 
 def null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -43,14 +28,14 @@ def null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
-def range_cuts(df: DataFrame, key: str, n: int = CUTS) -> Column:
+def range_cuts(df: DataFrame, key: str, n: int | None = None) -> Column:
     """Sorted array of at most ``n`` cut points of ``key``, as a scalar subquery.
 
     The cuts are the distinct keys with the smallest hashes: an even sample that depends only on the
     data, so every branch of a plan sees the same blocks.
     """
     sample = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct()
-              .orderBy(F.xxhash64("k"), "k").limit(n))
+              .orderBy(F.xxhash64("k"), "k").limit(n or block_count(df)))
     return sample.agg(F.sort_array(F.collect_list("k")).alias("cuts")).scalar()
 
 
@@ -60,7 +45,7 @@ def block_of(key: Column, cuts: Column) -> Column:
 
 
 def order_stats(df: DataFrame, key: str, by: Sequence[str] = (), sums: Sequence[str] = (),
-                cuts: int = CUTS) -> DataFrame:
+                cuts: int | None = None) -> DataFrame:
     """One row per (``by``, ``key``) with totals over the rows at or below that key.
 
     Columns: ``n_here``, ``n_le``, ``n_all`` (rows), ``d_le``, ``d_all`` (distinct keys) and for each
@@ -120,26 +105,27 @@ def kth_smallest(df: DataFrame, key: str, k: Column) -> DataFrame:
     return stats.agg(F.min(F.when((F.col("n_le") >= k) & (k > 0), F.col(key))).alias(key))
 
 
-def smallest_rows(df: DataFrame, n: int, order_by: Sequence[str], limit: int | None = None) -> DataFrame:
-    """The first ``n`` rows in the order of the given columns.
+def smallest_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in the order of the given columns, NULL first.
 
-    Up to the one-task bound this is Spark's top-n. A larger ``n`` is answered by locating the n-th key
-    and filtering, so the rows stay where they are; only rows equal in every order column are cut.
+    The n-th key is located and the rows are filtered by it, so they stay where they are; only of the rows equal
+    to it in every order column some are cut.
     """
-    if n <= (ONE_TASK_ROWS if limit is None else limit):
-        return df.orderBy(*order_by).limit(n)
-    keyed = df.withColumn("_key", F.struct(*order_by))
+    key = F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(c) for c in order_by])
+    keyed = df.withColumn("_key", key)
     last = kth_smallest(keyed, "_key", F.lit(n)).first()["_key"]
     if last is None:  # fewer than n rows
-        return df
-    at = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, last)])
+        return df if n > 0 else df.limit(0)
+    at = F.struct(*[F.struct(F.lit(v.known).alias("known"), F.lit(v.value).cast(df.schema[c].dataType).alias("value")).alias(c)
+                    for c, v in zip(order_by, last)])
     below = keyed.where(F.col("_key") < at).drop("_key")
     return below.unionByName(keyed.where(F.col("_key") == at).drop("_key").limit(n - below.count()))
 
 
 # ---------------------------------------------------------------------------------------------
-# Ranking operators. Each takes the plain window when the frame is proven small and the block form
-# otherwise; both give the same numbers. NULL values rank last in either direction.
+# Ranking operators. NULL values rank last in either direction. ``of`` is a stored frame with the same
+# values, from which the statistics are taken: without it, a chain of these operators would compute
+# each link twice.
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], add: dict[str, Column]) -> DataFrame:
@@ -152,45 +138,39 @@ def _join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], add: dict[
 
 
 def add_rank(df: DataFrame, value: str, out: str, by: Sequence[str] = (), dense: bool = False,
-             small: bool = False) -> DataFrame:
+             of: DataFrame | None = None) -> DataFrame:
     """RANK or DENSE_RANK by ``value`` descending, inside ``by``."""
-    if small:
-        w = W.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
-        return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w).cast("long"))
     unit = "d" if dense else "n"
     rank = F.col(f"{unit}_all") - F.col(f"{unit}_le") + 1
-    return _join_stats(df, order_stats(df, value, by), [*by, value], {out: rank})
+    return _join_stats(df, order_stats(of or df, value, by), [*by, value], {out: rank})
 
 
-def add_percent_rank(df: DataFrame, value: str, out: str, small: bool = False) -> DataFrame:
+def add_percent_rank(df: DataFrame, value: str, out: str, of: DataFrame | None = None) -> DataFrame:
     """PERCENT_RANK by ``value`` ascending, NULL last."""
-    if small:
-        return df.withColumn(out, F.percent_rank().over(W.orderBy(F.col(value).asc_nulls_last())))
-    key = df.withColumn("_key", F.struct(F.col(value).isNull().alias("z"), F.col(value).alias("v")))
+    key = F.struct(F.col(value).isNull().alias("z"), F.col(value).alias("v"))
     below = F.col("n_le") - F.col("n_here")
     share = F.when(F.col("n_all") > 1, below / (F.col("n_all") - 1)).otherwise(F.lit(0.0))
-    return _join_stats(key, order_stats(key, "_key"), ["_key"], {out: share}).drop("_key")
+    stats = order_stats((of or df).withColumn("_key", key), "_key")
+    return _join_stats(df.withColumn("_key", key), stats, ["_key"], {out: share}).drop("_key")
 
 
-def add_ntile(df: DataFrame, value: str, tie: str, tiles: int, out: str, small: bool = False) -> DataFrame:
+def add_ntile(df: DataFrame, value: str, tie: str, tiles: int, out: str, of: DataFrame | None = None) -> DataFrame:
     """NTILE by ``value`` descending with the unique column ``tie`` deciding equal values."""
-    if small:
-        w = W.orderBy(F.col(value).desc_nulls_last(), F.col(tie).asc())
-        return df.withColumn(out, F.ntile(tiles).over(w).cast("long"))
-    key = df.withColumn("_key", F.struct(F.col(value).isNull().alias("z"), (-F.col(value)).alias("v"),
-                                         F.col(tie).alias("t")))
+    key = F.struct(F.col(value).isNull().alias("z"), (-F.col(value)).alias("v"), F.col(tie).alias("t"))
     # The first (rows % tiles) tiles hold one row more than the others.
     at, base, more = F.col("n_le") - 1, F.floor(F.col("n_all") / tiles), F.col("n_all") % tiles
     big = more * (base + 1)
     tile = F.when(at < big, F.floor(at / (base + 1))).otherwise(more + F.floor(F.try_divide(at - big, base)))
-    return _join_stats(key, order_stats(key, "_key"), ["_key"], {out: tile.cast("long") + 1}).drop("_key")
+    stats = order_stats((of or df).withColumn("_key", key), "_key")
+    return _join_stats(df.withColumn("_key", key), stats, ["_key"], {out: tile.cast("long") + 1}).drop("_key")
 
 
-def add_running_total(df: DataFrame, value: str, out: str, total: str, small: bool = False) -> DataFrame:
-    """Running sum of ``value`` from the largest down (equal values share it) and the grand total."""
-    if small:
-        w = W.orderBy(F.col(value).desc_nulls_last())
-        return df.withColumn(out, F.sum(value).over(w)).withColumn(total, F.sum(value).over(W.partitionBy()))
-    run = F.col("_v_all") - F.col("_v_le") + F.col("_v_here")
-    stats = order_stats(df.withColumn("_v", F.col(value)), value, sums=["_v"])
+def add_running_total(df: DataFrame, value: str, out: str, total: str, of: DataFrame | None = None) -> DataFrame:
+    """Running sum of ``value`` from the largest down (equal values share it) and the grand total.
+
+    NULL values come last and carry the full sum.
+    """
+    zero = F.lit(0)
+    run = F.col("_v_all") - F.coalesce("_v_le", zero) + F.coalesce("_v_here", zero)
+    stats = order_stats((of or df).withColumn("_v", F.col(value)), value, sums=["_v"])
     return _join_stats(df, stats, [value], {out: run, total: F.col("_v_all")})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.operators.ordered import smallest_rows
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42, limit: int | None = None) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows picked by a seeded hash of the row: the same rows on every run and any cluster."""
     hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *df.columns))
-    return smallest_rows(hashed, n, ["_hash"], limit).drop("_hash")
+    return smallest_rows(hashed, n, ["_hash"]).drop("_hash")

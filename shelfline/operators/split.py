@@ -18,6 +18,11 @@ from shelfline.operators.ordered import kth_smallest
 TIES = ("store_id", "product_id")
 
 
+def tie_key(tie: Sequence[str]) -> Column:
+    """Comparable key of the tie columns, NULL before all values."""
+    return F.struct(*[F.struct(F.col(t).isNotNull().alias("known"), F.col(t).alias("value")).alias(t) for t in tie])
+
+
 @dataclass(frozen=True)
 class Cut:
     """Position of the first ``rows`` rows in date and tie order."""
@@ -27,21 +32,21 @@ class Cut:
     tie: tuple | None
 
     def before(self, date_col: str, tie: Sequence[str]) -> Column:
-        """Condition that holds for exactly the first ``rows`` rows."""
-        if self.date is None:
+        """Condition that holds for exactly the first ``rows`` rows; rows without a date are the last."""
+        if self.tie is None:
             return F.lit(False)
         d = F.col(date_col)
-        earlier = d < F.lit(self.date)
-        if self.tie is None:
-            return earlier
-        same_day = F.struct(*[F.col(t) for t in tie]) <= F.struct(*[F.lit(v).alias(t) for t, v in zip(tie, self.tie)])
-        return earlier | ((d == F.lit(self.date)) & same_day)
+        same_day = tie_key(tie) <= F.struct(*[
+            F.struct(F.lit(v.known).alias("known"), F.lit(v.value).alias("value")).alias(t) for t, v in zip(tie, self.tie)])
+        if self.date is None:
+            return d.isNotNull() | same_day
+        return F.coalesce((d < F.lit(self.date)) | ((d == F.lit(self.date)) & same_day), F.lit(False))
 
 
 def date_counts(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows per date with the rows before it and the total; the window sees one row per date."""
+    """Rows per date with the rows before it and the total, no date last; the window sees one row per date."""
     days = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n"))
-    w = W.orderBy(date_col).rowsBetween(W.unboundedPreceding, -1)
+    w = W.orderBy(F.col(date_col).asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     return days.select(date_col, "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"),
                        F.sum("n").over(W.partitionBy()).alias("total"))
 
@@ -60,7 +65,7 @@ def find_cuts(df: DataFrame, positions: Sequence[int] | None, date_col: str = "d
                 cuts.append(Cut(at, None, None))
                 continue
             inside = at - row.before
-            day = df.where(F.col(date_col) == F.lit(row[date_col])).select(F.struct(*tie).alias("k"))
+            day = df.where(F.col(date_col).eqNullSafe(F.lit(row[date_col]).cast("date"))).select(tie_key(tie).alias("k"))
             last = kth_smallest(day, "k", F.lit(inside)).first().k
             cuts.append(Cut(at, row[date_col], tuple(last)))
         return cuts

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from shelfline.functions.exprs import (abc_class, avg_temperature, growth_pct, mean, month_of,
                                        months_between_starts, precipitation_level, ratio, ratio_pct,
                                        temperature_band)
-from shelfline.operators.ordered import (add_ntile, add_percent_rank, add_rank, add_running_total,
-                                         one_task_ok)
+from shelfline.operators.aggregates import with_distinct_counts
+from shelfline.operators.ordered import add_ntile, add_percent_rank, add_rank, add_running_total
 from shelfline.session import materialize
 
 
+def known(column: str) -> Column:
+    """1 where the column has a value, for counting by addition."""
+    return F.col(column).isNotNull().cast("long")
+
+
 def report_monthly_trends(sales: DataFrame) -> DataFrame:
     """Monthly revenue with rolling mean, month-over-month and year-over-year growth.
 
     Comparisons are by row: a month without sales shifts them. The window sees one row per month.
     """
-    monthly = sales.groupBy(month_of("date").alias("sale_month")).agg(
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.count_distinct("transaction_id").alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        mean("total_amount").alias("avg_transaction_value"))
+    monthly = with_distinct_counts(
+        sales, {"sale_month": month_of("date")},
+        {"total_revenue": F.col("total_amount"), "total_units_sold": F.col("quantity"), "n_amounts": known("total_amount")},
+        {"transaction_count": "transaction_id", "unique_customers": "customer_id"})
+    monthly = monthly.withColumn("avg_transaction_value", ratio("total_revenue", "n_amounts"))
     by_month = W.orderBy("sale_month")
     last3 = by_month.rowsBetween(-2, W.currentRow)
     prev, year_ago = F.lag("total_revenue", 1).over(by_month), F.lag("total_revenue", 12).over(by_month)
@@ -40,12 +44,9 @@ def report_monthly_trends(sales: DataFrame) -> DataFrame:
 
 def store_metrics(stores: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales totals per store; stores without sales stay with NULL totals and zero counts."""
-    totals = sales.groupBy("store_id").agg(
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.count_distinct("transaction_id").alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("date").alias("active_days"))
+    totals = with_distinct_counts(
+        sales, {"store_id": F.col("store_id")}, {"total_revenue": F.col("total_amount"), "total_units_sold": F.col("quantity")},
+        {"transaction_count": "transaction_id", "unique_customers": "customer_id", "active_days": "date"})
     counts = ["transaction_count", "unique_customers", "active_days"]
     return (stores.select("store_id", "store_name", "region", "store_format", "size_sqft", "open_date")
             .join(totals, "store_id", "left").fillna(0, counts))
@@ -59,29 +60,19 @@ def regional_benchmarks(metrics: DataFrame) -> DataFrame:
         mean(ratio("total_revenue", "size_sqft").cast("decimal(24,8)")).alias("regional_rev_per_sqft"))
 
 
-def report_store_ranking(stores: DataFrame, sales: DataFrame, one_task_rows: int | None = None) -> DataFrame:
+def report_store_ranking(stores: DataFrame, sales: DataFrame) -> DataFrame:
     """Store ranking over all stores, in region and in format, against the regional mean.
 
-    While the store table is proven small the ranks are plain windows over the store aggregate;
-    beyond that they come from block-wise order statistics, so no task sees all stores.
+    Ranks come from block-wise order statistics over the stored store aggregate, so no task sees all stores.
     """
-    metrics, small = one_task_ok(store_metrics(stores, sales), bound_by=stores, limit=one_task_rows)
-    ranked = add_rank(metrics, "total_revenue", "overall_rank", small=small)
-    ranked = add_rank(ranked, "total_revenue", "regional_rank", by=["region"], small=small)
-    ranked = add_rank(ranked, "total_revenue", "format_rank", by=["store_format"], small=small)
-    ranked = add_ntile(ranked, "total_revenue", "store_id", 4, "performance_quartile", small=small)
-    ranked = add_percent_rank(ranked, "total_revenue", "percentile", small=small)
-    if small:
-        # Same numbers as the benchmark join, without aggregating the fact a second time.
-        region = W.partitionBy("region")
-        per_sqft = ratio("total_revenue", "size_sqft").cast("decimal(24,8)")
-        ranked = ranked.withColumns({
-            "avg_regional_revenue": ratio(F.sum("total_revenue").over(region), F.count("total_revenue").over(region)),
-            "regional_rev_per_sqft": ratio(F.sum(per_sqft).over(region), F.count(per_sqft).over(region)),
-        }).where(F.col("region").isNotNull())
-    else:
-        # Stored first, so that the planner knows its size: a few rows are broadcast, many are not.
-        ranked = ranked.join(materialize(regional_benchmarks(metrics), "regions"), "region")
+    metrics = materialize(store_metrics(stores, sales), "stores")
+    ranked = add_rank(metrics, "total_revenue", "overall_rank", of=metrics)
+    ranked = add_rank(ranked, "total_revenue", "regional_rank", by=["region"], of=metrics)
+    ranked = add_rank(ranked, "total_revenue", "format_rank", by=["store_format"], of=metrics)
+    ranked = add_ntile(ranked, "total_revenue", "store_id", 4, "performance_quartile", of=metrics)
+    ranked = add_percent_rank(ranked, "total_revenue", "percentile", of=metrics)
+    # Stored first, so that the planner knows its size: a few rows are broadcast, many are not.
+    ranked = ranked.join(materialize(regional_benchmarks(metrics), "regions"), "region")
     revenue_per_sqft = F.round(ratio("total_revenue", "size_sqft"), 2)
     return ranked.select(
         "store_id", "store_name", "region", "store_format", "size_sqft", "open_date",
@@ -97,27 +88,35 @@ def report_store_ranking(stores: DataFrame, sales: DataFrame, one_task_rows: int
 
 
 def category_sales(products: DataFrame, sales: DataFrame) -> DataFrame:
-    """Totals per category and subcategory."""
-    return (sales.join(products.select("product_id", "category", "subcategory",
-                                       F.col("unit_price").alias("list_price")), "product_id")
-            .groupBy("category", "subcategory").agg(
-                F.sum("total_amount").alias("category_revenue"),
-                F.sum("quantity").alias("category_units"),
-                F.count_distinct("transaction_id").alias("category_transactions"),
-                F.count_distinct("product_id").alias("product_count"),
-                mean("total_amount").alias("avg_transaction_value"),
-                mean("list_price").alias("avg_unit_price")))
-
-
-def report_category_abc(products: DataFrame, sales: DataFrame, one_task_rows: int | None = None) -> DataFrame:
+    """Totals per category and subcategory.
+
+    The fact is reduced to products, and to (product, transaction) pairs for the distinct count, before it meets
+    the dimension.
+    """
+    per_product = sales.groupBy("product_id").agg(
+        F.sum("total_amount").alias("revenue"), F.sum("quantity").alias("units"), F.count("total_amount").alias("n_amounts"),
+        F.count(F.lit(1)).alias("n_rows"))
+    priced = per_product.join(products.select("product_id", "category", "subcategory", F.col("unit_price").alias("list_price")), "product_id")
+    keys = ["category", "subcategory"]
+    rows_priced = F.when(F.col("list_price").isNotNull(), F.col("n_rows"))
+    totals = priced.groupBy(*keys).agg(
+        F.sum("revenue").alias("category_revenue"), F.sum("units").alias("category_units"), F.count("product_id").alias("product_count"),
+        ratio(F.sum("revenue"), F.sum("n_amounts")).alias("avg_transaction_value"),
+        ratio(F.sum(F.col("list_price") * rows_priced.cast("decimal(18,0)")), F.sum(rows_priced)).alias("avg_unit_price"))
+    pairs = sales.select("product_id", "transaction_id").distinct()
+    baskets = pairs.join(products.select("product_id", *keys), "product_id").groupBy(*keys).agg(
+        F.count_distinct("transaction_id").alias("category_transactions"))
+    baskets = baskets.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.col("category").eqNullSafe(F.col("_category")) & F.col("subcategory").eqNullSafe(F.col("_subcategory"))
+    return totals.join(baskets, same).drop("_category", "_subcategory")
+
+
+def report_category_abc(products: DataFrame, sales: DataFrame) -> DataFrame:
     """Contribution, Pareto running share, rank and ABC class per category and subcategory."""
-    cats, small = one_task_ok(category_sales(products, sales), limit=one_task_rows)
-    cats = add_rank(cats, "category_revenue", "category_rank", small=small)
-    cats = add_running_total(cats, "category_revenue", "cumulative_revenue", "grand_revenue", small=small)
-    if small:
-        cats = cats.withColumn("grand_units", F.sum("category_units").over(W.partitionBy()))
-    else:
-        cats = cats.withColumn("grand_units", cats.agg(F.sum("category_units").alias("u")).scalar())
+    stored = materialize(category_sales(products, sales), "categories")
+    cats = add_rank(stored, "category_revenue", "category_rank", of=stored)
+    cats = add_running_total(cats, "category_revenue", "cumulative_revenue", "grand_revenue", of=stored)
+    cats = cats.withColumn("grand_units", stored.agg(F.sum("category_units").alias("u")).scalar())
     cats = cats.withColumn("cumulative_pct", ratio_pct("cumulative_revenue", "grand_revenue"))
     return cats.select(
         "category", "subcategory", "category_revenue", "category_units", "category_transactions",
@@ -134,11 +133,10 @@ def report_category_abc(products: DataFrame, sales: DataFrame, one_task_rows: in
 
 
 def daily_store_sales(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("date", "store_id").agg(
-        F.sum("total_amount").alias("daily_revenue"),
-        F.sum("quantity").alias("daily_units"),
-        F.count_distinct("transaction_id").alias("daily_transactions"),
-        F.count_distinct("customer_id").alias("daily_customers"))
+    return with_distinct_counts(
+        sales, {"date": F.col("date"), "store_id": F.col("store_id")},
+        {"daily_revenue": F.col("total_amount"), "daily_units": F.col("quantity")},
+        {"daily_transactions": "transaction_id", "daily_customers": "customer_id"})
 
 
 def weather_sales(sales: DataFrame, weather: DataFrame) -> DataFrame:

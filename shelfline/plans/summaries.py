@@ -8,7 +8,9 @@ from pyspark.sql import Window as W
 
 from shelfline.functions.exprs import (change_pct, frequency_segment, mean, month_of, ratio,
                                        value_segment, week_of)
+from shelfline.operators.aggregates import with_distinct_counts
 from shelfline.operators.ordered import exact_percentiles
+from shelfline.plans.reports import known
 from shelfline.session import materialize
 
 
@@ -18,15 +20,17 @@ def summary_daily_sales(sales: DataFrame, stores: DataFrame, products: DataFrame
     The fact is aggregated before the joins, so the dimensions meet the smaller frame and a hot store
     has already been combined on the map side.
     """
-    daily = sales.groupBy("date", "store_id", "product_id").agg(
-        F.sum("quantity").alias("total_quantity"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.count_distinct("transaction_id").alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        mean("total_amount").alias("avg_transaction_value"),
-        mean("quantity").alias("avg_basket_size"),
-        F.sum(F.when(F.col("discount_applied"), 1).otherwise(0)).alias("discounted_transactions"),
-        mean(F.when(F.col("discount_applied"), F.col("discount_percent")).otherwise(0)).alias("avg_discount_pct"))
+    discount = F.when(F.col("discount_applied"), F.col("discount_percent")).otherwise(0)
+    daily = with_distinct_counts(
+        sales, {k: F.col(k) for k in ("date", "store_id", "product_id")},
+        {"total_quantity": F.col("quantity"), "total_revenue": F.col("total_amount"),
+         "discounted_transactions": F.when(F.col("discount_applied"), 1).otherwise(0), "discount": discount,
+         "n_amounts": known("total_amount"), "n_quantities": known("quantity"), "n_discounts": discount.isNotNull().cast("long")},
+        {"transaction_count": "transaction_id", "unique_customers": "customer_id"})
+    daily = daily.select("date", "store_id", "product_id", "total_quantity", "total_revenue", "transaction_count", "unique_customers",
+                         ratio("total_revenue", "n_amounts").alias("avg_transaction_value"),
+                         ratio("total_quantity", "n_quantities").alias("avg_basket_size"), "discounted_transactions",
+                         ratio("discount", "n_discounts").alias("avg_discount_pct"))
     return (daily
             .join(stores.select("store_id", "region", "store_format"), "store_id")
             .join(products.select("product_id", "category", "subcategory"), "product_id")
@@ -36,15 +40,11 @@ def summary_daily_sales(sales: DataFrame, stores: DataFrame, products: DataFrame
 
 def summary_weekly_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """ISO week and store totals; a week that spans new year gives one row per calendar year."""
-    weekly = sales.groupBy(
-        week_of("date").alias("week_start"), F.year("date").alias("year"),
-        F.weekofyear("date").alias("week_num"), "store_id",
-    ).agg(
-        F.sum("total_amount").alias("weekly_revenue"),
-        F.sum("quantity").alias("weekly_units"),
-        F.count_distinct("transaction_id").alias("weekly_transactions"),
-        F.count_distinct("customer_id").alias("weekly_customers"),
-        mean("total_amount").alias("avg_transaction_value"))
+    weekly = with_distinct_counts(
+        sales, {"week_start": week_of("date"), "year": F.year("date"), "week_num": F.weekofyear("date"), "store_id": F.col("store_id")},
+        {"weekly_revenue": F.col("total_amount"), "weekly_units": F.col("quantity"), "n_amounts": known("total_amount")},
+        {"weekly_transactions": "transaction_id", "weekly_customers": "customer_id"})
+    weekly = weekly.withColumn("avg_transaction_value", ratio("weekly_revenue", "n_amounts"))
     return (weekly.join(stores.select("store_id", "store_name", "region", "size_sqft"), "store_id")
             .select("week_start", "year", "week_num", "store_id", "store_name", "region", "weekly_revenue",
                     "weekly_units", "weekly_transactions", "weekly_customers", "avg_transaction_value",
@@ -52,11 +52,9 @@ def summary_weekly_performance(sales: DataFrame, stores: DataFrame) -> DataFrame
 
 
 def monthly_totals(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(month_of("date").alias("month")).agg(
-        F.sum("total_amount").alias("revenue"),
-        F.sum("quantity").alias("units"),
-        F.count_distinct("transaction_id").alias("transactions"),
-        F.count_distinct("customer_id").alias("customers"))
+    return with_distinct_counts(
+        sales, {"month": month_of("date")}, {"revenue": F.col("total_amount"), "units": F.col("quantity")},
+        {"transactions": "transaction_id", "customers": "customer_id"})
 
 
 def summary_monthly_kpis(sales: DataFrame) -> DataFrame:

@@ -106,13 +106,37 @@ def test_other_lags_and_windows(spark):
     assert (last.qty_lag_1, last.rolling_mean_2) == (2, 15.0) and "rolling_min_2" not in df.columns
 
 
-def test_entity_means_both_forms(tables):
+def test_entity_means_equal_plain_windows(tables):
+    from pyspark.sql import Window as W
+    from pyspark.sql import functions as F
+
     from shelfline.operators.aggregates import daily_sales_agg
     daily = daily_sales_agg(tables.series_sales).select("date", "store_id", "product_id", "daily_revenue")
-    cols = ["date", "store_id", "product_id", "store_avg_daily_sales_30d", "product_avg_daily_sales_30d"]
-    plain = sorted(tuple(r) for r in feat.feat_entity_avg(daily).select(*cols).na.fill(-1.0).collect())
-    blocked = sorted(tuple(r) for r in feat.feat_entity_avg(daily, one_task_rows=0, cuts=3).select(*cols).na.fill(-1.0).collect())
-    assert plain == blocked
+    means = ["store_avg_daily_sales_30d", "product_avg_daily_sales_30d"]
+    plain = daily
+    for out, entity, inner in zip(means, ("store_id", "product_id"), ("product_id", "store_id")):
+        w = W.partitionBy(entity).orderBy(inner, "date").rowsBetween(-30, -1)
+        plain = plain.withColumn(out, F.sum("daily_revenue").over(w).cast("double") / F.count("daily_revenue").over(w))
+    cols = ["date", "store_id", "product_id", *means]
+    want = sorted(tuple(r) for r in plain.select(*cols).na.fill(-1.0).collect())
+    for cuts in (None, 3):
+        assert sorted(tuple(r) for r in feat.feat_entity_avg(daily, cuts=cuts).select(*cols).na.fill(-1.0).collect()) == want
+
+
+def test_whole_feature_table_equals_plain_windows(tables):
+    from pyspark.sql import Window as W
+    from pyspark.sql import functions as F
+
+    from shelfline.operators.aggregates import daily_sales_agg
+    daily = daily_sales_agg(tables.series_sales)
+    rows = feat.feat_table(daily, tables.calendar, tables.series_stores, tables.series_products)
+    series = W.partitionBy("store_id", "product_id").orderBy("date")
+    store = W.partitionBy("store_id").orderBy("product_id", "date").rowsBetween(-30, -1)
+    plain = daily.withColumn("sales_lag_7", F.lag("daily_revenue", 7).over(series)).withColumn(
+        "store_avg_daily_sales_30d", F.sum("daily_revenue").over(store).cast("double") / F.count("daily_revenue").over(store))
+    cols = ["date", "store_id", "product_id", "sales_lag_7", "store_avg_daily_sales_30d"]
+    want = sorted(tuple(r) for r in plain.where("sales_lag_7 is not null").select(*cols).collect())
+    assert sorted(tuple(r) for r in rows.select(*cols).collect()) == want and want
 
 
 def test_entity_days(spark):
