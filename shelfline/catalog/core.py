@@ -13,7 +13,7 @@ from shelfline.operators.aggregates import daily_sales_agg, total_by
 from shelfline.operators.features import feat_calendar, feat_product, feat_store, feat_weather
 from shelfline.operators.quality import require_columns
 from shelfline.plans import reports, summaries
-from shelfline.plans.incremental import append_log, log_rows
+from shelfline.plans.incremental import append_log, log_rows, read_log
 from shelfline.session import fresh_path, materialize
 from shelfline.sources import tables
 
@@ -83,7 +83,7 @@ def _(t):
 def _(t):
     path = fresh_path(t.spark, "log")
     append_log(log_rows({"sales_transactions": t.sales, "stores": t.stores}), path)
-    return t.spark.read.parquet(path).select("table_name", "row_count")
+    return read_log(t.spark, path).select("table_name", "row_count")
 
 
 @query("parameterized_query", "sales stores", """SELECT st.region, COUNT(*) AS lines, CAST(SUM(total_amount) AS DOUBLE) AS revenue

@@ -6,6 +6,7 @@ from shelfline.catalog.base import query
 from shelfline.operators import quality
 from shelfline.plans import incremental as inc
 from shelfline.session import fresh_path, materialize
+from shelfline.sources import versions
 from shelfline.streaming import incremental as stream
 
 
@@ -49,14 +50,20 @@ def _(t):
         quality.dq_orphans(t.raw("events"), t.customers, "user_id", "customer_id")])
 
 
-@query("dq_bounds", "sales", """SELECT 'date_out_of_range' AS check_name, COUNT(*) FILTER (NOT date BETWEEN DATE '1996-01-01' AND DATE '2030-12-31') AS issue_count FROM sales
+@query("dq_bounds", "sales stores products", """SELECT 'date_out_of_range' AS check_name, COUNT(*) FILTER (NOT date BETWEEN DATE '1996-01-01' AND DATE '2030-12-31') AS issue_count FROM sales
  UNION ALL SELECT 'unit_price_out_of_range', COUNT(*) FILTER (NOT unit_price BETWEEN 0.0 AND 10000.0) FROM sales
+ UNION ALL SELECT 'product_price_out_of_range', COUNT(*) FILTER (unit_price <= 0 OR unit_price >= 1000) FROM products
+ UNION ALL SELECT 'size_sqft_out_of_range', COUNT(*) FILTER (size_sqft < 10000 OR size_sqft >= 100000) FROM stores
  UNION ALL SELECT 'quantity_q99_too_high', CAST(PERCENTILE_CONT(0.99) WITHIN GROUP (ORDER BY quantity) >= 40 AS BIGINT) FROM sales""")
 def _(t):
     import datetime
-    return quality.dq_bounds(
-        t.sales, {"date": (datetime.date(1996, 1, 1), datetime.date(2030, 12, 31)), "unit_price": (0.0, 10000.0)},
-        {"quantity": (0.99, 40)})
+    Range = quality.Range
+    priced = t.products.withColumnRenamed("unit_price", "product_price")
+    return quality.all_checks([
+        quality.dq_bounds(t.sales, {"date": Range(datetime.date(1996, 1, 1), datetime.date(2030, 12, 31)), "unit_price": Range(0.0, 10000.0)},
+                          {"quantity": (0.99, 40)}),
+        quality.dq_bounds(priced, {"product_price": Range(0, 1000, low_open=True, high_open=True)}),
+        quality.dq_bounds(t.stores, {"size_sqft": Range(10000, 100000, high_open=True)})])
 
 
 @query("dq_completeness", "sales stores products calendar", """SELECT 'too_few_stores' AS check_name, CAST(COUNT(*) < 5 AS BIGINT) AS issue_count FROM stores
@@ -157,7 +164,7 @@ def _(t):
     path = fresh_path(t.spark, "log")
     inc.append_log(inc.log_rows({"summary_monthly_kpis": summaries.summary_monthly_kpis(t.customer_sales)}), path)
     inc.append_log(inc.log_rows({"summary_customer_segments": summaries.summary_customer_segments(t.customer_sales)}), path)
-    return t.spark.read.parquet(path).select("table_name", "row_count")
+    return inc.read_log(t.spark, path).select("table_name", "row_count")
 
 
 @query("load_summary", "order_sales", """SELECT 'Incremental Load Complete' AS status, MAX(date) AS latest_date, COUNT(*) AS rows_loaded FROM order_sales
@@ -171,21 +178,23 @@ def _(t):
     paths = _paths(t)
     inc.apply_batch(t.spark, _with_year(_as_target(_loaded(t))), paths, required=["transaction_id", "date"])
     inc.apply_batch(t.spark, materialize(_with_year(_arriving(t)), "staged"), paths, required=["transaction_id", "date"])
-    return t.spark.read.parquet(paths.table).drop("sale_year")
+    return versions.read(t.spark, paths.table).drop("sale_year")
 
 
-@query("stream_incremental_load", "order_sales", f"WITH {SPLIT} {MERGED}")
+@query("stream_incremental_load", "order_sales", f"""WITH {SPLIT} SELECT transaction_id, date, customer_id, CAST(quantity AS BIGINT) AS quantity,
+  CAST(discount_percent AS BIGINT) AS discount_percent, CAST(total_amount AS DOUBLE) AS total_amount, status FROM staged
+ UNION ALL SELECT transaction_id, date, customer_id, CAST(quantity AS BIGINT), CAST(discount_percent AS BIGINT), CAST(total_amount AS DOUBLE), status
+  FROM old WHERE transaction_id NOT IN (SELECT transaction_id FROM staged)""")
 def _(t):
     base, paths = fresh_path(t.spark, "stream"), _paths(t)
     for i, part in enumerate([_as_target(_loaded(t)), _arriving(t)]):
-        rows = _with_year(part).withColumn("event_time", F.col("date").cast("timestamp"))
-        rows.coalesce(1).write.parquet(f"{base}/in/{i}")
-        # Each delivery is one run of the stream; the checkpoint carries on from the run before.
-        source = stream.file_stream(t.spark, f"{base}/in/*", rows.schema)
-        q = stream.stream_incremental_load(t.spark, source, paths, f"{base}/checkpoint",
-                                           required=["transaction_id", "date"], delay="400 days")
-        q.awaitTermination()
-    return t.spark.read.parquet(paths.table).drop("sale_year")
+        rows = _with_year(part).withColumn("loaded_at", F.lit(f"2024-01-0{i + 1} 00:00:00").cast("timestamp"))
+        rows.write.parquet(f"{base}/in/{i}")
+    # Both deliveries are picked up by one run of the stream: changes meet the rows they change in one batch.
+    source = stream.file_stream(t.spark, f"{base}/in/*", rows.schema)
+    stream.stream_incremental_load(t.spark, source, paths, f"{base}/checkpoint", required=["transaction_id", "date"]).awaitTermination()
+    out = versions.read(t.spark, paths.table).drop("sale_year")
+    return out.select([c for c in t.order_sales.columns])
 
 
 @query("stream_daily_sales", "daily", """SELECT date, CAST(store_id AS BIGINT) AS store_id, CAST(product_id AS BIGINT) AS product_id, CAST(daily_quantity AS BIGINT) AS daily_quantity,
@@ -194,7 +203,7 @@ def _(t):
     base = fresh_path(t.spark, "stream")
     rows = t.series_sales.select("transaction_id", "store_id", "product_id", "quantity", "total_amount", "discount_applied",
                                  F.col("date").cast("timestamp").alias("event_time"))
-    rows.repartitionByRange(4, "event_time").write.parquet(f"{base}/in/rows")
+    rows.write.parquet(f"{base}/in/rows")
     # A row far in the future closes the last days; its own day stays open and is never written.
     late = rows.limit(1).withColumn("event_time", F.lit("2100-01-01").cast("timestamp"))
     late.write.parquet(f"{base}/in/zz")

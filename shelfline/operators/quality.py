@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -71,9 +72,28 @@ def dq_orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None =
     return _long(lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name or f"orphaned_{key}s")))
 
 
-def dq_bounds(df: DataFrame, ranges: Mapping[str, tuple], quantiles: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
-    """Rows outside (low, high) per column, and per quantile rule 1 when it is not below its limit."""
-    checks = [count_where(df, {f"{c}_out_of_range": ~F.col(c).between(F.lit(lo), F.lit(hi)) for c, (lo, hi) in ranges.items()})]
+@dataclass(frozen=True)
+class Range:
+    """Allowed values; each end belongs to them unless it is open."""
+
+    low: object
+    high: object
+    low_open: bool = False
+    high_open: bool = False
+
+    def outside(self, c: Column) -> Column:
+        below = c <= F.lit(self.low) if self.low_open else c < F.lit(self.low)
+        above = c >= F.lit(self.high) if self.high_open else c > F.lit(self.high)
+        return below | above
+
+
+def dq_bounds(df: DataFrame, ranges: Mapping[str, tuple | Range], quantiles: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
+    """Rows outside their range per column, and per quantile rule 1 when it is not below its limit.
+
+    A pair is a range with both ends. NULL is not outside: ``dq_nulls`` counts it.
+    """
+    rules = {c: r if isinstance(r, Range) else Range(*r) for c, r in ranges.items()}
+    checks = [count_where(df, {f"{c}_out_of_range": r.outside(F.col(c)) for c, r in rules.items()})]
     for c, (p, limit) in (quantiles or {}).items():
         row = exact_percentiles(df.select(c), c, [p], ["q"])
         over = F.coalesce(F.col("q") >= limit, F.lit(False)).cast("long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,6 +13,7 @@ from shelfline import schemas
 from shelfline.operators.aggregates import row_counts
 from shelfline.operators.quality import all_checks, assert_clean, count_where, dq_duplicate_keys, dq_orphans
 from shelfline.session import materialize
+from shelfline.sources import versions
 from shelfline.sources.tables import path_exists
 
 START_DATE = "1900-01-01"
@@ -75,23 +77,21 @@ def upsert(target: DataFrame, staged: DataFrame, key: str | Sequence[str],
 
 def merge_into(spark: SparkSession, path: str, staged: DataFrame, key: str,
                update_columns: Sequence[str], partition_col: str) -> None:
-    """Upsert into a partitioned parquet table, rewriting only the partitions it touches.
+    """Upsert into a versioned table, rewriting only the partitions it touches.
 
-    The target's key and partition columns are scanned to find the partitions that hold staged keys;
-    all others stay as they are. Repeating a merge gives the same table, so a failed run is repeated.
+    Of the target only keys inside the range of the staged keys are scanned to find the partitions that hold
+    them. The merged partitions are written beside the old ones and take their place in one step, so a run that
+    fails leaves the table as it was, and repeating a merge gives the same table.
     """
-    out_cols = staged.columns
-    if path_exists(spark, path):
-        target = spark.read.parquet(path)
-        hit = target.select(key, partition_col).join(staged.select(key), key, "left_semi").select(partition_col)
-        # One value per partition of the table, at most a few thousand.
-        touched = [r[0] for r in hit.union(staged.select(partition_col)).distinct().collect()]
-        current = target.where(F.col(partition_col).isin(touched)).select(*out_cols)
-        merged = upsert(current, staged, key, update_columns)
-    else:
-        merged = staged
-    (merged.hint("rebalance", partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    if not versions.exists(spark, path):
+        return versions.replace(staged, path, partition_col)
+    lo, hi = staged.agg(F.min(key), F.max(key)).first()
+    near = versions.read(spark, path).where(F.col(key).between(F.lit(lo), F.lit(hi)))
+    hit = near.join(staged.select(key), key, "left_semi").select(versions.partition_text(partition_col).alias("p"))
+    # Names of partitions: the manifest holds as many.
+    touched = [r[0] for r in hit.union(staged.select(versions.partition_text(partition_col))).distinct().collect()]
+    merged = upsert(versions.read(spark, path, touched).select(*staged.columns), staged, key, update_columns)
+    versions.replace(merged, path, partition_col, touched)
 
 
 def watermark_update(staged: DataFrame, watermark: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -109,8 +109,13 @@ def log_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return row_counts(tables).select("table_name", F.current_timestamp().alias("refresh_timestamp"), "row_count")
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+def append_log(rows: DataFrame, path: str, refresh_id: str | None = None) -> None:
+    """Add log rows under ``refresh_id``; a run that is repeated under the same id replaces its rows."""
+    rows.write.mode("overwrite").parquet(f"{path}/refresh_id={refresh_id or uuid.uuid4().hex}")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.REFRESH_LOG).parquet(path)
 
 
 def load_summary(spark: SparkSession, watermark: DataFrame, log: DataFrame, log_name: str) -> DataFrame:
@@ -141,15 +146,16 @@ class LoadPaths:
 
 
 def apply_batch(spark: SparkSession, staged: DataFrame, paths: LoadPaths, stores: DataFrame | None = None,
-                products: DataFrame | None = None, required: Sequence[str] = REQUIRED) -> int:
-    """Check one staged batch, merge it and log it; returns its row count."""
+                products: DataFrame | None = None, required: Sequence[str] = REQUIRED,
+                refresh_id: str | None = None) -> int:
+    """Check one staged batch, merge it and log it under ``refresh_id``; returns its row count."""
     staging_checks(staged, stores, products, required, paths.key)
     count = staged.count()
     if count:
         merge_into(spark, paths.table, staged, paths.key, paths.update_columns, paths.partition_col)
     rows = spark.range(1).select(F.lit(paths.log_name).alias("table_name"),
                                  F.current_timestamp().alias("refresh_timestamp"), F.lit(count).cast("long").alias("row_count"))
-    append_log(rows, paths.log)
+    append_log(rows, paths.log, refresh_id)
     return count
 
 
@@ -161,4 +167,4 @@ def run_incremental(spark: SparkSession, source: DataFrame, paths: LoadPaths, st
     apply_batch(spark, staged, paths, stores, products, required)
     watermark_update(staged, watermark, paths.key).write.mode("append").parquet(paths.watermark)
     return load_summary(spark, read_watermark(spark, paths.watermark, paths.name),
-                        spark.read.schema(schemas.REFRESH_LOG).parquet(paths.log), paths.log_name)
+                        read_log(spark, paths.log), paths.log_name)

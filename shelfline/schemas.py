@@ -25,7 +25,7 @@ FORECASTS = """forecast_date DATE, target_date DATE, store_id INT, product_id IN
     absolute_error DOUBLE, percentage_error DOUBLE"""
 STAGING_SALES = SALES + ", loaded_at TIMESTAMP"
 WATERMARKS = "table_name STRING, last_loaded_date DATE, last_loaded_id BIGINT, updated_at TIMESTAMP"
-REFRESH_LOG = "table_name STRING, refresh_timestamp TIMESTAMP, row_count BIGINT"
+REFRESH_LOG = "refresh_id STRING, table_name STRING, refresh_timestamp TIMESTAMP, row_count BIGINT"
 
 TABLES = {
     "stores": STORES, "products": PRODUCTS, "calendar": CALENDAR, "customers": CUSTOMERS,

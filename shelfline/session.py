@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. AQE splits skewed join partitions and coalesces small ones; the
@@ -31,29 +33,26 @@ def build_session(app: str = "shelfline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-_local_dir: str | None = None
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings that a running session can take to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of its own.
-    """
-    global _local_dir
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or else one in the warehouse of the session."""
     conf = spark.sparkContext.getConf()
     named = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="shelfline-")
-    return _local_dir
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """New, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """New, unused path in the shared folder, which ``release`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _stored.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -65,15 +64,29 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 _stored: list[str] = []
 
 
+@atexit.register
+def _sweep() -> None:
+    """Leave nothing behind when the driver ends in order."""
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
+    try:
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        while _stored:
+            p = jvm.org.apache.hadoop.fs.Path(_stored.pop())
+            p.getFileSystem(conf).delete(p, True)
+    except Py4JError:  # the JVM is gone already
+        pass
+
+
 def release(spark: SparkSession) -> int:
-    """Delete the tables ``materialize`` wrote, once no result that reads them is needed any more."""
+    """Delete all that was written under ``fresh_path``, once no result that reads it is needed any more."""
     jvm, done = spark.sparkContext._jvm, 0
     while _stored:
         p = jvm.org.apache.hadoop.fs.Path(_stored.pop())

@@ -18,26 +18,25 @@ def file_stream(spark: SparkSession, directory: str, schema, files_per_batch: in
 
 def stream_incremental_load(spark: SparkSession, source: DataFrame, paths: LoadPaths, checkpoint: str,
                             stores: DataFrame | None = None, products: DataFrame | None = None,
-                            required: Sequence[str] = REQUIRED, event_time: str = "event_time",
-                            delay: str = "2 days") -> StreamingQuery:
-    """Check, upsert and log every micro-batch of ``source``.
+                            required: Sequence[str] = REQUIRED, delivered: str = "loaded_at") -> StreamingQuery:
+    """Check, upsert and log every micro-batch of ``source``, whatever the dates of its rows.
 
-    The stream's checkpoint takes the place of the watermark table. Rows delivered again unchanged
-    within the delay are dropped, while a changed row of a known key is an update. A batch that is
-    replayed after a failure merges to the same table.
+    The stream's checkpoint takes the place of the watermark table. A batch may hold several deliveries; of a key
+    the rows of its latest delivery (by the column ``delivered``) count. Two different rows of a key in one
+    delivery fail the check. A batch that is replayed after a failure merges to the same table and replaces its
+    own log row. No state is kept between batches.
     """
-    content = [c for c in source.columns if c != event_time]
-    rows = source.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(content)
-
-    def load(batch: DataFrame, _: int) -> None:
-        batch = batch.drop(event_time).persist()
+    def load(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         try:
-            if not batch.isEmpty():  # a trigger may bring no rows, only a later watermark
-                apply_batch(batch.sparkSession, batch, paths, stores, products, required)
+            if not batch.isEmpty():
+                last = batch.groupBy(paths.key).agg(F.max(delivered).alias("_last")).withColumnRenamed(paths.key, "_key")
+                newest = batch.join(last, batch[paths.key].eqNullSafe(last["_key"]) & batch[delivered].eqNullSafe(last["_last"]), "left_semi")
+                apply_batch(batch.sparkSession, newest.drop(delivered).distinct(), paths, stores, products, required, str(batch_id))
         finally:
             batch.unpersist()
 
-    return (rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 

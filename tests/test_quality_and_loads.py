@@ -9,6 +9,7 @@ from shelfline.operators import quality as q
 from shelfline.operators.encoding import LabelCodes, fit_label_codes
 from shelfline.operators.sampling import sample_rows
 from shelfline.plans import incremental as inc
+from shelfline.sources import versions
 from shelfline.sources import tables as src
 
 
@@ -77,7 +78,8 @@ def test_incremental_run(spark, tmp_path, make_sales, stores, products):
     assert (str(row.latest_date), row.rows_loaded) == ("2024-02-05", 1)
     row = inc.run_incremental(spark, more, paths, stores, products).first()  # nothing new
     assert (str(row.latest_date), row.rows_loaded) == ("2024-02-05", 0)
-    assert spark.read.parquet(paths.table).count() == 3
+    assert versions.read(spark, paths.table).count() == 3
+    assert inc.read_log(spark, paths.log).select("refresh_id").distinct().count() == 3
     mark = inc.read_watermark(spark, paths.watermark, paths.name).first()
     assert (mark.last_loaded_id, str(mark.last_loaded_date)) == (3, "2024-02-05")
 
@@ -86,14 +88,38 @@ def test_merge_rewrites_touched_partitions_only(spark, tmp_path, make_sales):
     path = str(tmp_path / "t")
     inc.merge_into(spark, path, monthly(make_sales([sale(1, "2024-01-01"), sale(2, "2024-02-01"), sale(3, "2024-03-01")])),
                    "transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
-    files = {f.name for f in (tmp_path / "t" / "sale_month=2024-03-01").iterdir()}
+    march = versions.manifest(spark, path)["2024-03-01"]
     # Key 1 lives in January though the staged row says February.
     staged = monthly(make_sales([sale(1, "2024-02-09", qty=8)]))
     for _ in range(2):  # repeating a merge changes nothing
         inc.merge_into(spark, path, staged, "transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
-        rows = {r.transaction_id: r for r in spark.read.parquet(path).collect()}
+        rows = {r.transaction_id: r for r in versions.read(spark, path).collect()}
         assert len(rows) == 3 and rows[1].quantity == 8 and str(rows[1].date) == "2024-01-01"
-    assert files == {f.name for f in (tmp_path / "t" / "sale_month=2024-03-01").iterdir()}
+    assert versions.manifest(spark, path)["2024-03-01"] == march
+    assert versions.vacuum(spark, path) == 1 and versions.read(spark, path).count() == 3
+
+
+def test_crash_between_write_and_swap_loses_nothing(spark, tmp_path, make_sales, monkeypatch):
+    path = str(tmp_path / "t")
+    args = ("transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
+    inc.merge_into(spark, path, monthly(make_sales([sale(1, "2024-01-01"), sale(2, "2024-01-02")])), *args)
+    staged = monthly(make_sales([sale(2, "2024-01-02", qty=5), sale(3, "2024-01-03")]))
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            inc.merge_into(spark, path, staged, *args)
+    assert {r.transaction_id: r.quantity for r in versions.read(spark, path).collect()} == {1: 1, 2: 1}
+    inc.merge_into(spark, path, staged, *args)
+    assert {r.transaction_id: r.quantity for r in versions.read(spark, path).collect()} == {1: 1, 2: 5, 3: 1}
+    with pytest.raises(RuntimeError):
+        versions.commit(spark, path, {}, 1)  # another change came first
+
+
+def test_bounds_may_be_open(spark):
+    from shelfline.operators.quality import Range, dq_bounds
+    df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (None,)], "p DOUBLE")
+    count = lambda r: dq_bounds(df, {"p": r}).first().issue_count
+    assert [count(x) for x in ((0, 10), Range(0, 10, low_open=True), Range(0, 10, True, True))] == [0, 1, 2]
 
 
 def test_csv_round_trip(spark, tmp_path, stores, make_sales):
