@@ -51,40 +51,81 @@ KNOWN: dict[str, tuple[str, ...]] = {
                 "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 }
 
-# Spellings taken as equal, applied to lower-case words between single blanks.
+# Spellings taken as equal; the first part are single words, the second pairs of words.
 SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"),
-             ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("acknowledgement", "acknowledgment"),
-             ("organisation", "organization"), ("favour", "favor"), ("merchantibility", "merchantability"), ("v", "version"))
-COPYRIGHT_LINE = r"(?m)^[\x20\t]*(?:©|\(c\)\x20|copyright\x20+(?:©|\(c\)|[0-9]))[^\n]*$"
+             ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("favour", "favor"),
+             ("merchantibility", "merchantability"), ("v", "version"))
+JOINED = (("sub license", "sublicense"), ("non infringement", "noninfringement"))
+COPYRIGHT_LINE = r"^[\x20\t]*(?:©|\(c\)\x20|copyright\x20+(?:©|\(c\)|[0-9])).*$"
+BLANK_LINE = r"^[\x20\t\r]*$"
+PARAGRAPH = "\x01"  # stands for a blank line between canonical lines
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form: words of letters and digits between single blanks."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    # Two blanks between words, so that each has one of its own on either side.
-    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
-    for a, b in SPELLINGS:
-        out = F.replace(out, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b} "))
-    return F.trim(F.regexp_replace(out, r"\x20+", " "))
+def _whole_word(word: str) -> str:
+    return rf"(?<![^ ]){word}(?![^ ])"
+
+
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of every line: words of letters and digits between single blanks, or a mark if blank."""
+    lines = F.transform(F.split(F.lower(text), "\n", -1), lambda x: F.when(F.regexp_like(x, F.lit(BLANK_LINE)), F.lit(PARAGRAPH)).when(
+        F.regexp_like(x, F.lit(COPYRIGHT_LINE)), F.lit("")).otherwise(F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))))
+    def spelled(x: Column) -> Column:
+        out, found = x, F.contains(F.concat(F.lit(" "), x, F.lit(" ")), F.lit(f" {SPELLINGS[-1][0]} "))
+        for a, b in SPELLINGS:
+            out = F.regexp_replace(out, _whole_word(a), b)
+            # Plain search, which most lines end with.
+            found = found if len(a) == 1 else found | F.contains(x, F.lit(a))
+        return F.when(found, out).otherwise(x)
+
+    return F.transform(lines, spelled)
+
+
+def _joined(form: Column) -> Column:
+    for a, b in JOINED:
+        form = F.replace(form, F.lit(a), F.lit(b))
+    return form
+
+
+def units(lines: Column) -> Column:
+    """(unit, position, form) of the text, its paragraphs and its lines, from canonical lines; forms have words.
+
+    A line's position is its number in the text, a paragraph's its number among those with words.
+    """
+    plain = lambda xs: F.filter(xs, lambda x: (x != "") & (x != PARAGRAPH))
+    whole = F.array(_joined(F.array_join(plain(lines), " ")))
+    blocks = F.split(F.array_join(F.filter(lines, lambda x: x != ""), " "), rf" ?(?:{PARAGRAPH} ?)+", -1)
+    blocks = F.filter(F.transform(blocks, lambda x: _joined(F.trim(x))), lambda x: x != "")
+
+    def named(unit: str, forms: Column) -> Column:
+        return F.filter(F.transform(forms, lambda x, i: F.struct(F.lit(unit).alias("unit"), i.cast("long").alias("position"), x.alias("form"))),
+                        lambda u: (u["form"] != "") & (u["form"] != PARAGRAPH))
+
+    return F.concat(named("text", whole), named("paragraph", blocks), named("line", F.transform(lines, _joined)))
+
+
+def longest(known: Mapping[str, tuple[str, ...]]) -> int:
+    """A length that no canonical form of a known wording exceeds."""
+    return 2 * max(len(t) for texts in known.values() for t in texts)
 
 
 def digest_table(like: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN) -> DataFrame:
     """(digest, license): one row for every known wording, canonicalised by the same expression as the texts."""
     rows = [F.struct(F.lit(k).alias("license"), F.lit(t).alias("wording")) for k, texts in known.items() for t in texts]
     table = like.sparkSession.range(1).select(F.inline(F.array(*rows)))
-    return table.select("license", F.sha2(canonical(F.col("wording")), 256).alias("digest")).dropDuplicates(["digest"])
+    forms = table.select("license", F.element_at(units(canonical_lines(F.col("wording"))), 1)["form"].alias("form"))
+    return forms.select("license", F.sha2("form", 256).alias("digest")).dropDuplicates(["digest"])
 
 
 def scan_licenses(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_whole`` (the licence that the entire text is, or null) and ``_licenses``.
 
-    ``_licenses`` is an array of (unit, position, license): unit text, paragraph or line, position counted from 0,
-    ordered by license, unit and position. Null or empty texts have none, and units without a word are passed over.
-    Each row is looked up on its own, so repeated rows and null ids do no harm. Paragraphs are separated by empty
-    lines. Columns of ``docs`` whose names begin with an underscore are not allowed.
+    ``_licenses`` is an array of (license, unit, position), ordered by them: unit text, paragraph or line, position
+    counted from 0. Null or empty texts have none, and units without a word are passed over. Equal texts share their
+    finds, so repeated rows and null ids do no harm. Paragraphs are separated by blank lines. Columns of ``docs``
+    whose names begin with an underscore are not allowed.
 
-    The lookup is a join with the digest table on the exploded units; only units that meet a digest come back, and
-    they are joined to the documents by a hash of the text that texts equal share.
+    The lookup is a join of the digests of all units with the digest table; only units that meet one come back, and
+    they are joined to the documents by a hash of the text. Units longer than any known wording need no digest.
     """
     if clash := [c for c in docs.columns if c.startswith("_")]:
         raise ValueError(f"columns may not begin with an underscore: {clash}")
@@ -92,14 +133,10 @@ def scan_licenses(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN,
     digests = digest_table(docs, known)
     key = F.xxhash64(text)
 
-    def units(kind: str, pattern: str | None) -> DataFrame:
-        parts = F.array(text) if pattern is None else F.split(text, pattern, -1)
-        return docs.select(key.alias("_key"), F.length(text).alias("_chars"), F.lit(kind).alias("unit"), F.posexplode(parts).alias("position", "part"))
-
-    found = units("text", None).unionByName(units("paragraph", r"\n[\x20\t\r]*\n")).unionByName(units("line", r"\n"))
-    form = found.withColumn("form", canonical(F.col("part"))).where("form != ''")
-    hits = form.withColumn("digest", F.sha2("form", 256)).join(digests, "digest").groupBy("_key", "_chars").agg(
-        F.array_sort(F.collect_set(F.struct("license", "unit", F.col("position").cast("long").alias("position")))).alias("_licenses"))
+    lines = docs.select(key.alias("_key"), F.length(text).alias("_chars"), canonical_lines(text).alias("lines"))
+    forms = lines.select("_key", "_chars", F.inline(units(F.col("lines")))).where(F.length("form") <= longest(known))
+    hits = forms.withColumn("digest", F.sha2("form", 256)).join(digests, "digest").groupBy("_key", "_chars").agg(
+        F.array_sort(F.collect_set(F.struct("license", "unit", "position"))).alias("_licenses"))
     out = docs.withColumn("_key", key).withColumn("_chars", F.length(text)).join(hits, ["_key", "_chars"], "left")
     none = F.array().cast("array<struct<license:string,unit:string,position:bigint>>")
     licenses = F.coalesce("_licenses", none)
@@ -108,20 +145,22 @@ def scan_licenses(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN,
 
 
 def sql(known: Mapping[str, tuple[str, ...]] = KNOWN) -> str:
-    """The same lookup in SQL, for comparison."""
+    """The same lookup in SQL, for comparison: each unit is brought into its canonical form as a whole."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     wordings = ", ".join(f"({quote(k)}, {quote(t)})" for k, texts in known.items() for t in texts)
-    form = f"""' ' || regexp_replace(regexp_replace(lower(part), {quote(COPYRIGHT_LINE)}, '', 'g'), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"""
-    for a, b in SPELLINGS:
+    form = f"""' ' || regexp_replace(regexp_replace(lower(part), {quote("(?m)" + COPYRIGHT_LINE)}, '', 'g'), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"""
+    for a, b in (*SPELLINGS, *JOINED):
         form = f"replace({form}, {quote(f' {a.replace(' ', '  ')} ')}, {quote(f' {b} ')})"
     form = f"trim(regexp_replace({form}, '\\x20+', ' ', 'g'))"
     return f"""
 WITH k AS (SELECT DISTINCT license, sha256({form}) AS digest FROM (VALUES {wordings}) w(license, part)),
-u AS (SELECT doc_id, 'text' AS unit, 0 AS position, coalesce(text, '') AS part FROM documents
+u AS (SELECT doc_id, 'text' AS unit, 0 AS nr, coalesce(text, '') AS part FROM documents
   UNION ALL SELECT doc_id, unit, generate_subscripts(parts, 1) - 1, unnest(parts) FROM (
-    SELECT doc_id, 'paragraph' AS unit, string_split_regex(coalesce(text, ''), '\\n[\\x20\\t\\r]*\\n') AS parts FROM documents
+    SELECT doc_id, 'paragraph' AS unit, string_split_regex(coalesce(text, ''), '\\n(?:[\\x20\\t\\r]*\\n)+') AS parts FROM documents
     UNION ALL SELECT doc_id, 'line', string_split(coalesce(text, ''), chr(10)) FROM documents)),
-h AS (SELECT doc_id, license, unit, position FROM (SELECT *, {form} AS form FROM u) f JOIN k ON sha256(form) = digest WHERE form <> ''),
+f AS (SELECT *, {form} AS form FROM u),
+n AS (SELECT *, CASE WHEN unit = 'paragraph' THEN row_number() OVER (PARTITION BY doc_id, unit ORDER BY nr) - 1 ELSE nr END AS position FROM f WHERE form <> ''),
+h AS (SELECT doc_id, license, unit, position FROM n JOIN k ON sha256(form) = digest),
 a AS (SELECT doc_id, max(CASE WHEN unit = 'text' THEN license END) AS whole_license,
     string_agg(license || ':' || unit || ':' || position, ',' ORDER BY license, unit, position) AS places, count(*) AS n_units FROM h GROUP BY doc_id),
 l AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses FROM (SELECT DISTINCT doc_id, license FROM h) GROUP BY doc_id)
