@@ -22,9 +22,10 @@ MONTH_REV = "m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS sale_month,
 # --- A: sources and sinks --------------------------------------------------------------------------
 
 
-@query("load_table", "", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+@query("load_table", "", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
 def _(t):
-    return tables.load_table(t.spark, t.path, "orders")
+    # Read with a declared schema: columns that it does not name are not read.
+    return tables.load_table(t.spark, t.path, "orders", schema="o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE")
 
 
 @query("load_sales_limited", "", """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_shipdate FROM lineitem
@@ -458,10 +459,10 @@ def _(t):
     return joins.missing_keys(t.raw("documents"), t.raw("labels"), "doc_id")
 
 
-@query("sample")
+@query("sample", "", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 1000""")
 def _(t):
     from shelfline.operators.sampling import sample_rows
-    return sample_rows(t.sales, 1000, seed=42)
+    return sample_rows(t.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice"), 1000, seed=42, key=["o_orderkey"])
 
 
 # --- G: scalar functions --------------------------------------------------------------------------------------

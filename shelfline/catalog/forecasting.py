@@ -128,40 +128,92 @@ def _(t):
 
 # --- training -------------------------------------------------------------------------------------------------
 
-_PREPARED: dict = {}
+class Run:
+    """One training of all models over a folder: stored features, prepared rows and results."""
 
+    def __init__(self, t):
+        self.features = materialize(feature_table(t), "features")
+        self.prepared = tr.prepare(self.features, keep=["day_of_week", "month"])
+        self._trained = {}
 
-def prepared(t):
-    """The prepared rows of a directory, shared by the training queries of one session."""
-    key = (t.spark.sparkContext.applicationId, t.path)
-    if key not in _PREPARED:
-        _PREPARED.clear()
-        features = materialize(feature_table(t), "features")
-        _PREPARED[key] = (features, tr.prepare(features, keep=["day_of_week", "month"]))
-    return _PREPARED[key]
+    def of(self, *names):
+        """Results of the named models; each is fitted when it is first asked for."""
+        if new := [s for s in specs(*names) if s.name not in self._trained]:
+            self._trained |= {r.name: r for r in tr.train_all(self.prepared, new)}
+        return [self._trained[n] for n in names if n in self._trained]
+
+    @property
+    def results(self):
+        return self.of(*[s.name for s in tr.model_specs()])
+
+    def close(self):
+        self.prepared.train.unpersist()
+        self.prepared.test.unpersist()
+
+
+_RUNS: dict = {}
+
+
+def run_of(t):
+    """The training run over a folder, made once a session and anew when a file it reads has changed."""
+    jvm = t.spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{t.path}/lineitem.parquet")
+    changed = at.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).getModificationTime()
+    key = (t.spark.sparkContext.applicationId, t.path, changed)
+    if key not in _RUNS:
+        for old in _RUNS.values():
+            if old.features.sparkSession.sparkContext.applicationId == key[0]:
+                old.close()
+        _RUNS.clear()
+        _RUNS[key] = Run(t)
+    return _RUNS[key]
 
 
 def specs(*names):
     return [s for s in tr.model_specs() if s.name in names]
 
 
+# The closed forms of linear models with one standardised feature; the models with all features are in train_all.
+ONE_FEATURE = "sales_lag_7"
+ROWS_SQL = f"""x AS (SELECT i, n, q AS y, r AS x, row_number() OVER (ORDER BY i) - 1 AS j, COUNT(*) OVER () AS m FROM (
+   SELECT ROW_NUMBER() OVER (ORDER BY date, store_id, product_id) - 1 AS i, COUNT(*) OVER () AS n, q, r FROM (
+     SELECT date, store_id, product_id, CAST(daily_quantity AS DOUBLE) AS q,
+       CAST(LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS DOUBLE) AS r FROM daily) WHERE r IS NOT NULL)),
+ part AS (SELECT *, j < CAST(FLOOR(m * 0.8) AS BIGINT) AS training FROM x),
+ fitted AS (SELECT COUNT(*) AS k, AVG(y) AS my, AVG(x) AS mx, STDDEV_SAMP(x) AS sx, COVAR_POP(y, x) * COUNT(*) / STDDEV_SAMP(x) AS sxy FROM part WHERE training)"""
+
+
+def one_feature(t):
+    return tr.prepare(run_of(t).features, [ONE_FEATURE])
+
+
+def _linear_query(name, model, slope):
+    @query(name, "daily", f"""WITH {ROWS_SQL}, c AS (SELECT *, {slope} AS b FROM fitted),
+     e AS (SELECT training, y - (my + b * (x - mx) / sx) AS e FROM part, c)
+     SELECT '{model}' AS model, (SELECT ROUND(my, 3) FROM c) AS intercept, (SELECT ROUND(b, 3) FROM c) AS coefficient,
+      ROUND(SQRT(AVG(e * e) FILTER (training)), 3) AS train_rmse, ROUND(SQRT(AVG(e * e) FILTER (NOT training)), 3) AS test_rmse,
+      COUNT(*) FILTER (training) AS train_rows, COUNT(*) FILTER (NOT training) AS test_rows FROM e""")
+    def _(t):
+        p = one_feature(t)
+        fit = specs(model)[0].make(p.rows, p.label_std).fit(p.train)
+        rmse = [ev.metrics_regression(fit.transform(d), tr.TARGET, "prediction", places=None).first().rmse for d in (p.train, p.test)]
+        row = (model, round(fit.intercept, 3), round(float(fit.coefficients[0]), 3), *[round(r, 3) for r in rmse], p.train.count(), p.test.count())
+        return t.spark.createDataFrame([row], "model STRING, intercept DOUBLE, coefficient DOUBLE, train_rmse DOUBLE, test_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
+
+
+_linear_query("train_linear", "LinearRegression", "sxy / (k - 1)")
+_linear_query("train_ridge", "Ridge", "sxy / (k - 1 + 1.0)")
+_linear_query("train_lasso", "Lasso", "SIGN(sxy) * GREATEST(ABS(sxy) / k - 0.1, 0) / ((k - 1.0) / k)")
+
+
 def _training_query(name, *models):
     @query(name)
     def _(t):
-        return tr.results_summary(t.spark, tr.train_all(prepared(t)[1], specs(*models)))
+        return tr.results_summary(t.spark, run_of(t).of(*models))
 
 
-_training_query("train_linear", "LinearRegression")
-_training_query("train_ridge", "Ridge")
-_training_query("train_lasso", "Lasso")
 _training_query("train_random_forest", "RandomForest")
-
-
-@query("train_gbt")
-def _(t):
-    # Fitted and tested once each: cross validation of boosting is an option of the caller.
-    return tr.results_summary(t.spark, tr.train_all(
-        prepared(t)[1], specs("BoostedDepthwise", "BoostedLeafy", "BoostedSampled"), folds=0)).drop("CV_RMSE", "CV_Std")
+_training_query("train_gbt", "BoostedDepthwise", "BoostedLeafy", "BoostedSampled")
 
 
 def _encoded(name):
@@ -174,42 +226,50 @@ def _encoded(name):
 @query("encode_features", TABLE_VIEWS, f"""WITH {TABLE_CTES}, t AS ({TABLE_SELECT})
  SELECT date, store_id, product_id, {', '.join(_encoded(n) for n in tr.FEATURES)} FROM t""")
 def _(t):
-    rows, used, _ = tr.encode_features(prepared(t)[0])
+    rows, used, _ = tr.encode_features(run_of(t).features)
     stds = [n for n in used if n.startswith("rolling_std")]
     return rows.select("date", "store_id", "product_id", *used).withColumns({n: F.round(n, 4) for n in stds})
 
 
-@query("cross_validate")
+@query("cross_validate", "daily", f"""WITH {ROWS_SQL}, f AS (SELECT y, (x - mx) / sx AS z, CASE WHEN j < k // 3 + CAST(k % 3 > 0 AS INT) THEN 0
+   WHEN j < 2 * (k // 3) + LEAST(k % 3, 2) THEN 1 ELSE 2 END AS fold FROM part, fitted WHERE training),
+  g AS (SELECT a.k AS fold, REGR_SLOPE(y, z) AS b, REGR_INTERCEPT(y, z) AS a FROM f, (SELECT unnest([0, 1, 2]) AS k) a WHERE f.fold <> a.k GROUP BY a.k),
+  s AS (SELECT f.fold, SQRT(AVG((y - (a + b * z)) * (y - (a + b * z)))) AS rmse FROM f JOIN g ON f.fold = g.fold GROUP BY f.fold)
+  SELECT 'LinearRegression' AS model, ROUND(AVG(rmse), 4) AS cv_rmse, ROUND(STDDEV_POP(rmse), 4) AS cv_std, COUNT(*) AS folds FROM s""")
 def _(t):
-    p = prepared(t)[1]
-    m, s, scores = tr.cross_validate(specs("LinearRegression")[0], p)
-    return t.spark.createDataFrame([("LinearRegression", m, s, len(scores))], "model STRING, cv_rmse DOUBLE, cv_std DOUBLE, folds INT")
+    m, s, scores = tr.cross_validate(specs("LinearRegression")[0], one_feature(t))
+    return t.spark.createDataFrame([("LinearRegression", round(m, 4), round(s, 4), len(scores))], "model STRING, cv_rmse DOUBLE, cv_std DOUBLE, folds INT")
 
 
 @query("train_all")
 def _(t):
-    return tr.metrics_frame(t.spark, tr.train_all(prepared(t)[1], specs("LinearRegression", "Ridge", "Lasso", "RandomForest")))
+    return tr.metrics_frame(t.spark, run_of(t).results)
 
 
 @query("results_summary")
 def _(t):
-    return tr.results_summary(t.spark, tr.train_all(prepared(t)[1], specs("LinearRegression", "Ridge", "Lasso")))
+    return tr.results_summary(t.spark, run_of(t).results)
 
 
-@query("save_load_models")
+@query("save_load_models", "daily", f"""WITH {ROWS_SQL}, d AS (SELECT date, store_id, product_id, LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS r FROM daily)
+  SELECT date, CAST(store_id AS BIGINT) AS store_id, CAST(product_id AS BIGINT) AS product_id, TRUE AS same, CAST(7 AS BIGINT) AS models FROM d WHERE r IS NOT NULL""")
 def _(t):
-    p, path = prepared(t)[1], fresh_path(t.spark, "models")
-    results = tr.train_all(p, specs("LinearRegression", "Lasso"), folds=0)
-    tr.save_models(t.spark, results, path, tr.best_of(t.spark, results).name, p.names)
-    name, model, names = tr.load_best(t.spark, path)
-    rows = tr.encode_features(prepared(t)[0], names)[0]
-    return model.transform(rows).select("date", "store_id", "product_id", F.lit(name).alias("model"), clip_round("prediction").alias("predicted"))
+    # Stored, loaded again and applied to every row: the reloaded best model predicts what the fitted one does.
+    run, path = run_of(t), fresh_path(t.spark, "models")
+    best = tr.best_of(t.spark, run.results)
+    tr.save_models(t.spark, run.results, path, best.name, run.prepared.names)
+    _, model, names = tr.load_best(t.spark, path)
+    rows = tr.encode_features(run.features, names)[0].select("date", "store_id", "product_id", *names)
+    drop = ["raw_features", "features"]
+    both = model.transform(best.model.transform(rows).withColumnRenamed("prediction", "fitted").drop(*drop))
+    return both.select("date", "store_id", "product_id", (F.col("prediction") == F.col("fitted")).alias("same"), F.lit(len(run.results)).alias("models"))
 
 
 @query("train_job")
 def _(t):
+    run = run_of(t)
     out = tr.training_job(t.spark, t.series_sales, t.calendar, t.series_stores, t.series_products, t.series_weather,
-                          t.series_promotions, save_features=True, specs=specs("LinearRegression", "Ridge", "Lasso"))
+                          t.series_promotions, save_features=True, done=(run.features, run.prepared, run.results))
     keys = ["feature_rows", "features", "models_trained", "best_model", "best_rmse", "train_rows", "test_rows"]
     return t.spark.createDataFrame([tuple(out[k] for k in keys)],
                                    "feature_rows BIGINT, features INT, models_trained INT, best_model STRING, best_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
@@ -217,40 +277,52 @@ def _(t):
 
 @query("feature_importance")
 def _(t):
-    p = prepared(t)[1]
-    results = tr.train_all(p, specs("RandomForest"), folds=0)
-    return tr.top_features(tr.feature_importance(t.spark, results, p.names))
+    run = run_of(t)
+    return tr.top_features(tr.feature_importance(t.spark, run.results, run.prepared.names))
 
 
 @query("feature_importance_by_model")
 def _(t):
-    p = prepared(t)[1]
-    results = tr.train_all(p, specs("RandomForest"), folds=0)
-    return tr.importance_by_model(tr.feature_importance(t.spark, results, p.names), ["RandomForest"])
+    run = run_of(t)
+    trees = [r.name for r in run.results if hasattr(r.model.stages[-1], "featureImportances")]
+    return tr.importance_by_model(tr.feature_importance(t.spark, run.results, run.prepared.names), trees)
 
 
 @query("learning_curve")
 def _(t):
-    return tr.learning_curve(t.spark, specs("LinearRegression")[0], prepared(t)[1])
+    run = run_of(t)
+    return tr.learning_curve(t.spark, specs(tr.best_of(t.spark, run.results).name)[0], run.prepared)
 
 
 @query("cv_report")
 def _(t):
-    return tr.cv_report(t.spark, specs("LinearRegression", "Ridge", "Lasso"), prepared(t)[1])
+    return tr.cv_report(t.spark, tr.model_specs(), run_of(t).prepared)
 
 
 # --- scoring and forecasts ----------------------------------------------------------------------------------------
 
 
-@query("score_batch")
+@query("score_batch", "daily", f"""WITH {ROWS_SQL}, b AS (SELECT *, sxy / (k - 1) AS b FROM fitted),
+  h AS (SELECT store_id, product_id, date, CAST(LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS DOUBLE) AS r FROM daily),
+  l AS (SELECT store_id, product_id, arg_max(r, date) AS r FROM h WHERE r IS NOT NULL GROUP BY 1, 2),
+  a AS (SELECT store_id, product_id, r, TRUE AS has_history FROM l UNION ALL SELECT store_id, product_id + 1000, {float(fc.DEFAULT_FEATURES["sales_lag_7"])}, FALSE FROM l
+   UNION ALL SELECT store_id, product_id + 2000, 25.0, FALSE FROM l UNION ALL SELECT store_id, product_id + 3000, 0.0, FALSE FROM l)
+  SELECT CAST(store_id AS BIGINT) AS store_id, CAST(product_id AS BIGINT) AS product_id, CAST([7, 14, 30][product_id % 3 + 1] AS BIGINT) AS horizon_days,
+   ROUND(GREATEST(my + b * (r - mx) / sx, 0), 2) AS predicted_quantity, 'LinearRegression' AS model_used, has_history, CAST(NULL AS VARCHAR) AS error FROM a, b""")
 def _(t):
-    features, p = prepared(t)
-    results = tr.train_all(p, specs("LinearRegression"), folds=0)
+    run, p = run_of(t), one_feature(t)
+    model = tr.PipelineModel([*p.stages.stages, specs("LinearRegression")[0].make(p.rows, p.label_std).fit(p.train)])
     horizon = F.element_at(F.array(*[F.lit(h) for h in fc.HORIZONS]), (F.col("product_id") % 3 + 1).cast("int"))
-    known = features.select("store_id", "product_id").distinct().withColumn("horizon", horizon)
-    # Requests for products without history follow the default vector.
-    unknown = known.withColumn("product_id", F.col("product_id") + 1000)
-    return fc.score_batch(known.unionByName(unknown), features, results[0].model, results[0].name, p.names)
+    series = run.features.select("store_id", "product_id").distinct()
+    none = F.lit(None).cast("map<string,double>")
+
+    def shifted(by, given):
+        return series.withColumn("product_id", F.col("product_id") + by).withColumn("horizon", horizon).withColumn("given", given)
+
+    # Known series, unknown ones (default vector), and features given by the caller, with and without the one used.
+    requests = shifted(0, none).unionByName(shifted(1000, none)).unionByName(
+        shifted(2000, F.create_map(F.lit(ONE_FEATURE), F.lit(25.0)))).unionByName(shifted(3000, F.create_map(F.lit("unit_price"), F.lit(1.0))))
+    return fc.score_batch(requests, run.features, model, "LinearRegression", [ONE_FEATURE], given="given")
 
 
 DEFAULT_SQL = ", ".join(f"CAST({float(v)} AS DOUBLE) AS {k}" for k, v in fc.DEFAULT_FEATURES.items())

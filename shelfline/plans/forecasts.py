@@ -58,24 +58,28 @@ def validate_requests(requests: DataFrame, stores: DataFrame, products: DataFram
 
 
 def latest_features(features: DataFrame, names: Sequence[str] = FEATURES) -> DataFrame:
-    """The newest feature row of every series, by aggregation rather than a window sort."""
-    vector = F.struct(*[F.col(n).cast("double").alias(n) for n in names])
-    return features.groupBy("store_id", "product_id").agg(F.max_by(vector, "date").alias("f")).select(
-        "store_id", "product_id", F.lit(True).alias("known"), "f.*")
+    """The newest feature row of every series: its date is found first, and the rows are then joined by it."""
+    keys = ["store_id", "product_id"]
+    newest = features.groupBy(*keys).agg(F.max("date").alias("date"))
+    rows = features.select(*keys, "date", *[F.col(n).cast("double").alias(n) for n in names]).join(newest, [*keys, "date"])
+    return rows.select(*keys, F.lit(True).alias("known"), *names)
 
 
 def score_batch(requests: DataFrame, features: DataFrame, model: PipelineModel, model_name: str,
-                names: Sequence[str] = FEATURES) -> DataFrame:
+                names: Sequence[str] = FEATURES, given: str | None = None) -> DataFrame:
     """Forecast per request from the latest features of its series, defaults where there are none.
 
-    A request that cannot be scored gets an ``error`` and no quantity; the others are not affected.
+    ``given`` names a map column with features given by the caller: where it is not NULL it alone counts, and a
+    feature that it lacks is 0. A request that cannot be scored gets an ``error`` and no quantity; the others are
+    not affected.
     """
     known = latest_features(features, names)
     joined = requests.join(known, ["store_id", "product_id"], "left")
     default = {n: float(DEFAULT_FEATURES[n]) for n in names}
+    own = F.col(given) if given else F.lit(None).cast("map<string,double>")
     # A known series keeps 0 for a missing value, as in training; an unknown one gets the default.
-    filled = joined.withColumns({n: F.when(F.col("known"), F.coalesce(F.col(n), F.lit(0.0))).otherwise(F.lit(default[n]))
-                                 for n in names})
+    filled = joined.withColumns({n: F.when(own.isNotNull(), F.coalesce(F.element_at(own, n), F.lit(0.0)))
+                                 .when(F.col("known"), F.coalesce(F.col(n), F.lit(0.0))).otherwise(F.lit(default[n])) for n in names})
     scored = model.transform(filled)
     error = F.when(F.col("store_id").isNull() | F.col("product_id").isNull(), "missing key")
     return scored.select(

@@ -116,16 +116,12 @@ def prepare(features: DataFrame, names: Sequence[str] = FEATURES, test_size: flo
     stages = vector_stages(used).fit(train)
     stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(TARGET).alias("s")).first()
     cols = ["date", *TIES, *[c for c in keep if c not in used], TARGET, "features"]
-    parts = [spread(stages.transform(p).select(*cols)).persist() for p in (train, test)]
+    # A small stored table may arrive as a single partition; fits want one per core at least.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = [stages.transform(p.repartition(cores, "date", *TIES)).select(*cols).persist() for p in (train, test)]
     return Prepared(*parts, stages, used, stats.n, stats.s or 0.0, missing)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: a small stored table may arrive as a single one."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "date", *TIES)
-
-
 def score_metrics(model, df: DataFrame) -> dict:
     return metrics_regression(model.transform(df), TARGET, "prediction").first().asDict()
 
@@ -312,17 +308,22 @@ def scaled_rows(prepared: Prepared) -> DataFrame:
 def training_job(spark: SparkSession, sales: DataFrame, calendar: DataFrame, stores: DataFrame, products: DataFrame,
                  weather: DataFrame | None = None, promotions: DataFrame | None = None, path: str | None = None,
                  sample_size: int | None = None, save_features: bool = False, specs: Sequence[Spec] | None = None,
-                 folds: int = CV_FOLDS, metric: str = "rmse") -> dict:
-    """From the sales fact to stored models; returns counts, the best model and the duration."""
+                 folds: int = CV_FOLDS, metric: str = "rmse",
+                 done: tuple[DataFrame, Prepared, Sequence[Trained]] | None = None) -> dict:
+    """From the sales fact to stored models; returns counts, the best model and the duration.
+
+    ``done`` are stored features, prepared rows and results of the same input: the job goes on from them.
+    """
     start = time.time()
     path = path or fresh_path(spark, "models")
     if sample_size is not None:
         sales = sample_rows(sales, sample_size, SEED)
-    features = materialize(feat_table(daily_sales_agg(sales), calendar, stores, products, weather, promotions), "features")
+    features = done[0] if done else materialize(
+        feat_table(daily_sales_agg(sales), calendar, stores, products, weather, promotions), "features")
     if save_features:
         write_features(features, f"{path}/features")
-    prepared = prepare(features)
-    results = train_all(prepared, specs, folds)
+    prepared = done[1] if done else prepare(features)
+    results = list(done[2]) if done else train_all(prepared, specs, folds)
     best = best_of(spark, results, metric)
     save_models(spark, results, path, best.name, prepared.names)
     report = {r.part: r for r in split_report(prepared.train, prepared.test).collect()}
