@@ -1,8 +1,10 @@
 """Sources, projections, joins, windows, sorts and scalar functions."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from shelfline import schemas
 from shelfline.catalog.base import query
 from shelfline.catalog.reports import CATEGORY_REVENUE, COHORT_MONTHS
 from shelfline.functions import calendar as cal
@@ -44,20 +46,38 @@ def _(t):
     return tables.parse_dates(text)
 
 
-@query("bulk_copy", "sales", """SELECT transaction_id, date, store_id, product_id, CAST(quantity AS BIGINT) AS quantity, discount_applied, CAST(discount_percent AS BIGINT) AS discount_percent,
- CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount, CAST(date_trunc('month', date) AS DATE) AS sale_month FROM sales""")
-def _(t):
+def copied(t):
+    """All seven tables written as CSV, then loaded with their declared types; returns the folder."""
     source, target = fresh_path(t.spark, "csv"), fresh_path(t.spark, "tables")
-    null = F.lit(None).cast("int")
-    sales = t.sales.withColumn("customer_id", null).withColumn("total_amount", F.col("total_amount").cast("decimal(12,2)"))
-    sales.select("transaction_id", "date", "store_id", "product_id", "customer_id", "quantity",
-                 F.col("unit_price").cast("decimal(10,2)").alias("unit_price"), "discount_applied", "discount_percent",
-                 "total_amount").write.option("header", True).csv(f"{source}/sales_transactions.csv")
-    t.stores.select("store_id", "store_name", "region", "store_format", "size_sqft", "open_date",
-                    *[null.alias(c) for c in ("latitude", "longitude", "manager_count", "employee_count")]
-                    ).write.option("header", True).csv(f"{source}/stores.csv")
-    tables.bulk_copy(t.spark, source, target, tables=["stores", "sales_transactions"])
-    return t.spark.read.parquet(f"{target}/sales_transactions.parquet").drop("customer_id", "unit_price")
+    for name, df in {"sales_transactions": t.customer_sales, **{d: getattr(t, d) for d in schemas.DIMENSIONS}}.items():
+        declared = T.StructType.fromDDL(schemas.TABLES[name])
+        columns = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared]
+        df.select(*columns).write.option("header", True).csv(f"{source}/{name}.csv")
+    tables.bulk_copy(t.spark, source, target)
+    return target
+
+
+@query("bulk_copy", "customer_sales", """SELECT transaction_id, date, store_id, product_id, customer_id, CAST(quantity AS BIGINT) AS quantity, discount_applied,
+ CAST(CAST(CAST(unit_price AS VARCHAR) AS DECIMAL(10,2)) AS DOUBLE) AS unit_price, CAST(discount_percent AS BIGINT) AS discount_percent,
+ CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount, CAST(date_trunc('month', date) AS DATE) AS sale_month FROM customer_sales""")
+def _(t):
+    return t.spark.read.parquet(f"{copied(t)}/sales_transactions.parquet")
+
+
+COPIED = {"stores": "store_id store_name region store_format size_sqft open_date", "products": "product_id product_name category subcategory unit_price unit_cost is_perishable",
+          "calendar": "date year month day day_of_week is_weekend is_holiday holiday_name season", "customers": "customer_id segment lifetime_value",
+          "weather": "date store_id temp_high_f temp_low_f precipitation_inches conditions", "promotions": "store_id product_id discount_percent start_date end_date"}
+
+
+@query("bulk_copy_dimensions", " ".join(COPIED), " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT({c}) AS filled, COUNT(DISTINCT {c}) AS different FROM {t}" for t, cs in COPIED.items() for c in cs.split()))
+def _(t):
+    target, parts = copied(t), []
+    for name, columns in COPIED.items():
+        df = t.spark.read.parquet(f"{target}/{name}.parquet")
+        parts += [df.agg(F.count(c).alias("filled"), F.count_distinct(c).alias("different")).select(
+            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "filled", "different") for c in columns.split()]
+    return joins.stack(parts)
 
 
 @query("write_table", "sales", """SELECT transaction_id, date, store_id, product_id, CAST(quantity AS BIGINT) AS quantity, CAST(total_amount AS DOUBLE) AS total_amount

@@ -154,7 +154,7 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     f"COALESCE(SUM(total_amount) FILTER (category = '{c}'), 0) AS \"{c}\"" for c in TYPES) + """
   FROM customer_sales s JOIN products p ON s.product_id = p.product_id WHERE customer_id IS NOT NULL GROUP BY 1) """ + _corr_sql(TYPES, "f", "category_a", "category_b"))
 def _(t):
-    return eda.insight_copurchase(t.customer_sales, t.products, TYPES)
+    return eda.insight_copurchase(t.customer_sales, t.products)
 
 
 @query("insight_early_buyers", "customer_sales", """WITH d AS (SELECT customer_id, date, COUNT(DISTINCT transaction_id) AS n, SUM(total_amount) AS s FROM customer_sales WHERE customer_id IS NOT NULL GROUP BY 1, 2),

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from shelfline.functions.exprs import (avg_temperature, equal_width_bin, growth_pct, mean, month_of,
                                        precipitation_level, ratio, ratio_pct, temperature_band, DRY)
 from shelfline.operators.ordered import exact_percentiles
+from shelfline.session import materialize
 
 CORRELATED = ["total_amount", "quantity", "temp_high_f", "temp_low_f", "precipitation_inches", "humidity_percent",
               "day_of_week", "is_weekend", "is_holiday", "week_of_year", "month"]
@@ -153,20 +154,19 @@ def eda_weather_impact(sales: DataFrame, weather: DataFrame) -> DataFrame:
 def eda_temperature_corr(sales: DataFrame, weather: DataFrame) -> DataFrame:
     """Correlation of daily high and sale amount over all sales.
 
-    All sales of a store and day share the temperature, so their count, sum and sum of squares are
-    enough and the join meets store days instead of sales.
+    All sales of a store and day share the temperature, so their count, mean and squared deviations are enough and
+    the join meets store days instead of sales. Deviations are taken from the overall means: nothing cancels.
     """
     y = F.col("total_amount").cast("double")
     days = sales.where(F.col("total_amount").isNotNull()).groupBy("date", "store_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("y"), F.sum(y * y).alias("yy"))
-    w = days.join(weather.select("date", "store_id", "temp_high_f").where(F.col("temp_high_f").isNotNull()), ["date", "store_id"])
-    x = F.col("temp_high_f").cast("double")
-    s = w.agg(F.sum("n").cast("double").alias("n"), F.sum(F.col("n") * x).alias("x"), F.sum(F.col("n") * x * x).alias("xx"),
-              F.sum("y").cast("double").alias("y"), F.sum("yy").alias("yy"), F.sum(x * F.col("y").cast("double")).alias("xy"))
-    cov = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
-    vx = F.col("xx") - F.col("x") * F.col("x") / F.col("n")
-    vy = F.col("yy") - F.col("y") * F.col("y") / F.col("n")
-    return s.select(F.round(F.try_divide(cov, F.sqrt(vx * vy)), 6).alias("temp_sales_corr"))
+        F.count(F.lit(1)).cast("double").alias("n"), mean("total_amount").alias("y"), F.var_pop(y).alias("v"))
+    w = days.join(weather.select("date", "store_id", F.col("temp_high_f").cast("double").alias("x")).where("x is not null"), ["date", "store_id"])
+    w = materialize(w.select("n", "x", "y", "v"), "store-days")
+    means = w.agg(ratio(F.sum(F.col("n") * F.col("x")), F.sum("n")).alias("x"), ratio(F.sum(F.col("n") * F.col("y")), F.sum("n")).alias("y"))
+    n, dx, dy = F.col("n"), F.col("x") - F.col("mx"), F.col("y") - F.col("my")
+    s = w.withColumns({"mx": means.select("x").scalar(), "my": means.select("y").scalar()}).agg(
+        F.sum(n * dx * dx).alias("xx"), F.sum(n * (F.col("v") + dy * dy)).alias("yy"), F.sum(n * dx * dy).alias("xy"))
+    return s.select(F.round(F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))), 6).alias("temp_sales_corr"))
 
 
 def eda_promo_lift(sales: DataFrame) -> DataFrame:
@@ -212,12 +212,16 @@ def target_correlations(matrix: DataFrame, target: str = TARGET) -> DataFrame:
 # --- analyses behind the figures quoted in the business report -------------------------------------
 
 
-def insight_copurchase(sales: DataFrame, products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Correlation between the amounts customers spend in the given categories."""
-    known = sales.where(F.col("customer_id").isNotNull())
-    spend = known.join(products.select("product_id", "category"), "product_id").groupBy("customer_id").agg(
-        *[F.coalesce(F.sum(F.when(F.col("category") == c, F.col("total_amount"))), F.lit(0)).cast("double").alias(c)
-          for c in categories])
+def insight_copurchase(sales: DataFrame, products: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    """Correlation between the amounts customers spend in the categories (those of the dimension if not given).
+
+    The fact is reduced to customers and products before it meets the dimension.
+    """
+    if categories is None:
+        categories = [r[0] for r in products.select("category").where("category is not null").distinct().orderBy("category").collect()]
+    bought = sales.where(F.col("customer_id").isNotNull()).groupBy("customer_id", "product_id").agg(F.sum("total_amount").alias("s"))
+    spend = bought.join(products.select("product_id", "category"), "product_id").groupBy("customer_id").agg(
+        *[F.coalesce(F.sum(F.when(F.col("category") == c, F.col("s"))), F.lit(0)).cast("double").alias(c) for c in categories])
     return eda_correlation_matrix(spend, list(categories)).withColumnsRenamed({"column_a": "category_a", "column_b": "category_b"})
 
 
@@ -262,8 +266,8 @@ def insight_format_density(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 def insight_weather_category(sales: DataFrame, products: DataFrame, weather: DataFrame) -> DataFrame:
     """Category with the highest and the lowest revenue per temperature band."""
-    days = sales.join(products.select("product_id", "category"), "product_id").groupBy("date", "store_id", "category").agg(
-        F.sum("total_amount").alias("s"))
+    sold = sales.groupBy("date", "store_id", "product_id").agg(F.sum("total_amount").alias("s"))
+    days = sold.join(products.select("product_id", "category"), "product_id").groupBy("date", "store_id", "category").agg(F.sum("s").alias("s"))
     band = temperature_band(avg_temperature("temp_high_f", "temp_low_f"))
     by_band = days.join(weather.select("date", "store_id", band.alias("temperature_band")), ["date", "store_id"]).groupBy(
         "temperature_band", "category").agg(F.sum("s").alias("revenue"))
