@@ -85,7 +85,7 @@ def log_weights(ratio: np.ndarray):
 
 def importance_scores(docs: DataFrame, labels: DataFrame, label_bound: int = 20_000, smoothing: float = 1.0, seed: str = "gumbel",
                       id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, float]:
-    """Stored (doc_id, tie, n_grams, log_weight, key) and the share of good documents among the labelled.
+    """Stored (doc_id, tie, n_grams, log_weight, key, all) and the share of good documents among the labelled.
 
     The target model uses the ``label_bound`` labelled good ids with the smallest hashes; the raw model counts
     every document. ``labels``: doc_id, quality (1 good, 0 bad; null is no label).
@@ -106,7 +106,10 @@ def importance_scores(docs: DataFrame, labels: DataFrame, label_bound: int = 20_
         ratio[:] = 0
     gumbel = -F.log(-F.log(uniform(seed, F.col("doc_id"))))
     scored = base.mapInArrow(log_weights(ratio), "doc_id long, tie long, n_grams long, log_weight double")
-    return materialize(scored.withColumn("key", F.col("log_weight") + gumbel), "importance-scores"), 1.0 if share is None else share
+    # All rows are one group. Its key is stored like the scores: a literal would be folded, and the joins on it
+    # would turn into nested loops.
+    scored = scored.select("*", (F.col("log_weight") + gumbel).alias("key"), F.lit(0).alias("all"))
+    return materialize(scored, "importance-scores"), 1.0 if share is None else share
 
 
 def resample(docs: DataFrame, labels: DataFrame, rate: float | None = None, **options) -> DataFrame:
@@ -118,7 +121,7 @@ def resample(docs: DataFrame, labels: DataFrame, rate: float | None = None, **op
     """
     scored, share = importance_scores(docs, labels, **options)
     rate = share if rate is None else rate
-    ranked = scored.withColumn("all", F.lit(0)).withColumn("one", F.lit(1).cast("long")).withColumn("x", -F.col("key"))
+    ranked = scored.withColumn("one", F.lit(1).cast("long")).withColumn("x", -F.col("key"))
     budgets = ranked.groupBy("all").agg((F.count(F.lit(1)) * rate).cast("double").alias("budget"))
     cut = prefix_cut(ranked, "all", "x", ["doc_id", "tie"], "one", budgets)
     kept = F.coalesce(within("x", ["doc_id", "tie"]), F.lit(False))
