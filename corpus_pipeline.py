@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm import spans
 from shelfline.llm.bpe import encode_documents
+from shelfline.llm.columns import free
 from shelfline.llm.importance import resample
 from shelfline.llm.mixing import mix
 from shelfline.llm.near_dup import near_duplicates
@@ -35,21 +36,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
     kept = _only(docs, near_duplicates(docs).where("kept"))
-    return kept.withColumn("_tie", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_tie"]).drop("_tie")
+    tie = free("_tie", docs.columns)
+    return kept.withColumn(tie, F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", tie]).drop(tie)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are cut out of the texts, which keep all else; ``n_chars`` follows."""
-    found = scan_secrets(docs)
-    clean = spans.replaced(F.col("text"), F.col("_spans"), lambda s: F.lit("[SECRET]"))
-    found = found.withColumn("text", clean).drop("_spans")
+    found, name = scan_secrets(docs), free("_spans", docs.columns)
+    clean = spans.replaced(F.col("text"), F.col(name), lambda s: F.lit("[SECRET]"))
+    found = found.withColumn("text", clean).drop(name)
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it, one row a copy."""
-    mixed = mix(docs).where("_copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+    copies = F.col(free("_copies", docs.columns))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(free("_copy", docs.columns))
+    return mix(docs).where(copies > 0).select(*docs.columns, each).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.columns import Numbered
+
 _MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
 use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
@@ -122,13 +124,13 @@ def scan_licenses(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN,
     ``_licenses`` is an array of (license, unit, position), ordered by them: unit text, paragraph or line, position
     counted from 0. Null or empty texts have none, and units without a word are passed over. Equal texts share their
     finds, so repeated rows and null ids do no harm. Paragraphs are separated by blank lines. Columns of ``docs``
-    whose names begin with an underscore are not allowed.
+    may have any names: a new column whose name is taken gets one more leading underscore.
 
     The lookup is a join of the digests of all units with the digest table; only units that meet one come back, and
     they are joined to the documents by a hash of the text. Units longer than any known wording need no digest.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns may not begin with an underscore: {clash}")
+    table = Numbered(docs)
+    docs, text_col = table.df, table.at(text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     digests = digest_table(docs, known)
     key = F.xxhash64(text)
@@ -141,7 +143,7 @@ def scan_licenses(docs: DataFrame, known: Mapping[str, tuple[str, ...]] = KNOWN,
     none = F.array().cast("array<struct<license:string,unit:string,position:bigint>>")
     licenses = F.coalesce("_licenses", none)
     whole = F.get(F.filter(licenses, lambda x: x["unit"] == "text"), F.lit(0))["license"]
-    return out.select(*docs.columns, whole.alias("_whole"), licenses.alias("_licenses"))
+    return table.back(out, _whole=whole, _licenses=licenses)
 
 
 def sql(known: Mapping[str, tuple[str, ...]] = KNOWN) -> str:

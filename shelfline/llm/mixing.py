@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfline.llm.columns import Numbered
 from shelfline.llm.cuts import prefix_cut, within
 from shelfline.session import materialize
 
@@ -63,11 +64,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     ``preference`` names a column with positive factors that make a document more or less likely than its source
     as a whole (null: 1). Null text has no words; documents without words are never taken, as they add nothing.
     A null id draws as an empty id; rows that repeat id and text draw alike and are taken or left together.
-    Null is a source of its own. An empty table, or one
-    without words, gives targets of 0. Columns of ``docs`` whose names begin with an underscore are not allowed.
+    Null is a source of its own. An empty table, or one without words, gives targets of 0. Columns of ``docs`` may
+    have any names: a new column whose name is taken gets one more leading underscore.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns may not begin with an underscore: {clash}")
+    table = Numbered(docs)
+    docs, id_col, text_col, source_col = table.df, table.at(id_col), table.at(text_col), table.at(source_col)
+    preference = table.at(preference) if preference else None
     source = F.col(source_col)
     # Sources are compared through a key that is never null: joins then need no null-safe equality.
     key = F.coalesce(F.concat(F.lit("="), source), F.lit("0"))
@@ -107,7 +109,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     closes = (F.col("_q") == F.col("_close_q")) & F.col("_id").eqNullSafe(F.col("_close")["_id"]) & (F.col("_tie") == F.col("_close")["_tie"])
     drawn_too = F.coalesce(F.col("_q").isNotNull() & (within("_q", TIES) | F.coalesce(closes, F.lit(False))), F.lit(False))
     copies = F.when(F.col("_size") > 0, F.col("_certain") + drawn_too.cast("long")).otherwise(F.lit(0)).cast("long")
-    return out.select(*docs.columns, "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), copies.alias("_copies"))
+    return table.back(out, _size=F.col("_size"), _source_size=F.col("source_size"), _target=F.col("target"), _copies=copies)
 
 
 # The same draw in SQL, for comparison.

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import spans as S
+from shelfline.llm.columns import Numbered
 from shelfline.session import materialize
 
 # The possessive and look-behind forms match what the plain expressions match, leftmost and without overlap, but
@@ -111,10 +112,11 @@ def sanitise(docs: DataFrame, support: int = 3, variety: float = 0.3, generalise
 
     Personal data become ``[EMAIL]`` and so on, generalised terms ``[TERM]``, removed terms nothing. Null text is
     empty. Equal texts get equal spans, so repeated rows, ties and null ids do no harm, and columns other than the
-    text play no part. An empty table gives no rows. Columns whose names begin with an underscore are not allowed.
+    text play no part. An empty table gives no rows. Columns may have any names: a new column whose name is taken
+    gets one more leading underscore.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns may not begin with an underscore: {clash}")
+    table = Numbered(docs)
+    docs, text_col = table.df, table.at(text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(text.alias("text"))
     found = plain.withColumn("spans", personal_spans(F.col("text"))).where(F.size("spans") > 0)
@@ -140,6 +142,7 @@ def sanitise(docs: DataFrame, support: int = 3, variety: float = 0.3, generalise
 
     every = F.concat(personal_spans(text), *[marked(k, len(KINDS) + i) for i, k in enumerate(TERM_KINDS)])
     out = out.select(*docs.columns, every.alias("_spans"))
+    spans = F.col("_spans")
     mark = lambda s: F.when(s["kind"] == "remove", F.lit("")).when(s["kind"] == "generalise", F.lit("[TERM]")).otherwise(
         F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    return out.withColumn("_sanitised", S.replaced(text, S.by_start(F.col("_spans")), mark))
+    return table.back(out, _spans=spans, _sanitised=S.replaced(text, S.by_start(spans), mark))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import spans as S
+from shelfline.llm.columns import Numbered
 from shelfline.session import materialize
 
 
@@ -145,10 +146,10 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
     Null text is empty and has no spans. A document's key is a hash of id and text, so repeated rows, null ids and
     ties share their candidate rules and get equal spans; a chance collision only adds a search. Spans of different
-    kinds may overlap. Columns of ``docs`` whose names begin with an underscore are not allowed.
+    kinds may overlap. Columns of ``docs`` may have any names: if ``_spans`` is taken, the new column is ``__spans``.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns may not begin with an underscore: {clash}")
+    table = Numbered(docs)
+    docs, id_col, text_col = table.df, table.at(id_col), table.at(text_col)
     queries = {i: q for i, r in enumerate(rules) if (q := trigram_query(r.pattern))}
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.withColumn("_key", _key(docs, id_col, text))
@@ -163,4 +164,4 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
             guard = F.col("_rules").bitwiseAND(F.lit(1 << i).cast("long")) != 0
         one = S.match_spans(text, rule.pattern, rule.kind, i, rule.part, guard)
         parts.append(_long_enough(one, rule.least) if rule.least else one)
-    return out.select(*docs.columns, S.by_start(F.concat(*parts)).alias("_spans"))
+    return table.back(out, _spans=S.by_start(F.concat(*parts)))

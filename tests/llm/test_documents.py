@@ -79,8 +79,9 @@ def test_mix_of_odd_rows(tricky, nothing, spark):
     assert mixing.mix(nothing).count() == 0
     empty = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id BIGINT, text STRING, source STRING")
     assert [(r["_target"], r["_copies"]) for r in mixing.mix(empty).collect()] == [(0.0, 0), (0.0, 0)]
-    with pytest.raises(ValueError):
-        mixing.mix(empty.withColumn("_copies", F.lit(1)))
+    clash = mixing.mix(tricky.withColumns({"_copies": F.lit("x"), "_key": F.lit(1), "Size": F.lit(2), "target": F.lit(3)}))
+    assert clash.columns[-4:] == ["_size", "_source_size", "_target", "__copies"]
+    assert sorted(r["__copies"] for r in clash.collect()) == sorted(r["_copies"] for r in rows)
 
 
 def test_preferred_documents_are_taken_more_often(spark):
@@ -161,6 +162,8 @@ def test_whole_licences_in_other_words(spark, tricky, nothing):
     got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
     assert [got[i]["_whole"] for i in range(8)] == ["MIT", "MIT", "MIT", None, None, "MIT", None, None]
     assert [x["unit"] for x in got[4]["_licenses"]] == ["line", "paragraph"]
+    clash = licenses.scan_licenses(df.withColumns({"_licenses": F.lit(1), "_key": F.lit(2), "form": F.lit(3), "license": F.lit(4)}))
+    assert {r.doc_id: r["__licenses"] for r in clash.collect()} == {i: r["_licenses"] for i, r in got.items()}
     assert licenses.scan_licenses(tricky).count() == tricky.count() and licenses.scan_licenses(nothing).count() == 0
 
 

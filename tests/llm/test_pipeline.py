@@ -62,3 +62,10 @@ def test_stages_take_odd_and_empty_tables(spark, tricky, nothing):
     for docs in (tricky, nothing):
         for _, stage in pipeline.STAGES:
             assert stage(spark, docs, SF).count() >= 0
+
+
+def test_stages_take_clashing_columns(spark, documents):
+    docs = documents.selectExpr("*", "1 as _tie", "2 as _spans", "3 as _copies", "4 as _copy", "5 as kept", "6 as tie", "7 as _id")
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.where("_tie = 1 and _spans = 2 and _copies = 3").count() > 100
