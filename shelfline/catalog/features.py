@@ -8,7 +8,7 @@ from shelfline.operators import features as feat
 from shelfline.operators.aggregates import daily_sales_agg
 from shelfline.operators.promotions import promo_expand_days
 from shelfline.sources.tables import write_features
-from shelfline.session import fresh_path
+from shelfline.session import fresh_path, materialize
 
 KEY = "date, CAST(d.store_id AS BIGINT) AS store_id, CAST(d.product_id AS BIGINT) AS product_id"
 DKEY = "d." + KEY
@@ -123,7 +123,11 @@ TABLE_VIEWS = "daily calendar series_stores series_products series_weather serie
 
 
 def feature_table(t):
-    return feat.feat_table(daily(t), t.calendar, t.series_stores, t.series_products, t.series_weather, t.series_promotions)
+    # The daily rows are stored once; the calendar's span and the weather's keys are read off them.
+    rows = materialize(daily(t), "daily")
+    span = rows.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
+    weather = t._weather(rows.select("date", "store_id").distinct())
+    return feat.feat_table(rows, calendar_dimension(span), t.series_stores, t.series_products, weather, t.series_promotions)
 
 
 @query("feat_table", TABLE_VIEWS, TABLE_SQL)

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from shelfline.functions.exprs import ratio
 from shelfline.operators.ordered import block_of, range_cuts
-from shelfline.operators.promotions import promo_days
+from shelfline.operators.promotions import with_active_discount
 from shelfline.session import materialize
 
 LAGS = (7, 14, 30)
@@ -106,7 +106,7 @@ def fill_promotion(df: DataFrame) -> DataFrame:
 def feat_promotion(df: DataFrame, promotions: DataFrame | None) -> DataFrame:
     """Promotion flag and largest discount of the day."""
     if promotions is not None:
-        df = df.join(promo_days(promotions), ["date", *KEYS], "left")
+        df = with_active_discount(df, promotions).withColumn("has_promotion", F.col("promotion_discount").isNotNull())
     return fill_promotion(df)
 
 

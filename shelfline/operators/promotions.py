@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Longest promotion that is expanded to days; longer ones are matched by blocks of days.
-DAY_EXPANSION_LIMIT = 60
+# Promotions of any length are matched by blocks of days, so their row count stays small.
 BLOCK_DAYS = 32
 DAY_KEYS = ["date", "store_id", "product_id"]
 
@@ -31,22 +30,16 @@ def _block(date: str):
 def with_active_discount(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     """Sales with ``promotion_discount``: the largest discount active that day, NULL without one.
 
-    Promotions of normal length become days and meet the sales in a plain equi-join with at most one
-    match. Longer ones are spread over blocks of days, so their row count stays small; only sales of
-    their store and product are tested against them, and the result joins on the same keys.
+    Promotions are spread over the blocks of days they touch. The distinct days of each store and product on sale
+    meet the promotions of their block, and the result, one row per day and series, joins the sales.
     """
-    span = F.datediff("end_date", "start_date")
-    short = promo_days(promotions.where(span < DAY_EXPANSION_LIMIT)).select(*DAY_KEYS, F.col("promotion_discount").alias("_short"))
-
-    long = promotions.where(span >= DAY_EXPANSION_LIMIT)
     blocks = F.explode(F.sequence(_block("start_date"), _block("end_date"))).alias("_block")
-    pieces = long.select("store_id", "product_id", "discount_percent", "start_date", "end_date", blocks)
-    keys = sales.select(*DAY_KEYS).join(long.select("store_id", "product_id").distinct(), ["store_id", "product_id"], "left_semi")
-    hits = (keys.distinct().withColumn("_block", _block("date")).join(pieces, ["store_id", "product_id", "_block"])
+    pieces = promotions.where("start_date <= end_date").select("store_id", "product_id", "discount_percent", "start_date", "end_date", blocks)
+    days = sales.select(*DAY_KEYS).distinct().withColumn("_block", _block("date"))
+    hits = (days.join(pieces, ["store_id", "product_id", "_block"])
             .where(F.col("date").between(F.col("start_date"), F.col("end_date")))
-            .groupBy(*DAY_KEYS).agg(F.max("discount_percent").alias("_long")))
-    return (sales.join(short, DAY_KEYS, "left").join(hits, DAY_KEYS, "left")
-            .withColumn("promotion_discount", F.greatest("_short", "_long")).drop("_short", "_long"))
+            .groupBy(*DAY_KEYS).agg(F.max("discount_percent").alias("promotion_discount")))
+    return sales.join(hits, DAY_KEYS, "left")
 
 
 def promo_range_join(sales: DataFrame, promotions: DataFrame) -> DataFrame:

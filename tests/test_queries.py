@@ -42,7 +42,7 @@ def plan(df):
 def test_no_cartesian_joins(tables):
     s, cs = tables.sales, tables.customer_sales
     for df in [reports.report_monthly_trends(cs), reports.report_store_ranking(tables.stores, cs),
-               reports.report_store_ranking(tables.stores, cs, 0), reports.report_category_abc(tables.products, s, 0),
+               reports.report_category_abc(tables.products, s),
                reports.report_weather_impact(cs, tables.weather), reports.report_cohort_retention(cs),
                summaries.summary_customer_segments(cs), eda.eda_holiday_lift(s, tables.calendar)]:
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(df))
@@ -62,9 +62,18 @@ def test_store_totals_are_partial_before_the_join(tables):
     assert "partial_sum" in text
 
 
-def test_large_form_has_no_window_over_all_stores(tables):
-    """Beyond the size bound the only un-partitioned windows run over block totals."""
-    text = plan(reports.report_store_ranking(tables.stores, tables.customer_sales, 0))
+def test_distinct_counts_do_not_copy_rows(tables):
+    cs = tables.customer_sales
+    for df in [reports.report_monthly_trends(cs), reports.report_store_ranking(tables.stores, cs),
+               reports.report_category_abc(tables.products, tables.sales), reports.daily_store_sales(cs),
+               summaries.summary_daily_sales(cs, tables.stores, tables.products), summaries.summary_weekly_performance(cs, tables.stores),
+               summaries.summary_monthly_kpis(cs), entry.queries()["agg_count_distinct"](cs.sparkSession, SF)]:
+        assert "Expand" not in plan(df)
+
+
+def test_rankings_have_no_window_over_all_stores(tables):
+    """The only un-partitioned windows run over block totals."""
+    text = plan(reports.report_store_ranking(tables.stores, tables.customer_sales))
     for line in text.splitlines():
         if "Window [" in line and "windowspecdefinition(" in line and "_block" not in line:
             assert "partition" in line.lower() or "_blk" in line, line
