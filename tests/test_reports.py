@@ -10,20 +10,23 @@ from shelfline.plans import eda, reports, summaries
 
 def test_store_without_sales_ranks_last(spark, make_sales, stores):
     sales = make_sales([sale(1, "2024-01-01", 1, amount="50.00"), sale(2, "2024-01-02", 2, amount="90.00")])
-    for limit in (None, 0):
-        rows = {r.store_id: r for r in reports.report_store_ranking(stores, sales, limit).collect()}
-        assert [rows[i].overall_rank for i in (2, 1, 3)] == [1, 2, 3]
-        assert rows[3].total_revenue is None and rows[3].transaction_count == 0
-        assert rows[3].percentile_rank == 100.0 and rows[3].avg_daily_revenue is None
-        assert rows[2].performance_quartile == 1
+    rows = {r.store_id: r for r in reports.report_store_ranking(stores, sales).collect()}
+    assert [rows[i].overall_rank for i in (2, 1, 3)] == [1, 2, 3]
+    assert rows[3].total_revenue is None and rows[3].transaction_count == 0
+    assert rows[3].percentile_rank == 100.0 and rows[3].avg_daily_revenue is None
+    assert rows[2].performance_quartile == 1
 
 
-def test_large_and_small_form_agree(tables):
+def test_number_of_blocks_changes_nothing(spark, tables):
     stores, sales, products = tables.stores, tables.customer_sales, tables.products
-    small, large = (reports.report_store_ranking(stores, sales, n).collect() for n in (None, 0))
-    assert small == large and len(small) == 10
-    small, large = (reports.report_category_abc(products, sales, n).collect() for n in (None, 0))
-    assert small == large and small[-1].cumulative_pct == 100.0
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for blocks in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", blocks)
+            seen.append((reports.report_store_ranking(stores, sales).collect(), reports.report_category_abc(products, sales).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] and len(seen[0][0]) == 10 and seen[0][1][-1].cumulative_pct == 100.0
 
 
 def test_missing_month_shifts_comparison(make_sales):
@@ -43,11 +46,10 @@ def test_growth_from_zero_is_null(make_sales):
 def test_equal_categories_share_the_running_total(make_sales, products):
     sales = make_sales([sale(1, "2024-01-01", product=1, amount="40.00"), sale(2, "2024-01-01", product=2, amount="40.00"),
                         sale(3, "2024-01-01", product=3, amount="20.00")])
-    for limit in (None, 0):
-        rows = reports.report_category_abc(products, sales, limit).collect()
-        assert [float(r.cumulative_revenue) for r in rows] == [80.0, 80.0, 100.0]
-        assert [r.category_rank for r in rows] == [1, 1, 3]
-        assert [r.abc_classification[0] for r in rows] == ["A", "A", "C"]
+    rows = reports.report_category_abc(products, sales).collect()
+    assert [float(r.cumulative_revenue) for r in rows] == [80.0, 80.0, 100.0]
+    assert [r.category_rank for r in rows] == [1, 1, 3]
+    assert [r.abc_classification[0] for r in rows] == ["A", "A", "C"]
 
 
 def test_null_weather_falls_into_last_band(spark):
