@@ -5,9 +5,10 @@ Other words can reveal an entity because they keep company with it. How strongly
 pointwise mutual information of term and entity over the information of the entity itself is 1 if the term implies
 the entity and 0 if it says nothing. Terms above a first threshold are generalised, above a second removed.
 
-What counts is the number of distinct surroundings in which term and entity stand together, and a term needs
-``support`` of them. Copies of a document are no further evidence, nor are near copies: an entity whose surroundings
-mostly repeat the same words has been seen in one place only, and no term is held against it.
+What counts is the number of distinct texts in which term and entity stand together, anywhere in the text outside
+personal data, and a term needs ``support`` of them. Copies of a text are no further evidence, nor are near copies: of
+the texts with an entity that share most of their three-word shingles one is counted, and the others count nowhere.
+Whether two texts are near copies does not depend on how many others there are.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
-REACH = 80  # characters on each side of a mention
 TERM = r"[\p{L}\p{N}]+"
+SHINGLE = 3  # words
+LEAST, BANDS = 6, 20  # two texts meet if the least shingles of one of the bands are equal: 0.2 % missed at a similarity of 0.8
 
 
 def luhn(digits: Column) -> Column:
@@ -66,30 +68,52 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def companions(found: DataFrame, support: int, variety: float) -> DataFrame:
-    """Stored (entity, term, n_both, n_entity, n_around): with at least ``support`` common surroundings.
+def _shingles(words: Column) -> Column:
+    last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])))
 
-    ``n_around`` counts the surroundings of any entity that have the term. Entities are left out whose surroundings
-    have fewer different words than ``variety`` times all words in them. ``found``: text, spans.
+
+def _bands(shingles: Column) -> Column:
+    """One key for each band: the hash of the ``LEAST`` smallest shingles in the order of the band."""
+    least = lambda band: F.slice(F.array_sort(F.transform(shingles, lambda x: F.xxhash64(x, band))), 1, LEAST)
+    return F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda band: F.xxhash64(band, least(band)))
+
+
+def evidence(found: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
+    """Stored (entity, text_key, first): the texts of entities in at least ``support`` texts; (text_key, words) of them.
+
+    Of near copies with the same entity only one is ``first``. ``found``: text_key, text, spans.
+    """
+    each = found.select("text_key", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
+    each = materialize(each.distinct(), "pii-entities")
+    named = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).select("entity")
+    each = materialize(each.join(named, "entity"), "pii-repeated")
+    own = found.join(each.select("text_key").distinct(), "text_key", "left_semi")
+    masked = S.replaced(F.col("text"), S.by_start(F.col("spans")), lambda s: F.lit(" "))
+    own = materialize(own.select("text_key", _terms(masked).alias("words")), "pii-texts")
+    near = materialize(own.select("text_key", _shingles(F.col("words")).alias("shingles")), "pii-shingles")
+    keys = each.join(near.select("text_key", F.explode(_bands(F.col("shingles"))).alias("band")), "text_key")
+    least = keys.groupBy("entity", "band").agg(F.min("text_key").alias("least"))
+    first = keys.join(least, ["entity", "band"]).groupBy("entity", "text_key").agg(F.min(F.col("least") == F.col("text_key")).alias("first"))
+    return materialize(first, "pii-evidence"), own.select("text_key", F.array_distinct("words").alias("words"))
+
+
+def companions(first: DataFrame, words: DataFrame, support: int, generalise: float, texts: DataFrame) -> DataFrame:
+    """Stored (entity, term, n_both, n_entity, n) that may reach ``generalise``; ``first``: entity, text_key.
+
+    ``texts``: one row, the number n of texts. A term is in no fewer texts than in those with a repeated entity, and
+    with the entity in no more than the entity; a pair whose disclosure stays below even so is left out early.
     """
-    each = found.select("text", F.explode("spans").alias("s"))
-    start, stop = F.col("s.start"), F.col("s.stop")
-    before = F.substring(F.col("text"), F.greatest(start - REACH + 1, F.lit(1)).cast("int"), F.least(start, F.lit(REACH)).cast("int"))
-    after = F.substring(F.col("text"), (stop + 1).cast("int"), F.lit(REACH))
-    # Words cut by the reach are no words.
-    before = F.when(start > REACH, F.regexp_replace(before, rf"^{TERM}", "")).otherwise(before)
-    after = F.when(F.length(after) == REACH, F.regexp_replace(after, rf"{TERM}$", "")).otherwise(after)
-    near = each.select(_entity(F.col("s")).alias("entity"), F.xxhash64(before, after).alias("place"),
-                       F.array_distinct(F.concat(_terms(before), _terms(after))).alias("terms"))
-    near = materialize(near.groupBy("entity", "place").agg(F.first("terms").alias("terms")), "pii-contexts")
-    together = near.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    together = materialize(together, "pii-together")
-    varied = together.groupBy("entity").agg((F.count(F.lit(1)) / F.sum("n_both")).alias("share")).where(F.col("share") >= variety)
-    entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    around = together.groupBy("term").agg(F.sum("n_both").alias("n_around"))
-    pairs = together.where((F.col("n_both") >= support) & ~F.col("term").rlike("^[0-9]+$") & (F.length("term") > 2))
-    pairs = pairs.join(varied.select("entity"), "entity").join(entities, "entity").join(around, "term")
-    return materialize(pairs, "pii-pairs")
+    entities = first.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
+    terms = words.join(first.select("text_key").distinct(), "text_key", "left_semi").select("text_key", F.explode("words").alias("term"))
+    terms = terms.where(~F.col("term").rlike("^[0-9]+$") & (F.length("term") > 2))
+    around = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_around")).where(F.col("n_around") >= support)
+    terms = materialize(terms.join(around, "term"), "pii-terms")
+    held = first.join(entities, "entity").withColumn("n", texts.scalar())
+    most = lambda both: disclosure(both, F.col("n_around"), F.col("n_entity"), F.col("n")) >= generalise
+    pairs = held.join(terms, "text_key").where(most(F.col("n_entity")))
+    pairs = pairs.groupBy("entity", "term", "n_entity", "n_around", "n").agg(F.count(F.lit(1)).alias("n_both"))
+    return materialize(pairs.where((F.col("n_both") >= support) & most(F.col("n_both"))), "pii-candidates")
 
 
 def disclosure(both: Column, term: Column, entity: Column, n: Column) -> Column:
@@ -101,13 +125,12 @@ def disclosure(both: Column, term: Column, entity: Column, n: Column) -> Column:
 
 def revealing_terms(pairs: DataFrame, spread: DataFrame, generalise: float, remove: float) -> DataFrame:
     """(term, action, disclosure) of the terms that disclose an entity; ``spread``: (term, n_term), texts with the term."""
-    term = F.greatest("n_term", "n_around")
-    scored = pairs.join(spread, "term").withColumn("disclosure", disclosure(F.col("n_both"), term, F.col("n_entity"), F.col("n")))
+    scored = pairs.join(spread, "term").withColumn("disclosure", disclosure(F.col("n_both"), F.col("n_term"), F.col("n_entity"), F.col("n")))
     action = F.when(F.max("disclosure") >= remove, F.lit("remove")).otherwise(F.lit("generalise"))
     return scored.where(F.col("disclosure") >= generalise).groupBy("term").agg(action.alias("action"), F.max("disclosure").alias("disclosure"))
 
 
-def sanitise(docs: DataFrame, support: int = 3, variety: float = 0.3, generalise: float = 0.9, remove: float = 0.97, text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.9, remove: float = 0.97, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_spans`` (start, stop, kind, value, by kind and start) and ``_sanitised``, the text without them.
 
     Personal data become ``[EMAIL]`` and so on, generalised terms ``[TERM]``, removed terms nothing. Null text is
@@ -120,15 +143,20 @@ def sanitise(docs: DataFrame, support: int = 3, variety: float = 0.3, generalise
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(text.alias("text"))
     found = plain.withColumn("spans", personal_spans(F.col("text"))).where(F.size("spans") > 0)
-    texts = plain.select(F.xxhash64("text").alias("text_key")).distinct().agg(F.count(F.lit(1)))
-    pairs = companions(found, support, variety).withColumn("n", texts.scalar())
-    # A term found around many entities gives none of them away, however often it is found elsewhere.
-    most = disclosure(F.col("n_both"), F.col("n_around"), F.col("n_entity"), F.col("n"))
-    pairs = materialize(pairs.where(most >= generalise), "pii-candidates")
+    found = materialize(found.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["text_key"]), "pii-found")
+    seen, near = evidence(found, support)
+    first = seen.where("first").select("entity", "text_key")
+    # Texts that are near copies for each of their entities count nowhere.
+    copies = materialize(seen.groupBy("text_key").agg(F.max("first").alias("first")).where("not first").select("text_key"), "pii-copies")
+    keys = plain.select(F.xxhash64("text").alias("text_key")).distinct()
+    texts = keys.join(copies, "text_key", "left_anti").agg(F.count(F.lit(1)))
+    pairs = companions(first, near, support, generalise, texts)
     # Of all words of all texts only those are kept that may be revealing.
-    words = plain.select(F.xxhash64("text").alias("text_key"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    outside = F.when(F.size("spans") > 0, S.replaced(F.col("text"), S.by_start(F.col("spans")), lambda s: F.lit(" "))).otherwise(F.col("text"))
+    words = plain.withColumn("spans", personal_spans(F.col("text"))).select(
+        F.xxhash64("text").alias("text_key"), F.explode(F.array_distinct(_terms(outside))).alias("term"))
     words = materialize(words.join(pairs.select("term").distinct(), "term").distinct(), "pii-words")
-    spread = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    spread = words.join(copies, "text_key", "left_anti").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     terms = revealing_terms(pairs, spread, generalise, remove)
     carried = words.join(terms, "term").groupBy("text_key").agg(F.collect_set(F.struct("term", "action")).alias("_marked"))
     carried = materialize(carried, "pii-carriers").withColumnRenamed("text_key", "_key")

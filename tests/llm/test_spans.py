@@ -1,5 +1,7 @@
 """Secrets and personal data against Python's regular expressions."""
 
+import random
+
 import pytest
 from brute import personal_of, secrets_of
 from pyspark.sql import functions as F
@@ -70,6 +72,38 @@ def test_copies_are_no_evidence(spark):
     assert {s["kind"] for r in found for s in r["_spans"]} == {"email"}
 
 
+def mails(n, entity, free=14, vocabulary=20_000):
+    """Different texts: 6 fixed words, some with the entity's, and words dealt from a long-tailed vocabulary."""
+    deal = random.Random(5)
+    word = lambda: f"w{int(vocabulary ** deal.random())}"
+    return [f"{' '.join(word() for _ in range(free))} so zorblax can be asked at {entity} today {' '.join(word() for _ in range(free))}" for _ in range(n)]
+
+
+def marks(spark, texts, others=2000, **limits):
+    deal = random.Random(6)
+    plain = [" ".join(f"w{int(20_000 ** deal.random())}" for _ in range(30)) + " so can be asked at today" for _ in range(others)]
+    df = spark.createDataFrame(list(enumerate([*texts, *plain])), "doc_id BIGINT, text STRING")
+    rows = sanitise(df, **limits).where(F.col("doc_id") < len(texts)).collect()
+    return {(s["kind"], s["value"]) for r in rows for s in r["_spans"] if s["kind"] not in KINDS}
+
+
+@pytest.mark.parametrize("n", [5, 600])
+def test_much_evidence_accuses_as_little_does(spark, n):
+    assert ("remove", "zorblax") in marks(spark, mails(n, "boss@corp.example"))
+
+
+def test_a_term_far_from_the_entity_counts(spark):
+    texts = [t.replace(" zorblax", "") + " " + " ".join(f"far{i}x{k}" for k in range(40)) + " zorblax" for i, t in enumerate(mails(10, "boss@corp.example"))]
+    assert ("remove", "zorblax") in marks(spark, texts)
+
+
+def test_near_copies_do_not_hide_a_term(spark):
+    texts = mails(6, "boss@corp.example", free=60)
+    copies = [f"{texts[0]} copy{i}" for i in range(60)]
+    assert ("remove", "zorblax") in marks(spark, [*texts, *copies])
+    assert not marks(spark, copies)
+
+
 def test_replacing_overlapping_spans(spark):
     spans = F.from_json(F.lit('[{"start":1,"stop":4,"kind":"a"},{"start":2,"stop":6,"kind":"b"},{"start":7,"stop":8,"kind":"c"}]'), S.SPAN)
     out = spark.range(1).select(S.replaced(F.lit("0123456789"), spans, lambda s: F.concat(F.lit("<"), s["kind"], F.lit(">")))).first()[0]
