@@ -82,11 +82,14 @@ def _bands(shingles: Column) -> Column:
 def evidence(found: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
     """Stored (entity, text_key, first): the texts of entities in at least ``support`` texts; (text_key, words) of them.
 
-    Of near copies with the same entity only one is ``first``. ``found``: text_key, text, spans.
+    Of near copies with the same entity only one is ``first``. Entities in the same texts are one, under the name of
+    the least of them. ``found``: text_key, text, spans.
     """
     each = found.select("text_key", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
     each = materialize(each.distinct(), "pii-entities")
-    named = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).select("entity")
+    texts = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("text_key")).alias("d1"),
+                                       F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("d2")).where(F.col("n") >= support)
+    named = texts.groupBy("n", "d1", "d2").agg(F.min("entity").alias("entity")).select("entity")
     each = materialize(each.join(named, "entity"), "pii-repeated")
     own = found.join(each.select("text_key").distinct(), "text_key", "left_semi")
     masked = S.replaced(F.col("text"), S.by_start(F.col("spans")), lambda s: F.lit(" "))

@@ -97,6 +97,12 @@ def test_a_term_far_from_the_entity_counts(spark):
     assert ("remove", "zorblax") in marks(spark, texts)
 
 
+@pytest.mark.parametrize("n", [10, 200])
+def test_identifiers_that_stand_together_accuse_as_one_does(spark, n):
+    texts = mails(n, "boss@corp.example or +1 (555) 123-4567 or 10.20.30.40")
+    assert ("remove", "zorblax") in marks(spark, texts)
+
+
 def test_near_copies_do_not_hide_a_term(spark):
     texts = mails(6, "boss@corp.example", free=60)
     copies = [f"{texts[0]} copy{i}" for i in range(60)]
