@@ -133,7 +133,7 @@ def revealing_terms(pairs: DataFrame, spread: DataFrame, generalise: float, remo
     return scored.where(F.col("disclosure") >= generalise).groupBy("term").agg(action.alias("action"), F.max("disclosure").alias("disclosure"))
 
 
-def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.9, remove: float = 0.97, text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.8, remove: float = 0.95, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_spans`` (start, stop, kind, value, by kind and start) and ``_sanitised``, the text without them.
 
     Personal data become ``[EMAIL]`` and so on, generalised terms ``[TERM]``, removed terms nothing. Null text is

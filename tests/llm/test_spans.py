@@ -87,6 +87,13 @@ def marks(spark, texts, others=2000, **limits):
     return {(s["kind"], s["value"]) for r in rows for s in r["_spans"] if s["kind"] not in KINDS}
 
 
+def test_default_limits_mark_what_the_first_limits_marked(spark):
+    # 20 of 36 texts with the term have the entity: disclosure 0.87 among about 2,036 texts.
+    texts = [*mails(20, "boss@corp.example"), *[t.replace("boss@corp.example", "home") for t in mails(36, "home")[20:]]]
+    assert ("generalise", "zorblax") in marks(spark, texts)
+    assert marks(spark, texts) == marks(spark, texts, generalise=0.8, remove=0.95)
+
+
 @pytest.mark.parametrize("n", [5, 600])
 def test_much_evidence_accuses_as_little_does(spark, n):
     assert ("remove", "zorblax") in marks(spark, mails(n, "boss@corp.example"))
