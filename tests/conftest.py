@@ -1,16 +1,13 @@
-import datetime as dt
 import sys
-from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from retail_rows import SALES, SF, day, money  # noqa: E402
 from shelfline.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -28,22 +25,6 @@ def tables(spark):
     return DriverTables(spark, SF)
 
 
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def money(text):
-    return Decimal(text)
-
-
-SALES = ("transaction_id BIGINT, date DATE, store_id INT, product_id INT, customer_id INT, quantity INT, "
-         "unit_price DECIMAL(10,2), discount_applied BOOLEAN, discount_percent INT, total_amount DECIMAL(12,2)")
-
-
-def sale(tid, date, store=1, product=1, customer=1, qty=1, amount="10.00", pct=0):
-    return (tid, day(date), store, product, customer, qty, money(amount) / max(qty, 1), pct > 0, pct, money(amount))
-
-
 @pytest.fixture(scope="session")
 def make_sales(spark):
     return lambda rows: spark.createDataFrame(rows, SALES)

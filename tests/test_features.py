@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import day, money, sale
+from retail_rows import day, money, sale
 from pyspark.sql import functions as F
 
 from shelfline.functions.calendar import calendar_between

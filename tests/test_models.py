@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import day, money
+from retail_rows import day, money
 from pyspark.sql import functions as F
 
 from shelfline.operators import evaluation as ev

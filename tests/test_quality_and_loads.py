@@ -1,7 +1,7 @@
 """Quality checks, sources and incremental loads."""
 
 import pytest
-from conftest import day, money, sale
+from retail_rows import day, money, sale
 from pyspark.sql import functions as F
 
 from shelfline import schemas

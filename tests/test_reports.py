@@ -1,6 +1,6 @@
 """Traps of the reports and summaries on hand-made rows."""
 
-from conftest import day, money, sale
+from retail_rows import day, money, sale
 from pyspark.sql import functions as F
 
 from shelfline.functions import exprs

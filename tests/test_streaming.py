@@ -1,7 +1,7 @@
 """Streaming jobs against their batch counterparts."""
 
 import pytest
-from conftest import money, sale
+from retail_rows import money, sale
 from pyspark.sql import functions as F
 
 from shelfline.operators.aggregates import daily_sales_agg
