@@ -18,6 +18,7 @@ from shelfline.llm.privacy import KINDS, sanitise
 from shelfline.llm.secrets import BASE, scan_secrets
 from shelfline.llm.sketches import as_text, containment, distinct_shingles, fingerprints, resemblance
 from shelfline.llm.token_count import count_tokens
+from shelfline.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
@@ -93,8 +94,17 @@ def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(S.listed(S.of_kinds(spans, KINDS)), 256).alias("base_sha256"), S.listed(spans).alias("spans"))
 
 
+def op12_blockmatrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each vector and each of its leading 16 components."""
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    rows = found.select("vec_id", "_n", "_deviation", "_identity_error", F.posexplode(F.arrays_zip("_whitened", "_explained")).alias("at", "c"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.col("_n").alias("n"), F.col("_deviation").alias("deviation"),
+                       F.col("c._whitened").alias("whitened"), F.col("c._explained").alias("explained"),
+                       F.col("_identity_error").alias("identity_error"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pareto_mix, op2_importance_resampling, op3_bpe_round_trip, op4_secret_index, op5_transducer_counts,
-    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms)}
+    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms, op12_blockmatrix_whitening)}
 
 SQL: dict[str, str] = {"op1_pareto_mix": mixing.MIX_SQL, "op6_license_digests": licenses.sql()}
