@@ -15,6 +15,7 @@ from shelfline.llm.divergence import quality_rules
 from shelfline.llm.importance import resample
 from shelfline.llm.near_dup import near_duplicates
 from shelfline.llm.privacy import KINDS, sanitise
+from shelfline.llm.rank_bpe import encode_ranked
 from shelfline.llm.secrets import BASE, scan_secrets
 from shelfline.llm.sketches import as_text, containment, distinct_shingles, fingerprints, resemblance
 from shelfline.llm.token_count import count_tokens
@@ -23,6 +24,7 @@ from shelfline.llm.whitening import whiten
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+RANK_BPE = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +105,13 @@ def op12_blockmatrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("_identity_error").alias("identity_error"))
 
 
+def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_ranked(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_BPE))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pareto_mix, op2_importance_resampling, op3_bpe_round_trip, op4_secret_index, op5_transducer_counts,
-    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms, op12_blockmatrix_whitening)}
+    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms, op12_blockmatrix_whitening, op13_recursive_bpe)}
 
 SQL: dict[str, str] = {"op1_pareto_mix": mixing.MIX_SQL, "op6_license_digests": licenses.sql()}
