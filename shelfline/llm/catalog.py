@@ -19,6 +19,7 @@ from shelfline.llm.rank_bpe import encode_ranked
 from shelfline.llm.secrets import BASE, scan_secrets
 from shelfline.llm.sketches import as_text, containment, distinct_shingles, fingerprints, resemblance
 from shelfline.llm.token_count import count_tokens
+from shelfline.llm.variants import variants
 from shelfline.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,10 @@ def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(S.listed(S.of_kinds(spans, KINDS)), 256).alias("base_sha256"), S.listed(spans).alias("spans"))
 
 
+def op11_fm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
 def op12_blockmatrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each vector and each of its leading 16 components."""
     found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -112,6 +117,7 @@ def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pareto_mix, op2_importance_resampling, op3_bpe_round_trip, op4_secret_index, op5_transducer_counts,
-    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms, op12_blockmatrix_whitening, op13_recursive_bpe)}
+    op6_license_digests, op7_bottom_k, op8_distribution_rules, op9_near_dedup, op10_private_terms, op11_fm_variants,
+    op12_blockmatrix_whitening, op13_recursive_bpe)}
 
 SQL: dict[str, str] = {"op1_pareto_mix": mixing.MIX_SQL, "op6_license_digests": licenses.sql()}
