@@ -1,20 +1,24 @@
 """Near-duplicate detection: MinHash bands for candidates, odd sketches to screen them, full sets to confirm.
 
 A document's set is its distinct word shingles. Equal sets are one class from the start. Each class has MinHash
-values for the bands and a bottom-k MinHash sample, folded into a parity bitmap (odd sketch): the popcount of
-the XOR of two bitmaps estimates the symmetric difference of the samples and so the similarity, with an error
-known for every pair. Classes that share a band are screened by that estimate; what may reach the threshold is
-confirmed on the full sets; links are closed into components.
+values for the bands and an odd sketch: the parity bitmap of its shingles, for sets above ``SAMPLE`` of those whose
+hash lies below a limit that halves with every doubling of the set. Sets that can be similar are at most one such
+level apart and are compared below the lower limit of the two, so both samples come from the same part of the hashes.
+The popcount of the XOR of two bitmaps bounds the symmetric difference and so the similarity; pairs whose bounds
+reach the threshold are confirmed on the full sets; links are closed into components.
 
 Large buckets. Only links that change the components are needed. Inside a task, pairs surely above the threshold
-give a spanning forest, and pairs within the error of the threshold are proposed if they join two trees. A bucket
+give a spanning forest, and pairs that may be above it are proposed if they join two trees. A bucket
 of more than ``TILE`` classes is first compared with its hub (the class that most of its other buckets share);
 only classes not surely linked to the hub go on, against all tiles of the bucket, each tile pair in its own task.
+Should the full sets refute a link taken for sure, its buckets are gone through once more: then every pair of
+different components that may be linked is confirmed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +28,14 @@ from pyspark.sql import functions as F
 from shelfline.llm import flat
 from shelfline.session import materialize
 
-ROWS, BANDS = 6, 25  # a pair at 0.85 is in no common bucket with probability 7e-6
-SAMPLE, BITS = 1024, 2048  # bottom-k sample and odd sketch
+VALUES = 150  # MinHash values of a set
+MISSED = 1e-5  # a pair just at the threshold may be in no common bucket with this probability
+SAMPLE, BITS = 1024, 2048  # most shingles of a sample, and bits of its odd sketch
+SIGMA = 4.5
 TILE = 512
 _rng = np.random.default_rng(20240229)
-_MULT = _rng.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64)
+_MULT = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 
 
 def shingle_sets(chunk: flat.Chunk, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +64,30 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def signatures(words: int, rows: int = ROWS, bands: int = BANDS):
-    """mapInArrow function: (doc_id, text, tie) to set size, 128-bit set digest, band keys, odd sketch and tie."""
+def banding(threshold: float) -> tuple[int, int]:
+    """(rows, bands): the longest bands that miss a pair at the threshold with probability ``MISSED`` at most."""
+    for rows in range(12, 1, -1):
+        if (1 - threshold**rows) ** (VALUES // rows) <= MISSED:
+            return rows, VALUES // rows
+    return 1, VALUES
+
+
+def level_of(size: np.ndarray) -> np.ndarray:
+    """How often the limit of the hashes is halved for sets of these sizes."""
+    return np.ceil(np.log2(np.maximum(size, SAMPLE) / SAMPLE)).astype(np.int64)
+
+
+def _sketches(grams: np.ndarray, owner: np.ndarray, n: int, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size of the sample of each document at its ``level``, and the odd sketch of the sample."""
+    shift = np.clip(64 - level[owner], 1, 63).astype(np.uint64)
+    low = (level[owner] == 0) | (grams >> shift == 0)
+    cell = owner[low] * BITS + (flat.mix(grams[low]) >> np.uint64(53)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * BITS) & 1).astype(np.uint8).reshape(n, BITS)
+    return np.bincount(owner[low], minlength=n), np.packbits(odd, axis=1)
+
+
+def signatures(words: int, rows: int, bands: int):
+    """mapInArrow function: (doc_id, text, tie) to set size, 128-bit set digest, band keys, odd sketches and tie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,7 +99,6 @@ def signatures(words: int, rows: int = ROWS, bands: int = BANDS):
                 own = owner[at]
                 digest = _digests(grams, owner, n)
                 keys = np.zeros((n, bands), np.uint64)
-                sketch = np.zeros((n, BITS // 8), np.uint8)
                 if len(grams):
                     for band in range(bands):
                         key = np.full(len(at), band, np.uint64)
@@ -79,73 +106,130 @@ def signatures(words: int, rows: int = ROWS, bands: int = BANDS):
                             least = np.minimum.reduceat((grams * _MULT[i] + _ADD[i]) >> np.uint64(24), at)
                             key = flat.mix(key * np.uint64(0x9FB21C651E98DF25) + least)
                         keys[own, band] = key
-                    rank = np.arange(len(grams)) - np.repeat(at, size[own])
-                    low = rank < SAMPLE  # grams ascend inside a document: its bottom-k sample
-                    cell = owner[low] * BITS + (flat.mix(grams[low]) >> np.uint64(53)).astype(np.int64)
-                    sketch = np.packbits((np.bincount(cell, minlength=n * BITS) & 1).astype(np.uint8).reshape(n, BITS), axis=1)
+                level = level_of(size)
+                sampled, sketch = _sketches(grams, owner, n, level)
+                # Only sets above half the sample size can be similar to one of the next level.
+                large = np.flatnonzero(size > SAMPLE // 2)
+                part = np.isin(owner, large)
+                number = np.searchsorted(large, owner[part])
+                up, sketch_up = _sketches(grams[part], number, len(large), level[large] + 1)
+                sampled_up, ups = np.zeros(n, np.int64), [b""] * n
+                sampled_up[large] = up
+                for i, row in zip(large, sketch_up):
+                    ups[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(chunk.first, n), pa.array(size.astype(np.int64)),
                     pa.array(digest[0]), pa.array(digest[1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)),
                                              pa.array(_as_long(keys.ravel()))),
-                    pa.array([x.tobytes() for x in sketch], pa.binary()), batch.column(2).slice(chunk.first, n),
-                ], names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch", "tie"])
+                    pa.array(sampled.astype(np.int64)), pa.array([x.tobytes() for x in sketch], pa.binary()),
+                    pa.array(sampled_up), pa.array(ups, pa.binary()), batch.column(2).slice(chunk.first, n),
+                ], names=["doc_id", "n_shingles", "d1", "d2", "bands", "k", "sketch", "k_up", "sketch_up", "tie"])
 
     return run
 
 
-SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary, tie long"
+SKETCH = ["n_shingles", "k", "sketch", "k_up", "sketch_up"]
+SKETCH_TYPES = "n_shingles long, k long, sketch binary, k_up long, sketch_up binary"
+SIGNATURE = ("doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, k long, sketch binary, k_up long, "
+             "sketch_up binary, tie long")
 
 
-def _similarity(z: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Similarity and its standard error from ``z``, the popcount of the XOR of two sketches, and the set sizes."""
+def _similarity(z: np.ndarray, a: np.ndarray, b: np.ndarray, sampled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Estimate of the similarity of two samples of sizes ``a`` and ``b`` and bounds for that of the sets.
+
+    ``z`` is the popcount of the XOR of their sketches, ``sampled`` tells whether the samples are less than the sets.
+    The popcount never exceeds the difference of the samples and falls short by two for each collision of differing
+    shingles: for small differences that gives the bounds, for larger ones ``SIGMA`` standard errors do.
+    """
+    ab = (a + b).astype(float)
     left = np.maximum(1 - 2 * z / BITS, 1e-3)
     d = -BITS / 2 * np.log(left)
-    ab = np.minimum(size_a, SAMPLE) + np.minimum(size_b, SAMPLE).astype(float)
-    est = np.clip((ab - d) / (ab + d), 0, 1)
-    var = np.maximum(BITS / 4 * (1 - left**2) - d * left**2, 0) / left**2 * (2 * ab / (ab + d) ** 2) ** 2
-    var += np.where(np.maximum(size_a, size_b) > SAMPLE, 1 / (4 * SAMPLE), 0)  # the sample is not the whole set
-    # Sets of very different size cannot be similar, whatever their samples say.
-    return np.where(np.minimum(size_a, size_b) < 0.5 * np.maximum(size_a, size_b), 0, est), np.sqrt(var)
+    of = lambda gap: np.clip((ab - gap) / np.maximum(ab + gap, 1), 0, 1)
+    est = of(d)
+    var = np.maximum(BITS / 4 * (1 - left**2) - d * left**2, 0) / left**2 * (2 * ab / np.maximum(ab + d, 1) ** 2) ** 2
+    var += np.where(sampled, est * (1 - est) / np.maximum((ab + d) / 2, 1), 0)
+    err = SIGMA * np.sqrt(var)
+    collisions = (d + 2) ** 2 / (2 * BITS)
+    low = np.minimum(est - err, of(z + 2 * (collisions + 5 * np.sqrt(collisions) + 4)))
+    high = np.where(~sampled & (z < 64), of(z), est + err)
+    return est, low, high
+
+
+@dataclass
+class Sketched:
+    """The classes of a bucket: sizes, levels, and the sketch and sample size at the own level and the next."""
+
+    size: np.ndarray
+    level: np.ndarray
+    bits: np.ndarray  # (2, n, words)
+    k: np.ndarray  # (2, n)
+
+    @staticmethod
+    def of(table: pa.Table, prefix: str = "") -> Sketched:
+        size = table[f"{prefix}n_shingles"].to_numpy().astype(np.int64)
+        blank = bytes(BITS // 8)
+        bits = [np.frombuffer(b"".join(x or blank for x in table[prefix + c].to_pylist()), np.uint64).reshape(len(size), -1) for c in ("sketch", "sketch_up")]
+        return Sketched(size, level_of(size), np.stack(bits), np.stack([table[prefix + c].to_numpy() for c in ("k", "k_up")]))
+
+    def at(self, rows: np.ndarray) -> Sketched:
+        return Sketched(self.size[rows], self.level[rows], self.bits[:, rows], self.k[:, rows])
+
+    def bounds(self, other: Sketched, pairwise: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_similarity`` of every row with every row of ``other``, or of the rows side by side if ``pairwise``."""
+        wide = (lambda x, y: (x, y)) if pairwise else (lambda x, y: (x[:, None], y[None, :]))
+        la, lb = wide(self.level, other.level)
+        level, (sa, sb) = np.maximum(la, lb), wide(self.size, other.size)
+        z, a, b = (np.zeros(level.shape, np.int64) for _ in range(3))
+        for up_a, up_b in ((0, 0), (0, 1), (1, 0)):
+            here = (la + up_a == level) & (lb + up_b == level) & (la + up_a == lb + up_b)
+            if not here.any():
+                continue
+            x, y = self.bits[up_a], other.bits[up_b]
+            part = np.zeros(level.shape, np.int64)
+            for w in range(x.shape[1]):
+                part += np.bitwise_count(np.bitwise_xor(*wide(x[:, w], y[:, w])))
+            ka, kb = np.broadcast_arrays(*wide(self.k[up_a], other.k[up_b]))
+            z[here], a[here], b[here] = part[here], ka[here], kb[here]
+        est, low, high = _similarity(z, a, b, level > 0)
+        # Sets of very different size cannot be similar, whatever their samples say.
+        most = np.minimum(sa, sb) / np.maximum(np.maximum(sa, sb), 1)
+        apart = np.abs(la - lb) > 1
+        return np.minimum(est, most), np.where(apart, 0, np.minimum(low, most)), np.where(apart, most, np.minimum(high, most))
 
 
-def estimate(bits_a: np.ndarray, size_a: np.ndarray, bits_b: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``_similarity`` of every row of ``a`` with every row of ``b``."""
-    z = np.zeros((len(bits_a), len(bits_b)), np.int64)
-    for w in range(bits_a.shape[1]):
-        z += np.bitwise_count(bits_a[:, w][:, None] ^ bits_b[:, w][None, :])
-    return _similarity(z, size_a[:, None], size_b[None, :])
+LINK = "a long, b long, sure boolean"
 
 
-def _sketch_matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1).view(np.uint64)
+def _links(ids: np.ndarray, pairs: list[tuple[int, int, bool]]) -> pa.Table:
+    a, b, sure = np.array(pairs, np.int64).reshape(-1, 3).T
+    a, b = ids[a], ids[b]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "sure": sure.astype(bool)})
 
 
-def propose(threshold: float, z: float = 4.5):
-    """applyInArrow function over one bucket or tile pair: links to be confirmed.
+def propose(threshold: float):
+    """applyInArrow function over one bucket or tile pair: links to be confirmed, and whether they were taken for sure.
 
-    Rows have ``id``, ``n_shingles``, ``sketch`` and ``open``; at least one end of a link is open. Classes are
-    grown tree by tree: each joins the tree it is most similar to if that is surely above the threshold. Pairs
-    within the error of the threshold are proposed when their ends are in different trees.
+    Rows have ``id``, the columns of ``SKETCH`` and ``open``; at least one end of a link is open. Classes are
+    grown tree by tree: each joins the tree it is most similar to if that is surely above the threshold. Pairs that
+    may be above it are proposed when their ends are in different trees.
     """
 
     def run(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
-        size = table["n_shingles"].to_numpy().astype(np.int64)
         is_open = table["open"].to_numpy(zero_copy_only=False).astype(bool)
-        bits = _sketch_matrix(table["sketch"])
-        n = len(ids)
+        sets = Sketched.of(table)
         # The closed rows of a bucket are surely linked to its hub already, so they form one tree.
-        tree = np.where(is_open, np.arange(n), -1)
+        tree = np.where(is_open, np.arange(len(ids)), -1)
         rows = np.flatnonzero(is_open)
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int, bool]] = []
         unsure: list[np.ndarray] = []
         for lo in range(0, len(rows), 256):
             block = rows[lo : lo + 256]
-            est, err = estimate(bits[block], size[block], bits, size)
-            est[np.arange(len(block)), block] = 0
-            sure = est - z * err >= threshold
-            maybe = (est + z * err >= threshold) & ~sure
+            est, low, high = sets.at(block).bounds(sets, pairwise=False)
+            low[np.arange(len(block)), block] = high[np.arange(len(block)), block] = 0
+            sure = low >= threshold
+            maybe = (high >= threshold) & ~sure
             i, j = np.nonzero(sure)
             order = np.argsort(-est[i, j], kind="stable")
             i, j = i[order], j[order]
@@ -159,34 +243,47 @@ def propose(threshold: float, z: float = 4.5):
                 for k in np.unique(a, return_index=True)[1]:
                     if a[k] not in used and b[k] not in used:
                         used.update((a[k], b[k]))
-                        out.append((ids[block[i[k]]], ids[j[k]]))
+                        out.append((block[i[k]], j[k], True))
                         tree[tree == max(a[k], b[k])] = min(a[k], b[k])
             i, j = np.nonzero(maybe)
             unsure.append(np.stack([block[i], j]))
         for i, j in unsure:
             apart = (tree[i] != tree[j]) & ((i < j) | ~is_open[j])
-            out.extend(zip(ids[i[apart]], ids[j[apart]]))
-        a, b = np.array(out, np.int64).reshape(-1, 2).T
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            out.extend((x, y, False) for x, y in zip(i[apart], j[apart]))
+        return _links(ids, out)
+
+    return run
+
+
+def propose_all(threshold: float):
+    """applyInArrow function over one tile pair: all pairs of different ``tree`` that may reach the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, tree = table["id"].to_numpy(), table["tree"].to_numpy()
+        sets = Sketched.of(table)
+        out: list[tuple[int, int, bool]] = []
+        for lo in range(0, len(ids), 256):
+            block = np.arange(lo, min(lo + 256, len(ids)))
+            _, _, high = sets.at(block).bounds(sets, pairwise=False)
+            i, j = np.nonzero((high >= threshold) & (tree[block][:, None] != tree[None, :]))
+            out.extend((x, y, False) for x, y in zip(block[i], j) if x < y)
+        return _links(ids, out)
 
     return run
 
 
-def hub_links(threshold: float, z: float = 4.5):
-    """mapInArrow function: is (id, sketch) surely linked to the hub of its bucket?"""
+def hub_links(threshold: float):
+    """mapInArrow function: is (id, sketches) surely linked to the hub of its bucket?"""
+    columns = ["bucket", "n", "id", *SKETCH, "hub"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
-            bits, hub = _sketch_matrix(t["sketch"]), _sketch_matrix(t["hub_sketch"])
-            size, hub_size = (t[c].to_numpy().astype(np.int64) for c in ("n_shingles", "hub_n"))
-            est, err = _similarity(np.bitwise_count(bits ^ hub).sum(axis=1).astype(np.int64), size, hub_size)
-            sure = est - z * err >= threshold
+            _, low, _ = Sketched.of(t).bounds(Sketched.of(t, "hub_"), pairwise=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "n", "id", "n_shingles", "sketch", "hub")]
-                + [pa.array(~sure)], names=["bucket", "n", "id", "n_shingles", "sketch", "hub", "open"])
+                [batch.column(batch.schema.get_field_index(c)) for c in columns] + [pa.array(low < threshold)], names=[*columns, "open"])
 
     return run
 
@@ -218,59 +315,74 @@ def set_arrays(words: int):
     return run
 
 
-def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a, b) of class ids that may be linked; ``classes``: id, n_shingles, bands, sketch."""
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """(bucket, n, id): the classes of each bucket with more than one, stored."""
     exploded = classes.select("id", F.posexplode("bands").alias("band", "key")).select(
         "id", F.xxhash64("band", "key").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("who"))
     # Buckets with the same members are one bucket.
     kept = sizes.where("n > 1").groupBy("n", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    members = materialize(exploded.join(kept, "bucket"), "near-members")
-    narrow = classes.select("id", "n_shingles", "sketch")
+    return materialize(exploded.join(kept, "bucket"), "near-members")
 
+
+def candidate_links(members: DataFrame, narrow: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a, b, sure) of class ids that may be linked; ``narrow``: id and sketches of the classes."""
     small = members.where(F.col("n") <= TILE).join(narrow, "id").withColumn("open", F.lit(True))
-    pairs = small.groupBy("bucket").applyInArrow(propose(threshold), "a long, b long")
+    pairs = small.groupBy("bucket").applyInArrow(propose(threshold), LINK)
 
     large = members.where(F.col("n") > TILE)
     score = members.groupBy("id").agg(F.sum("n").alias("score"))
     hubs = large.join(score, "id").groupBy("bucket").agg(
         F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("hub"))
-    hubs = hubs.join(narrow.select(F.col("id").alias("hub"), F.col("n_shingles").alias("hub_n"),
-                                   F.col("sketch").alias("hub_sketch")), "hub")
+    hubs = hubs.join(narrow.select(F.col("id").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in SKETCH]), "hub")
     starred = large.join(narrow, "id").join(hubs, "bucket").mapInArrow(
-        hub_links(threshold), "bucket long, n long, id long, n_shingles long, sketch binary, hub long, open boolean")
+        hub_links(threshold), f"bucket long, n long, id long, {SKETCH_TYPES}, hub long, open boolean")
     starred = materialize(starred, "near-starred")
-    star = starred.where("not open and id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    star = starred.where("not open and id != hub").select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.lit(True).alias("sure"))
     # Tiles of the whole bucket against tiles of its open classes.
     shape = starred.groupBy("bucket").agg(
         F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"), F.ceil(F.sum(F.col("open").cast("long")) / TILE).alias("open_tiles"))
     dealt = starred.join(shape.where("open_tiles > 0"), "bucket").withColumn("h", F.xxhash64("id", "bucket"))
-    resident = dealt.select("bucket", "id", "n_shingles", "sketch", "open", F.pmod("h", "tiles").alias("i"),
+    resident = dealt.select("bucket", "id", *SKETCH, "open", F.pmod("h", "tiles").alias("i"),
                             F.explode(F.sequence(F.lit(0).cast("long"), F.col("open_tiles") - 1)).alias("j"))
-    visiting = dealt.where("open").select("bucket", "id", "n_shingles", "sketch", "open", F.pmod("h", "open_tiles").alias("j"),
+    visiting = dealt.where("open").select("bucket", "id", *SKETCH, "open", F.pmod("h", "open_tiles").alias("j"),
                                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("i"))
-    grid = resident.unionByName(visiting).groupBy("bucket", "i", "j", "id").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("open").alias("open"))
-    crossed = grid.groupBy("bucket", "i", "j").applyInArrow(propose(threshold), "a long, b long")
-    return pairs.unionByName(star).unionByName(crossed).distinct()
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets meet ``100 * intersection >= percent * union``.
-
-    ``classes``: id, d1, d2 and doc_id of one member; ``docs``: doc_id, text.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    grid = resident.unionByName(visiting).groupBy("bucket", "i", "j", "id").agg(*[F.first(c).alias(c) for c in (*SKETCH, "open")])
+    crossed = grid.groupBy("bucket", "i", "j").applyInArrow(propose(threshold), LINK)
+    return pairs.unionByName(star).unionByName(crossed).groupBy("a", "b").agg(F.max("sure").alias("sure"))
+
+
+def second_look(members: DataFrame, narrow: DataFrame, refuted: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, in the buckets of the refuted links, tile by tile."""
+    ends = refuted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    buckets = members.join(ends, "id", "left_semi").select("bucket").distinct()
+    rows = members.join(buckets, "bucket", "left_semi").join(narrow, "id").join(roots, "id", "left")
+    rows = rows.withColumn("tree", F.coalesce("root", "id")).withColumn("tiles", F.ceil(F.col("n") / TILE))
+    own = F.pmod(F.xxhash64("id", "bucket"), F.col("tiles"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
+    grid = rows.select("bucket", "id", *SKETCH, "tree", F.explode(F.transform(every, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))).alias("t"))
+    found = grid.groupBy("bucket", "t.i", "t.j").applyInArrow(propose_all(threshold), LINK)
+    return found.select("a", "b").distinct()
+
+
+def class_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, grams) of the classes in ``ids``, stored; ``classes``: id, d1, d2 and doc_id of one member."""
     wanted = classes.join(ids, "id", "left_semi").select("id", "d1", "d2", "doc_id")
     arrays = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
         set_arrays(words), "doc_id long, d1 long, d2 long, grams array<long>")
-    sets = arrays.join(wanted, ["doc_id", "d1", "d2"]).groupBy("id").agg(F.first("grams").alias("grams"))
-    sets = materialize(sets, "near-sets")
+    return materialize(arrays.join(wanted, ["doc_id", "d1", "d2"]).groupBy("id").agg(F.first("grams").alias("grams")), "near-sets")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``pairs`` with ``linked``: do the full sets meet ``100 * intersection >= percent * union``? Stored."""
+    sets = class_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), classes, docs, words)
     left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(left, "a").join(right, "b")
     same = F.size(F.array_intersect("ga", "gb"))
-    return both.where(100 * same >= percent * (F.size("ga") + F.size("gb") - same)).select("a", "b")
+    linked = 100 * same >= percent * (F.size("ga") + F.size("gb") - same)
+    return materialize(both.select(*pairs.columns, linked.alias("linked")), "near-confirmed")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -310,14 +422,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     kept. Other columns play no part. An empty table gives no rows.
     """
     flat.reachable(docs.sparkSession)
+    threshold = percent / 100
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = base.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-    signed = materialize(signed.mapInArrow(signatures(words), SIGNATURE), "near-signatures")
+    signed = materialize(signed.mapInArrow(signatures(words, *banding(threshold)), SIGNATURE).select(
+        "doc_id", "tie", "d1", "d2", "bands", *SKETCH), "near-signatures")
     classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("bands", *SKETCH[1:])])
     classes = materialize(classes.where("doc_id is not null").withColumn("id", F.xxhash64("d1", "d2")), "near-classes")
-    pairs = materialize(candidate_links(classes.select("id", "n_shingles", "bands", "sketch"), percent / 100), "near-pairs")
-    links = confirmed(pairs, classes, base.where("doc_id is not null"), words, percent)
+    named_docs, narrow = base.where("doc_id is not null"), classes.select("id", *SKETCH)
+    members = bucket_members(classes)
+    pairs = materialize(candidate_links(members, narrow, threshold), "near-pairs")
+    checked = confirmed(pairs, classes, named_docs, words, percent)
+    links, refuted = checked.where("linked").select("a", "b"), checked.where("sure and not linked").select("a", "b")
+    if refuted.limit(1).count():
+        again = second_look(members, narrow, refuted, components(links), threshold).join(pairs, ["a", "b"], "left_anti")
+        again = confirmed(materialize(again, "near-pairs"), classes, named_docs, words, percent)
+        links = links.unionByName(again.where("linked").select("a", "b"))
     rooted = classes.select("id", "d1", "d2", "n_shingles", "doc_id").join(components(links), "id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "id"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

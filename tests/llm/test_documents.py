@@ -264,16 +264,117 @@ def test_rows_without_id(tricky, nothing):
     assert near_dup.near_duplicates(nothing).count() == 0
 
 
-def test_estimates_are_close():
-    import numpy as np
+def sketched(texts, words=3):
     import pyarrow as pa
 
-    base = [f"w{i}" for i in range(700)]
-    texts = [" ".join(base), " ".join(base[:650] + [f"y{i}" for i in range(40)])]
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts), pa.array([0, 0])], names=["a", "b", "c"])
-    out = next(near_dup.signatures(3)(iter([batch])))
-    bits = near_dup._sketch_matrix(pa.chunked_array([out.column(5)]))
-    size = out.column(1).to_numpy()
-    est, err = near_dup.estimate(bits[:1], size[:1], bits[1:], size[1:])
-    true = jaccard(grams(texts[0], 3), grams(texts[1], 3))
-    assert abs(est[0, 0] - true) < 5 * err[0, 0] + 1e-9 and err[0, 0] < 0.02 and np.isfinite(est).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([0] * len(texts))], names=["a", "b", "c"])
+    return near_dup.Sketched.of(pa.Table.from_batches(list(near_dup.signatures(words, 6, 25)(iter([batch])))))
+
+
+@pytest.mark.parametrize("n", [5, 30, 44, 200, 700, 1000, 1300, 2100, 5000])
+@pytest.mark.parametrize("subset", [True, False])
+def test_bounds_hold_the_similarity(n, subset):
+    """Texts that lose their last words, or have others there, around the thresholds, at all levels of the samples."""
+    texts = [" ".join(f"w{i}" for i in range(n))]
+    for share in (0.02, 0.08, 0.12, 0.15, 0.17, 0.2, 0.22, 0.3, 0.6):
+        cut = max(1, int(n * (1 - share)))
+        texts.append(" ".join([f"w{i}" for i in range(cut)] + [f"y{i}" for i in range(0 if subset else int(share * n))]))
+    rows = sketched(texts)
+    est, low, high = rows.bounds(rows, pairwise=False)
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            true = jaccard(grams(a, 3), grams(b, 3))
+            assert low[i, j] <= true + 1e-12 and high[i, j] >= true - 1e-12, (n, i, j, true)
+    back = list(range(len(texts)))[::-1]
+    assert (rows.bounds(rows.at(back), pairwise=True)[0] == est[range(len(texts)), back]).all()
+
+
+def long_pairs(percent, sizes=(1300, 2100, 3500, 5000)):
+    """Pairs of a text and its beginning, or of two texts that overlap, a little above and below the threshold."""
+    rows, at = [], 0
+    for n in sizes:
+        for extra in (-2, -0.5, 0.05, 0.5, 1, 2, 3):
+            j = (percent + extra) / 100
+            words = [f"t{at}x{i}" for i in range(n + 2)]
+            rows += [(2 * at, " ".join(words)), (2 * at + 1, " ".join(words[: round(j * n) + 2]))]
+            at += 1
+            shift = round(n * (1 - j) / (1 + j))
+            words = [f"t{at}x{i}" for i in range(n + shift + 2)]
+            rows += [(2 * at, " ".join(words[: n + 2])), (2 * at + 1, " ".join(words[shift:]))]
+            at += 1
+    return rows
+
+
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
+def test_long_texts_of_unequal_length_lose_no_link(spark, words, percent):
+    df = spark.createDataFrame(long_pairs(percent), "doc_id BIGINT, text STRING").repartition(6)
+    rows = near_dup.near_duplicates(df, words, percent).collect()
+    got = {r.doc_id: r.component_id for r in rows}
+    texts = {r.doc_id: grams(r.text, words) for r in df.collect()}
+    linked = 0
+    for i in range(0, len(got), 2):
+        same = 100 * len(texts[i] & texts[i + 1]) >= percent * len(texts[i] | texts[i + 1])
+        linked += same
+        assert (got[i], got[i + 1]) == (i, i if same else i + 1)
+    assert 20 < linked < len(got) // 2
+
+
+def near_threshold(n, copies, seed):
+    """Short texts that differ in a few words from one another, so that many pairs lie beside the threshold."""
+    import random
+
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(n)]
+    rows = []
+    for i in range(copies):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(n)] = f"x{rng.randrange(5)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("n", [40, 46, 62])
+def test_short_texts_beside_the_threshold(spark, n):
+    check_components(spark.createDataFrame(near_threshold(n, 150, n), "doc_id BIGINT, text STRING"))
+
+
+@pytest.mark.parametrize("tile", [512, 16])
+def test_refuted_links_are_looked_at_again(spark, monkeypatch, tile):
+    """Even if every good estimate counts as sure, no link is lost."""
+    one_bucket, many_rows, look = near_dup.propose, near_dup.hub_links, near_dup.second_look
+
+    def rash(rule):
+        def bounds(z, a, b, sampled):
+            est, _, high = rule(z, a, b, sampled)
+            return est, (est > 0.78) * 0.99, high
+        return bounds
+
+    def in_worker(function):
+        from shelfline.llm import near_dup as there
+        kept, there._similarity = there._similarity, rash(there._similarity)
+        try:
+            return function()
+        finally:
+            there._similarity = kept
+
+    def propose(threshold):
+        run = one_bucket(threshold)
+        return lambda table: in_worker(lambda: run(table))
+
+    def hub_links(threshold):
+        run = many_rows(threshold)
+        return lambda batches: iter(in_worker(lambda: list(run(batches))))
+
+    refuted = []
+
+    def second_look(*args):
+        refuted.append(args[2].count())
+        return look(*args)
+
+    monkeypatch.setattr(near_dup, "TILE", tile)
+    monkeypatch.setattr(near_dup, "propose", propose)
+    monkeypatch.setattr(near_dup, "hub_links", hub_links)
+    monkeypatch.setattr(near_dup, "second_look", second_look)
+    check_components(spark.createDataFrame(near_threshold(46, 120, 5), "doc_id BIGINT, text STRING"))
+    assert refuted and refuted[0] > 0
