@@ -1,7 +1,7 @@
 """Byte-level BPE by merge ranks as recursive DuckDB queries, one database in the memory of each Python worker.
 
 The words of a batch that are not known yet become rows (word, position, token). A recursive query joins neighbouring
-tokens with the merge table, contracts the pair of lowest rank of every word, from the left, and goes on with the words
+tokens with the merge table, contracts the leftmost pair of lowest rank of every word, and goes on with the words
 that had one. An ordered aggregation over the tokens' bytes turns ids back into bytes.
 """
 
@@ -25,15 +25,35 @@ from pyspark.sql import functions as F
 
 from shelfline.llm import flat
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
 BATCH_CHARS = 4 << 20
 MEMORY = "768MB"
 
 # Rows of the keyed table are replaced when their word is worked on again; -1 stands for a token taken up by its left
-# neighbour. All occurrences of the lowest pair are contracted in one round, every second one where they overlap. Should
+# neighbour. Words of up to SHORT bytes contract their leftmost pair of lowest rank in every round; rank, place and width
+# of a pair are one number, the least of which is that pair.
+SHORT = 48
+SHORT_SQL = """
+WITH RECURSIVE state(pos, word, id) USING KEY (pos) AS (
+    SELECT pos, word, id FROM start
+  UNION ALL
+    (WITH seen AS (
+        SELECT word, pos, id, lead(id) OVER o AS right_id, lead(pos) OVER o AS right_pos, lead(word) OVER o AS right_word
+        FROM state WHERE id >= 0 WINDOW o AS (ORDER BY pos)),
+     best AS (
+        SELECT word, min((made::BIGINT << 40) | (pos::BIGINT << 6) | (right_pos - pos)) AS least
+        FROM seen JOIN merges ON left_token = id AND right_token = right_id WHERE word = right_word GROUP BY word),
+     pair AS (
+        SELECT word, (least >> 40)::INTEGER AS made, ((least >> 6) & ((1::BIGINT << 34) - 1))::INTEGER AS place, (least & 63)::INTEGER AS width FROM best)
+     SELECT s.pos, s.word, CASE s.pos WHEN place THEN made WHEN place + width THEN -1 ELSE s.id END
+     FROM state s JOIN pair USING (word) WHERE s.id >= 0))
+SELECT pos, id FROM state WHERE id >= 0
+"""
+
+# Longer words contract all occurrences of their lowest pair in one round, every second one where they overlap. Should
 # a contraction yield a pair of a still lower rank (``low`` has those pairs, ``renews`` marks results that do so beside
 # their own kind), the word contracts its leftmost occurrence only, and the next round sees the new pair.
-MERGE_SQL = """
+LONG_SQL = """
 WITH RECURSIVE state(word, pos, id) USING KEY (word, pos) AS (
     SELECT word, pos, id FROM start
   UNION ALL
@@ -62,7 +82,7 @@ WITH RECURSIVE state(word, pos, id) USING KEY (word, pos) AS (
         SELECT word, pos, CASE WHEN contract THEN made
                                WHEN lag(contract) OVER (PARTITION BY word ORDER BY k) THEN -1 ELSE id END AS next_id
         FROM decided))
-SELECT word, pos, id FROM state WHERE id >= 0 ORDER BY word, pos
+SELECT pos, id FROM state WHERE id >= 0
 """
 
 DECODE_SQL = """
@@ -113,13 +133,17 @@ class RankBpe:
         keep = ~known | starts
         ids, fresh, word = ids[keep], (fresh | known)[keep], word[keep]
         stretch = (np.cumsum(fresh) - 1).astype(np.int32)
-        single = np.bincount(stretch)[stretch] == 1 if len(stretch) else np.zeros(0, bool)
-        at = np.flatnonzero(~single)
-        self.load("start", pa.table({"word": stretch[at], "pos": at.astype(np.int32), "id": ids[at]}))
-        done = self.con.execute(MERGE_SQL).fetchnumpy()
-        place = np.r_[np.flatnonzero(single), done["pos"].astype(np.int64)]
-        found = np.r_[ids[single], done["id"].astype(np.int32)]
-        order = np.argsort(place, kind="stable")
+        size = np.bincount(stretch)[stretch] if len(stretch) else stretch
+        place, found = [np.flatnonzero(size == 1)], [ids[size == 1]]
+        for query, part in ((SHORT_SQL, (size > 1) & (size <= SHORT)), (LONG_SQL, size > SHORT)):
+            if part.any():
+                at = np.flatnonzero(part).astype(np.int32)
+                self.load("start", pa.table({"word": stretch[at], "pos": at, "id": ids[at]}))
+                done = self.con.execute(query).fetchnumpy()
+                place.append(done["pos"].astype(np.int64))
+                found.append(done["id"].astype(np.int32))
+        place, found = np.concatenate(place), np.concatenate(found)
+        order = np.argsort(place)
         return found[order], word[place[order]]
 
     def decode(self, ids: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
