@@ -60,8 +60,9 @@ def with_views(views: str, body: str) -> str:
     body = body.strip()
     if not ctes:
         return body
-    if body.upper().startswith("WITH "):
-        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return start + ",\n".join(ctes) + ",\n" + body[len(start):]
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 

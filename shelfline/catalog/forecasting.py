@@ -128,201 +128,254 @@ def _(t):
 
 # --- training -------------------------------------------------------------------------------------------------
 
-class Run:
-    """One training of all models over a folder: stored features, prepared rows and results."""
+KEEP = ["day_of_week", "month"]
 
-    def __init__(self, t):
-        self.features = materialize(feature_table(t), "features")
-        self.prepared = tr.prepare(self.features, keep=["day_of_week", "month"])
-        self._trained = {}
 
-    def of(self, *names):
-        """Results of the named models; each is fitted when it is first asked for."""
-        if new := [s for s in specs(*names) if s.name not in self._trained]:
-            self._trained |= {r.name: r for r in tr.train_all(self.prepared, new)}
-        return [self._trained[n] for n in names if n in self._trained]
+def features_of(t):
+    return materialize(feature_table(t), "features")
 
-    @property
-    def results(self):
-        return self.of(*[s.name for s in tr.model_specs()])
 
-    def close(self):
-        self.prepared.train.unpersist()
-        self.prepared.test.unpersist()
-
-
-_RUNS: dict = {}
-
-
-def run_of(t):
-    """The training run over a folder, made once a session and anew when a file it reads has changed."""
-    jvm = t.spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{t.path}/lineitem.parquet")
-    changed = at.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).getModificationTime()
-    key = (t.spark.sparkContext.applicationId, t.path, changed)
-    if key not in _RUNS:
-        for old in _RUNS.values():
-            if old.features.sparkSession.sparkContext.applicationId == key[0]:
-                old.close()
-        _RUNS.clear()
-        _RUNS[key] = Run(t)
-    return _RUNS[key]
+def prepared_of(t, features=None):
+    """Split, encoded and scaled feature rows; models of equal rows come from the store, whichever query made them."""
+    return tr.prepare(features_of(t) if features is None else features, keep=KEEP)
 
 
 def specs(*names):
     return [s for s in tr.model_specs() if s.name in names]
 
 
-# The closed forms of linear models with one standardised feature; the models with all features are in train_all.
-ONE_FEATURE = "sales_lag_7"
-ROWS_SQL = f"""x AS (SELECT i, n, q AS y, r AS x, row_number() OVER (ORDER BY i) - 1 AS j, COUNT(*) OVER () AS m FROM (
-   SELECT ROW_NUMBER() OVER (ORDER BY date, store_id, product_id) - 1 AS i, COUNT(*) OVER () AS n, q, r FROM (
-     SELECT date, store_id, product_id, CAST(daily_quantity AS DOUBLE) AS q,
-       CAST(LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS DOUBLE) AS r FROM daily) WHERE r IS NOT NULL)),
- part AS (SELECT *, j < CAST(FLOOR(m * 0.8) AS BIGINT) AS training FROM x),
- fitted AS (SELECT COUNT(*) AS k, AVG(y) AS my, AVG(x) AS mx, STDDEV_SAMP(x) AS sx, COVAR_POP(y, x) * COUNT(*) / STDDEV_SAMP(x) AS sxy FROM part WHERE training)"""
+# --- linear models on all features: the comparison solves the normal equations by elimination, as a recursive query
+# over the sums of products; lasso, which has no such form, is compared on one feature and tested on all ----------
 
+K = len(tr.FEATURES)
 
-def one_feature(t):
-    return tr.prepare(run_of(t).features, [ONE_FEATURE])
+
+def _encoded(name, places=None):
+    if places is not None and name.startswith("rolling_std"):
+        return f"ROUND(COALESCE({name}, 0), {places}) AS {name}"
+    kind = "INTEGER" if name in ("is_weekend", "is_holiday", "is_perishable", "has_promotion") else "DOUBLE"
+    return f"COALESCE(CAST(CAST({name} AS {kind}) AS DOUBLE), 0) AS {name}"
 
 
-def _linear_query(name, model, slope):
-    @query(name, "daily", f"""WITH {ROWS_SQL}, c AS (SELECT *, {slope} AS b FROM fitted),
-     e AS (SELECT training, y - (my + b * (x - mx) / sx) AS e FROM part, c)
-     SELECT '{model}' AS model, (SELECT ROUND(my, 3) FROM c) AS intercept, (SELECT ROUND(b, 3) FROM c) AS coefficient,
-      ROUND(SQRT(AVG(e * e) FILTER (training)), 3) AS train_rmse, ROUND(SQRT(AVG(e * e) FILTER (NOT training)), 3) AS test_rmse,
-      COUNT(*) FILTER (training) AS train_rows, COUNT(*) FILTER (NOT training) AS test_rows FROM e""")
+# Rows in time order with their part (-1: test, else the fold of three) and features scaled by the training part.
+SCALED_SQL = f"""{TABLE_CTES}, t AS ({TABLE_SELECT}),
+ e AS (SELECT date, store_id, product_id, CAST(daily_quantity AS DOUBLE) AS y, row_number() OVER (ORDER BY date, store_id, product_id) - 1 AS i,
+   COUNT(*) OVER () AS n, {', '.join(_encoded(n) for n in tr.FEATURES)} FROM t),
+ p AS (SELECT *, CAST(FLOOR(n * 0.8) AS BIGINT) AS k FROM e),
+ f AS (SELECT i, y, date, store_id, product_id, CASE WHEN i >= k THEN -1 WHEN i < k // 3 + CAST(k % 3 > 0 AS INT) THEN 0 WHEN i < 2 * (k // 3) + LEAST(k % 3, 2) THEN 1 ELSE 2 END AS fold,
+   [{', '.join(tr.FEATURES)}] AS x FROM p),
+ c AS (SELECT unnest(range(1, {K + 1})) AS nr),
+ s AS (SELECT nr, AVG(x[nr]) AS m, STDDEV_SAMP(x[nr]) AS s FROM f, c WHERE fold >= 0 GROUP BY nr),
+ sl AS (SELECT list(m ORDER BY nr) AS m, list(s ORDER BY nr) AS s FROM s),
+ z AS (SELECT f.*, list_transform(list_zip(x, m, s), lambda v: CASE WHEN v[3] > 0 THEN (v[1] - v[2]) / v[3] ELSE 0 END) AS z FROM f, sl)"""
+# For each set of training folds (3: all, 0 to 2: all but that one): centred sums of products with features and target.
+GRAM_SQL = f"""o AS (SELECT unnest([0, 1, 2, 3]) AS left_out),
+ q AS (SELECT left_out, z.* FROM z JOIN o ON fold >= 0 AND fold <> left_out),
+ mean AS (SELECT left_out, nr, AVG(z[nr]) AS m, AVG(y) AS my, COUNT(*) AS n FROM q, c GROUP BY 1, 2),
+ prod AS (SELECT left_out, a.nr AS i, b.nr AS j, SUM(z[a.nr] * z[b.nr]) AS v FROM q, c a, c b GROUP BY 1, 2, 3),
+ cross_y AS (SELECT left_out, c.nr AS i, SUM(z[c.nr] * (y - my)) AS v FROM q JOIN mean USING (left_out), c WHERE mean.nr = 1 GROUP BY 1, 2),
+ gram AS (SELECT p.left_out, i, j, v - a.n * a.m * b.m AS v FROM prod p JOIN mean a ON p.left_out = a.left_out AND i = a.nr JOIN mean b ON p.left_out = b.left_out AND j = b.nr)"""
+SOLVE_SQL = f"""kind AS (SELECT * FROM (VALUES ('LinearRegression', 0.0::DOUBLE), ('Ridge', 1.0::DOUBLE)) AS v(model, alpha)),
+ m0 AS (SELECT model, left_out, i, j, v + CASE WHEN i = j THEN alpha ELSE 0 END AS v FROM gram, kind
+   UNION ALL SELECT model, left_out, i, {K + 1}, v FROM cross_y, kind),
+ least AS (SELECT model, left_out, i, v * 1e-9::DOUBLE AS v FROM m0 WHERE i = j),
+ w AS (SELECT 0 AS step, * FROM m0 UNION ALL
+   SELECT a.step + 1, a.model, a.left_out, a.i, a.j, CASE
+     WHEN p.v <= l.v THEN CASE WHEN a.i = a.step + 1 OR a.j = a.step + 1 THEN 0 ELSE a.v END
+     WHEN a.i = a.step + 1 THEN a.v / p.v ELSE a.v - q.v * r.v / p.v END
+   FROM w a JOIN w p ON p.model = a.model AND p.left_out = a.left_out AND p.i = a.step + 1 AND p.j = a.step + 1
+    JOIN w q ON q.model = a.model AND q.left_out = a.left_out AND q.i = a.i AND q.j = a.step + 1
+    JOIN w r ON r.model = a.model AND r.left_out = a.left_out AND r.i = a.step + 1 AND r.j = a.j
+    JOIN least l ON l.model = a.model AND l.left_out = a.left_out AND l.i = a.step + 1
+   WHERE a.step < {K}),
+ coef AS (SELECT model, left_out, i AS nr, v AS b FROM w WHERE step = {K} AND j = {K + 1})"""
+FITTED_SQL = """fitted AS (SELECT coef.model, coef.left_out, list(b ORDER BY coef.nr) AS b, MAX(my) - SUM(b * m) AS a FROM coef JOIN mean ON coef.left_out = mean.left_out AND coef.nr = mean.nr GROUP BY 1, 2)"""
+NAMES_SQL = f"[{', '.join(repr(n) for n in tr.FEATURES)}]"
+
+
+def linear_sql(solve, model):
+    return f"""WITH RECURSIVE {SCALED_SQL}, {GRAM_SQL}, {solve}, {FITTED_SQL},
+ gap AS (SELECT fold >= 0 AS training, y - a - list_dot_product(z, b) AS e FROM z, fitted WHERE model = '{model}' AND left_out = 3),
+ r AS (SELECT ROUND(SQRT(AVG(e * e) FILTER (training)), 3) AS train_rmse, ROUND(SQRT(AVG(e * e) FILTER (NOT training)), 3) AS test_rmse,
+   COUNT(*) FILTER (training) AS train_rows, COUNT(*) FILTER (NOT training) AS test_rows FROM gap)
+ SELECT model, {NAMES_SQL}[nr] AS feature, ROUND(b[nr], 3) AS coefficient, ROUND(a, 3) AS intercept, r.* FROM fitted, c, r WHERE model = '{model}' AND left_out = 3"""
+
+
+def _linear_query(name, model, views="", sql=None, names=tr.FEATURES):
+    @query(name, views, sql)
     def _(t):
-        p = one_feature(t)
-        fit = specs(model)[0].make(p.rows, p.label_std).fit(p.train)
-        rmse = [ev.metrics_regression(fit.transform(d), tr.TARGET, "prediction", places=None).first().rmse for d in (p.train, p.test)]
-        row = (model, round(fit.intercept, 3), round(float(fit.coefficients[0]), 3), *[round(r, 3) for r in rmse], p.train.count(), p.test.count())
-        return t.spark.createDataFrame([row], "model STRING, intercept DOUBLE, coefficient DOUBLE, train_rmse DOUBLE, test_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
+        prepared = tr.prepare(features_of(t), names)
+        parts = prepared.grams(tr.CV_FOLDS)
+        train, test = tr.Gram.total(g for k, g in parts.items() if k >= 0), parts[-1]
+        fit = tr.linear_models(tr.RIDGE_ALPHA, tr.LASSO_ALPHA)[model](train)
+        rows = [(model, n, round(float(b), 3) + 0.0, round(fit.intercept, 3), round(train.rmse(fit), 3), round(test.rmse(fit), 3), train.rows, test.rows)
+                for n, b in zip(prepared.names, fit.coefficients)]
+        return t.spark.createDataFrame(rows, "model STRING, feature STRING, coefficient DOUBLE, intercept DOUBLE, train_rmse DOUBLE, test_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
+
 
+ONE_FEATURE = "sales_lag_7"
+ONE_SQL = f"""WITH x AS (SELECT y, r, row_number() OVER (ORDER BY date, store_id, product_id) - 1 AS j, COUNT(*) OVER () AS m FROM (
+   SELECT date, store_id, product_id, CAST(daily_quantity AS DOUBLE) AS y,
+     CAST(LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS DOUBLE) AS r FROM daily) WHERE r IS NOT NULL),
+ part AS (SELECT *, j < CAST(FLOOR(m * 0.8) AS BIGINT) AS training FROM x),
+ fitted AS (SELECT COUNT(*) AS k, AVG(y) AS my, AVG(r) AS mx, STDDEV_SAMP(r) AS sx, COVAR_POP(y, r) * COUNT(*) / STDDEV_SAMP(r) AS sxy FROM part WHERE training),
+ coef AS (SELECT *, SIGN(sxy) * GREATEST(ABS(sxy) / k - 0.1, 0) / ((k - 1.0) / k) AS b FROM fitted),
+ gap AS (SELECT training, y - (my + b * (r - mx) / sx) AS e FROM part, coef)
+ SELECT 'Lasso' AS model, '{ONE_FEATURE}' AS feature, (SELECT ROUND(b, 3) FROM coef) AS coefficient, (SELECT ROUND(my, 3) FROM coef) AS intercept,
+  ROUND(SQRT(AVG(e * e) FILTER (training)), 3) AS train_rmse, ROUND(SQRT(AVG(e * e) FILTER (NOT training)), 3) AS test_rmse,
+  COUNT(*) FILTER (training) AS train_rows, COUNT(*) FILTER (NOT training) AS test_rows FROM gap"""
 
-_linear_query("train_linear", "LinearRegression", "sxy / (k - 1)")
-_linear_query("train_ridge", "Ridge", "sxy / (k - 1 + 1.0)")
-_linear_query("train_lasso", "Lasso", "SIGN(sxy) * GREATEST(ABS(sxy) / k - 0.1, 0) / ((k - 1.0) / k)")
+_linear_query("train_linear", "LinearRegression", TABLE_VIEWS, linear_sql(SOLVE_SQL, "LinearRegression"))
+_linear_query("train_ridge", "Ridge", TABLE_VIEWS, linear_sql(SOLVE_SQL, "Ridge"))
+_linear_query("train_lasso", "Lasso")
+_linear_query("train_lasso_single", "Lasso", "daily", ONE_SQL, [ONE_FEATURE])
 
 
 def _training_query(name, *models):
     @query(name)
     def _(t):
-        return tr.results_summary(t.spark, run_of(t).of(*models))
+        return tr.results_summary(t.spark, tr.train_all(prepared_of(t), specs(*models), folds=0))
 
 
 _training_query("train_random_forest", "RandomForest")
 _training_query("train_gbt", "BoostedDepthwise", "BoostedLeafy", "BoostedSampled")
 
 
-def _encoded(name):
-    if name.startswith("rolling_std"):
-        return f"ROUND(COALESCE({name}, 0), 4) AS {name}"
-    kind = "INTEGER" if name in ("is_weekend", "is_holiday", "is_perishable", "has_promotion") else "DOUBLE"
-    return f"COALESCE(CAST(CAST({name} AS {kind}) AS DOUBLE), 0) AS {name}"
-
-
 @query("encode_features", TABLE_VIEWS, f"""WITH {TABLE_CTES}, t AS ({TABLE_SELECT})
- SELECT date, store_id, product_id, {', '.join(_encoded(n) for n in tr.FEATURES)} FROM t""")
+ SELECT date, store_id, product_id, {', '.join(_encoded(n, 4) for n in tr.FEATURES)} FROM t""")
 def _(t):
-    rows, used, _ = tr.encode_features(run_of(t).features)
+    rows, used, _ = tr.encode_features(features_of(t))
     stds = [n for n in used if n.startswith("rolling_std")]
     return rows.select("date", "store_id", "product_id", *used).withColumns({n: F.round(n, 4) for n in stds})
 
 
-@query("cross_validate", "daily", f"""WITH {ROWS_SQL}, f AS (SELECT y, (x - mx) / sx AS z, CASE WHEN j < k // 3 + CAST(k % 3 > 0 AS INT) THEN 0
-   WHEN j < 2 * (k // 3) + LEAST(k % 3, 2) THEN 1 ELSE 2 END AS fold FROM part, fitted WHERE training),
-  g AS (SELECT a.k AS fold, REGR_SLOPE(y, z) AS b, REGR_INTERCEPT(y, z) AS a FROM f, (SELECT unnest([0, 1, 2]) AS k) a WHERE f.fold <> a.k GROUP BY a.k),
-  s AS (SELECT f.fold, SQRT(AVG((y - (a + b * z)) * (y - (a + b * z)))) AS rmse FROM f JOIN g ON f.fold = g.fold GROUP BY f.fold)
-  SELECT 'LinearRegression' AS model, ROUND(AVG(rmse), 4) AS cv_rmse, ROUND(STDDEV_POP(rmse), 4) AS cv_std, COUNT(*) AS folds FROM s""")
+@query("cross_validate", TABLE_VIEWS, f"""WITH RECURSIVE {SCALED_SQL}, {GRAM_SQL}, {SOLVE_SQL}, {FITTED_SQL},
+  score AS (SELECT model, left_out, SQRT(AVG((y - a - list_dot_product(z, b)) * (y - a - list_dot_product(z, b)))) AS rmse FROM z JOIN fitted ON fold = left_out GROUP BY 1, 2)
+  SELECT model, ROUND(AVG(rmse), 3) AS cv_rmse, ROUND(STDDEV_POP(rmse), 3) AS cv_std, COUNT(*) AS folds FROM score GROUP BY model""")
 def _(t):
-    m, s, scores = tr.cross_validate(specs("LinearRegression")[0], one_feature(t))
-    return t.spark.createDataFrame([("LinearRegression", round(m, 4), round(s, 4), len(scores))], "model STRING, cv_rmse DOUBLE, cv_std DOUBLE, folds INT")
+    found = tr.fold_rmse(specs("LinearRegression", "Ridge"), prepared_of(t), tr.CV_FOLDS)
+    rows = [(name, *[round(v, 3) for v in tr._mean_std(scores)], len(scores)) for name, scores in found.items()]
+    return t.spark.createDataFrame(rows, "model STRING, cv_rmse DOUBLE, cv_std DOUBLE, folds BIGINT")
 
 
 @query("train_all")
 def _(t):
-    return tr.metrics_frame(t.spark, run_of(t).results)
+    return tr.metrics_frame(t.spark, tr.train_all(prepared_of(t), folds=0))
 
 
 @query("results_summary")
 def _(t):
-    return tr.results_summary(t.spark, run_of(t).results)
+    return tr.results_summary(t.spark, tr.train_all(prepared_of(t)))
 
 
-@query("save_load_models", "daily", f"""WITH {ROWS_SQL}, d AS (SELECT date, store_id, product_id, LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS r FROM daily)
-  SELECT date, CAST(store_id AS BIGINT) AS store_id, CAST(product_id AS BIGINT) AS product_id, TRUE AS same, CAST(7 AS BIGINT) AS models FROM d WHERE r IS NOT NULL""")
+@query("save_load_models", TABLE_VIEWS, f"""WITH {TABLE_CTES}, t AS ({TABLE_SELECT})
+  SELECT date, store_id, product_id, TRUE AS same, CAST(7 AS BIGINT) AS models FROM t""")
 def _(t):
     # Stored, loaded again and applied to every row: the reloaded best model predicts what the fitted one does.
-    run, path = run_of(t), fresh_path(t.spark, "models")
-    best = tr.best_of(t.spark, run.results)
-    tr.save_models(t.spark, run.results, path, best.name, run.prepared.names)
+    features, path = features_of(t), fresh_path(t.spark, "models")
+    prepared = prepared_of(t, features)
+    results = tr.train_all(prepared, folds=0)
+    best = tr.best_of(t.spark, results)
+    tr.save_models(t.spark, results, path, best.name, prepared.names)
     _, model, names = tr.load_best(t.spark, path)
-    rows = tr.encode_features(run.features, names)[0].select("date", "store_id", "product_id", *names)
+    rows = tr.encode_features(features, names)[0].select("date", "store_id", "product_id", *names)
     drop = ["raw_features", "features"]
     both = model.transform(best.model.transform(rows).withColumnRenamed("prediction", "fitted").drop(*drop))
-    return both.select("date", "store_id", "product_id", (F.col("prediction") == F.col("fitted")).alias("same"), F.lit(len(run.results)).alias("models"))
+    return both.select("date", "store_id", "product_id", (F.col("prediction") == F.col("fitted")).alias("same"), F.lit(len(results)).alias("models"))
 
 
 @query("train_job")
 def _(t):
-    run = run_of(t)
+    features = features_of(t)
+    prepared = prepared_of(t, features)
     out = tr.training_job(t.spark, t.series_sales, t.calendar, t.series_stores, t.series_products, t.series_weather,
-                          t.series_promotions, save_features=True, done=(run.features, run.prepared, run.results))
+                          t.series_promotions, save_features=True, done=(features, prepared, tr.train_all(prepared)))
     keys = ["feature_rows", "features", "models_trained", "best_model", "best_rmse", "train_rows", "test_rows"]
     return t.spark.createDataFrame([tuple(out[k] for k in keys)],
                                    "feature_rows BIGINT, features INT, models_trained INT, best_model STRING, best_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
 
 
+def importance_of(t):
+    prepared = prepared_of(t)
+    trees = specs("RandomForest", "BoostedDepthwise", "BoostedLeafy", "BoostedSampled")
+    results = tr.train_all(prepared, trees, folds=0)
+    return [r.name for r in results], tr.feature_importance(t.spark, results, prepared.names)
+
+
 @query("feature_importance")
 def _(t):
-    run = run_of(t)
-    return tr.top_features(tr.feature_importance(t.spark, run.results, run.prepared.names))
+    return tr.top_features(importance_of(t)[1])
 
 
 @query("feature_importance_by_model")
 def _(t):
-    run = run_of(t)
-    trees = [r.name for r in run.results if hasattr(r.model.stages[-1], "featureImportances")]
-    return tr.importance_by_model(tr.feature_importance(t.spark, run.results, run.prepared.names), trees)
+    trees, importance = importance_of(t)
+    return tr.importance_by_model(importance, trees)
 
 
 @query("learning_curve")
 def _(t):
-    run = run_of(t)
-    return tr.learning_curve(t.spark, specs(tr.best_of(t.spark, run.results).name)[0], run.prepared)
+    prepared = prepared_of(t)
+    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0))
+    return tr.learning_curve(t.spark, specs(best.name)[0], prepared)
+
+
+@query("learning_curve_linear")
+def _(t):
+    return tr.learning_curve(t.spark, specs("Ridge")[0], prepared_of(t))
 
 
 @query("cv_report")
 def _(t):
-    return tr.cv_report(t.spark, tr.model_specs(), run_of(t).prepared)
+    return tr.cv_report(t.spark, tr.model_specs(), prepared_of(t))
 
 
 # --- scoring and forecasts ----------------------------------------------------------------------------------------
 
 
-@query("score_batch", "daily", f"""WITH {ROWS_SQL}, b AS (SELECT *, sxy / (k - 1) AS b FROM fitted),
-  h AS (SELECT store_id, product_id, date, CAST(LAG(daily_revenue, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS DOUBLE) AS r FROM daily),
-  l AS (SELECT store_id, product_id, arg_max(r, date) AS r FROM h WHERE r IS NOT NULL GROUP BY 1, 2),
-  a AS (SELECT store_id, product_id, r, TRUE AS has_history FROM l UNION ALL SELECT store_id, product_id + 1000, {float(fc.DEFAULT_FEATURES["sales_lag_7"])}, FALSE FROM l
-   UNION ALL SELECT store_id, product_id + 2000, 25.0, FALSE FROM l UNION ALL SELECT store_id, product_id + 3000, 0.0, FALSE FROM l)
-  SELECT CAST(store_id AS BIGINT) AS store_id, CAST(product_id AS BIGINT) AS product_id, CAST([7, 14, 30][product_id % 3 + 1] AS BIGINT) AS horizon_days,
-   ROUND(GREATEST(my + b * (r - mx) / sx, 0), 2) AS predicted_quantity, 'LinearRegression' AS model_used, has_history, CAST(NULL AS VARCHAR) AS error FROM a, b""")
-def _(t):
-    run, p = run_of(t), one_feature(t)
-    model = tr.PipelineModel([*p.stages.stages, specs("LinearRegression")[0].make(p.rows, p.label_std).fit(p.train)])
+def requests_of(features):
+    """Known series, unknown ones (default vector), and features given by the caller: two that differ in the price only."""
     horizon = F.element_at(F.array(*[F.lit(h) for h in fc.HORIZONS]), (F.col("product_id") % 3 + 1).cast("int"))
-    series = run.features.select("store_id", "product_id").distinct()
-    none = F.lit(None).cast("map<string,double>")
+    series = features.select("store_id", "product_id").distinct()
 
     def shifted(by, given):
         return series.withColumn("product_id", F.col("product_id") + by).withColumn("horizon", horizon).withColumn("given", given)
 
-    # Known series, unknown ones (default vector), and features given by the caller, with and without the one used.
-    requests = shifted(0, none).unionByName(shifted(1000, none)).unionByName(
-        shifted(2000, F.create_map(F.lit(ONE_FEATURE), F.lit(25.0)))).unionByName(shifted(3000, F.create_map(F.lit("unit_price"), F.lit(1.0))))
-    return fc.score_batch(requests, run.features, model, "LinearRegression", [ONE_FEATURE], given="given")
+    none = F.lit(None).cast("map<string,double>")
+    out = shifted(0, none).unionByName(shifted(1000, none))
+    for by, price in ((2000, 5.0), (3000, 9.0)):
+        out = out.unionByName(shifted(by, F.create_map(F.lit("product_price"), F.lit(price), F.lit("qty_lag_7"), F.lit(25.0))))
+    return out
+
+
+DEFAULT_LIST = ", ".join(str(float(fc.DEFAULT_FEATURES[n])) for n in tr.FEATURES)
+GIVEN_LIST = ", ".join({"product_price": "price", "qty_lag_7": "25.0::DOUBLE"}.get(n, "0.0::DOUBLE") for n in tr.FEATURES)
+
+
+@query("score_batch", TABLE_VIEWS, f"""WITH RECURSIVE {SCALED_SQL}, {GRAM_SQL}, {SOLVE_SQL}, {FITTED_SQL},
+  l AS (SELECT store_id, product_id, arg_max(x, date) AS x FROM f GROUP BY 1, 2),
+  a AS (SELECT store_id, product_id, x, TRUE AS has_history FROM l UNION ALL SELECT store_id, product_id + 1000, [{DEFAULT_LIST}], FALSE FROM l
+   UNION ALL SELECT store_id, product_id + shift, [{GIVEN_LIST}], FALSE FROM l, (VALUES (2000, 5.0::DOUBLE), (3000, 9.0::DOUBLE)) AS v(shift, price)),
+  u AS (SELECT a.*, list_transform(list_zip(x, m, s), lambda v: CASE WHEN v[3] > 0 THEN (v[1] - v[2]) / v[3] ELSE 0 END) AS z FROM a, sl)
+  SELECT store_id, product_id, CAST([7, 14, 30][product_id % 3 + 1] AS BIGINT) AS horizon_days,
+   ROUND(GREATEST(fitted.a + list_dot_product(z, b), 0), 2) AS predicted_quantity, 'Ridge' AS model_used, has_history, CAST(NULL AS VARCHAR) AS error
+  FROM u, fitted WHERE model = 'Ridge' AND left_out = 3""")
+def _(t):
+    # The ridge model on all features as one expression over the unscaled columns.
+    features = features_of(t)
+    prepared = prepared_of(t, features)
+    train = tr.Gram.total(g for k, g in prepared.grams(tr.CV_FOLDS).items() if k >= 0)
+    scaler = prepared.stages.stages[-1]
+    formula = tr.as_column(tr.linear_models(tr.RIDGE_ALPHA, tr.LASSO_ALPHA)["Ridge"](train), prepared.names, scaler.mean, scaler.std)
+    return fc.score_batch(requests_of(features), features, formula, "Ridge", prepared.names, given="given")
+
+
+@query("score_batch_best")
+def _(t):
+    features = features_of(t)
+    prepared = prepared_of(t, features)
+    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0))
+    return fc.score_batch(requests_of(features), features, best.model, best.name, prepared.names, given="given")
 
 
 DEFAULT_SQL = ", ".join(f"CAST({float(v)} AS DOUBLE) AS {k}" for k, v in fc.DEFAULT_FEATURES.items())

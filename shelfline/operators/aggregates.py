@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import materialize
-
 
 def daily_sales_agg(sales: DataFrame) -> DataFrame:
     """Day, store and product totals; transactions are counted, not made distinct."""
@@ -41,19 +39,20 @@ def with_distinct_counts(df: DataFrame, keys: Mapping[str, Column], sums: Mappin
                          distinct: Mapping[str, str]) -> DataFrame:
     """One row per key with sums and exact distinct counts (``out=column``).
 
-    Several distinct counts in one aggregate copy every row once for each of them before the shuffle. Here rows
-    are first added up per key and combination of the counted columns and stored; every count is then an aggregate
-    of its own over that smaller table, and the results, one row per key, are joined. NULL keys are keys.
+    Several distinct counts in one aggregate copy every row once for each of them before the shuffle. Here every
+    counted column has an aggregate of its own straight over the scan, which reads that column and the keys only and
+    combines equal (key, value) pairs before its shuffle; the sums go with the first. The results, one row per key,
+    are joined. NULL keys are keys.
     """
-    columns = list(dict.fromkeys(distinct.values()))
-    rows = df.select(*[c.alias(k) for k, c in keys.items()], *[F.col(c).alias(f"_of_{c}") for c in columns],
-                     *[c.alias(n) for n, c in sums.items()])
-    rows = rows.groupBy(*keys, *[f"_of_{c}" for c in columns]).agg(*[F.sum(n).alias(n) for n in sums]) if sums else rows.distinct()
-    reduced = materialize(rows, "reduced")
+    counts: dict[str, list[str]] = {}
+    for out, column in distinct.items():
+        counts.setdefault(column, []).append(out)
     parts = []
-    for i, (out, column) in enumerate(distinct.items()):
-        own = [F.sum(n).alias(n) for n in sums] if i == 0 else []
-        parts.append(reduced.groupBy(*keys).agg(*own, F.count_distinct(f"_of_{column}").alias(out)))
+    for column, outs in counts.items():
+        own = {} if parts else sums
+        rows = df.select(*[c.alias(k) for k, c in keys.items()], F.col(column).alias("_of"), *[c.alias(n) for n, c in own.items()])
+        counted = rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in own], F.count_distinct("_of").alias("_n"))
+        parts.append(counted.select(*keys, *own, *[F.col("_n").alias(o) for o in outs]))
     total = parts[0]
     for part in parts[1:]:
         part = part.withColumnsRenamed({k: f"_{k}" for k in keys})

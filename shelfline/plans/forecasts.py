@@ -65,10 +65,11 @@ def latest_features(features: DataFrame, names: Sequence[str] = FEATURES) -> Dat
     return rows.select(*keys, F.lit(True).alias("known"), *names)
 
 
-def score_batch(requests: DataFrame, features: DataFrame, model: PipelineModel, model_name: str,
+def score_batch(requests: DataFrame, features: DataFrame, model: PipelineModel | Column, model_name: str,
                 names: Sequence[str] = FEATURES, given: str | None = None) -> DataFrame:
     """Forecast per request from the latest features of its series, defaults where there are none.
 
+    ``model`` is a fitted pipeline, or a model as an expression over the feature columns.
     ``given`` names a map column with features given by the caller: where it is not NULL it alone counts, and a
     feature that it lacks is 0. A request that cannot be scored gets an ``error`` and no quantity; the others are
     not affected.
@@ -80,7 +81,7 @@ def score_batch(requests: DataFrame, features: DataFrame, model: PipelineModel,
     # A known series keeps 0 for a missing value, as in training; an unknown one gets the default.
     filled = joined.withColumns({n: F.when(own.isNotNull(), F.coalesce(F.element_at(own, n), F.lit(0.0)))
                                  .when(F.col("known"), F.coalesce(F.col(n), F.lit(0.0))).otherwise(F.lit(default[n])) for n in names})
-    scored = model.transform(filled)
+    scored = filled.withColumn("prediction", model) if isinstance(model, Column) else model.transform(filled)
     error = F.when(F.col("store_id").isNull() | F.col("product_id").isNull(), "missing key")
     return scored.select(
         "store_id", "product_id", F.coalesce("horizon", F.lit(HORIZONS[0])).alias("horizon_days"),

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from shelfline.operators.aggregates import daily_sales_agg
 from shelfline.operators.evaluation import metrics_regression, select_best, union_all
 from shelfline.operators.features import FEATURES, TARGET, feat_table
+from shelfline.operators.gram import Gram, as_column, fold_scores, gram_parts, linear_models  # noqa: F401
 from shelfline.operators.sampling import sample_rows
 from shelfline.operators.split import TIES, split_report, time_folds, time_split
 from shelfline.session import fresh_path, materialize
+from shelfline.sources.model_store import ModelStore, fingerprint
 from shelfline.sources.tables import write_features
 
 log = logging.getLogger(__name__)
@@ -30,6 +32,7 @@ SEED = 42
 TEST_SIZE = 0.2
 CV_FOLDS = 3
 PARALLEL_FITS = 4
+ROWS_PER_TASK = 25_000  # of a fit: its hundreds of short jobs cost more than they compute on smaller parts
 # Hyperparameters.
 RIDGE_ALPHA = 1.0
 LASSO_ALPHA = 0.1
@@ -88,6 +91,17 @@ class Prepared:
     rows: int
     label_std: float
     missing: list[str] = field(default_factory=list)
+    store: ModelStore | None = None
+
+    def folds(self, n: int) -> DataFrame:
+        """The training part with its fold in time order, in as many partitions as a fit can use."""
+        tasks = max(1, -(-self.rows // ROWS_PER_TASK))
+        return materialize(time_folds(self.train, n).coalesce(tasks), "folds")
+
+    def grams(self, folds: int) -> dict[int, Gram]:
+        """Sums of products of the folds (0, 1, ..) and of the test part (-1): one pass over both."""
+        rows = time_folds(self.train, folds).unionByName(self.test.withColumn("fold", F.lit(-1)))
+        return gram_parts(rows.withColumn("_z", vector_to_array("features")), "fold", "_z", TARGET, len(self.names))
 
 
 def encode_features(df: DataFrame, names: Sequence[str] = FEATURES) -> tuple[DataFrame, list[str], list[str]]:
@@ -116,10 +130,10 @@ def prepare(features: DataFrame, names: Sequence[str] = FEATURES, test_size: flo
     stages = vector_stages(used).fit(train)
     stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(TARGET).alias("s")).first()
     cols = ["date", *TIES, *[c for c in keep if c not in used], TARGET, "features"]
-    # A small stored table may arrive as a single partition; fits want one per core at least.
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = [stages.transform(p.repartition(cores, "date", *TIES)).select(*cols).persist() for p in (train, test)]
-    return Prepared(*parts, stages, used, stats.n, stats.s or 0.0, missing)
+    tasks = max(1, -(-stats.n // ROWS_PER_TASK))
+    parts = [materialize(stages.transform(p).select(*cols).coalesce(tasks), name) for p, name in ((train, "train"), (test, "test"))]
+    store = ModelStore(rows.sparkSession, fingerprint(rows.select("date", *TIES, TARGET, *used)))
+    return Prepared(*parts, stages, used, stats.n, stats.s or 0.0, missing, store)
 
 
 def score_metrics(model, df: DataFrame) -> dict:
@@ -132,14 +146,31 @@ def in_parallel(fn: Callable, items: Sequence, parallelism: int = PARALLEL_FITS)
         return pool.map(fn, items, chunksize=1)
 
 
-def one_fold(spec: Spec, train: DataFrame, fold: int, folds: int, label_std: float, rows: int) -> float:
-    """RMSE on one fold of a model fitted on the other folds; ``train`` carries the fold number."""
-    fit = spec.make(rows * (folds - 1) // folds, label_std).fit(train.where(F.col("fold") != fold))
-    return metrics_regression(fit.transform(train.where(F.col("fold") == fold)), TARGET, "prediction", places=None).first().rmse
+def stage_params(estimator) -> dict:
+    """The parameters of an estimator as JSON can hold them."""
+    return {p.name: v if isinstance(v, (int, float, str, bool)) else str(v) for p, v in estimator.extractParamMap().items()}
+
+
+def fit_model(spec: Spec, prepared: Prepared) -> tuple[PipelineModel, dict]:
+    """The model fitted on the whole training part, with its scores on both parts; taken from the store if it is there."""
+    estimator = spec.make(prepared.rows, prepared.label_std)
+
+    def make():
+        model = estimator.fit(prepared.train)
+        return PipelineModel([*prepared.stages.stages, model]), {"train": score_metrics(model, prepared.train), "test": score_metrics(model, prepared.test)}
 
+    return prepared.store.model({"model": spec.name, "params": stage_params(estimator)}, make)
 
-def fold_rmse(spec: Spec, train: DataFrame, folds: int, label_std: float, rows: int) -> list[float]:
-    return in_parallel(lambda k: one_fold(spec, train, k, folds, label_std, rows), range(folds))
+
+def one_fold(spec: Spec, prepared: Prepared, with_folds: DataFrame, fold: int, folds: int) -> float:
+    """RMSE on one fold of a model fitted on the other folds; ``with_folds`` carries the fold number."""
+    estimator = spec.make(prepared.rows * (folds - 1) // folds, prepared.label_std)
+
+    def make():
+        fit = estimator.fit(with_folds.where(F.col("fold") != fold))
+        return metrics_regression(fit.transform(with_folds.where(F.col("fold") == fold)), TARGET, "prediction", places=None).first().rmse
+
+    return prepared.store.value({"model": spec.name, "params": stage_params(estimator), "fold": [fold, folds]}, make)
 
 
 def _mean_std(values: Sequence[float]) -> tuple[float, float]:
@@ -147,43 +178,55 @@ def _mean_std(values: Sequence[float]) -> tuple[float, float]:
     return m, (sum((v - m) ** 2 for v in values) / len(values)) ** 0.5
 
 
+def attempt(name: str, work: Callable):
+    """The result of ``work``; None, and a line in the log, if it fails: one bad model must not stop the others."""
+    try:
+        return work()
+    except Exception:  # noqa: BLE001
+        log.exception("training %s failed", name)
+        return None
+
+
+def fold_rmse(specs: Sequence[Spec], prepared: Prepared, folds: int, parallelism: int = PARALLEL_FITS) -> dict[str, list[float]]:
+    """RMSE of every model on each of the contiguous folds in time order; models that fail are left out.
+
+    Linear models need one pass over the rows for all folds, the others a fit each; the fits share the cluster.
+    """
+    linear = linear_models(RIDGE_ALPHA, LASSO_ALPHA)
+    found: dict[str, list[float]] = {}
+    if any(s.name in linear for s in specs):
+        parts = prepared.grams(folds)
+        found = {s.name: fold_scores(parts, linear[s.name], range(folds)) for s in specs if s.name in linear}
+    fitted = [s for s in specs if s.name not in linear]
+    if fitted:
+        rows = prepared.folds(folds)
+        items = [(s, k) for s in fitted for k in range(folds)]
+        done = in_parallel(lambda x: attempt(x[0].name, lambda: one_fold(x[0], prepared, rows, x[1], folds)), items, parallelism)
+        for i, spec in enumerate(fitted):
+            scores = done[i * folds : (i + 1) * folds]
+            if None not in scores:
+                found[spec.name] = scores
+    return found
+
+
 def cross_validate(spec: Spec, prepared: Prepared, folds: int = CV_FOLDS) -> tuple[float, float, list[float]]:
     """Mean and population deviation of RMSE over contiguous folds in time order."""
-    scores = fold_rmse(spec, time_folds(prepared.train, folds), folds, prepared.label_std, prepared.rows)
+    scores = fold_rmse([spec], prepared, folds)[spec.name]
     return (*_mean_std(scores), scores)
 
 
 def train_all(prepared: Prepared, specs: Sequence[Spec] | None = None, folds: int = CV_FOLDS,
               parallelism: int = PARALLEL_FITS) -> list[Trained]:
-    """Fit and evaluate every model; one that fails is logged and left out.
-
-    The fits on the whole training part and on the folds are independent jobs and share the cluster.
-    """
+    """Fit and evaluate every model, without cross-validation if ``folds`` is 0; one that fails is logged and left out."""
     specs = list(specs or model_specs())
-    with_folds = time_folds(prepared.train, folds).persist() if folds else None
-
-    def work(item):
-        spec, fold = item
-        try:
-            if fold is not None:
-                return one_fold(spec, with_folds, fold, folds, prepared.label_std, prepared.rows)
-            model = spec.make(prepared.rows, prepared.label_std).fit(prepared.train)
-            return model, score_metrics(model, prepared.train), score_metrics(model, prepared.test)
-        except Exception:  # noqa: BLE001 - one bad model must not stop the others
-            log.exception("training %s failed", spec.name)
-            return None
-
-    items = [(s, k) for s in specs for k in [None, *range(folds)]]
-    done = in_parallel(work, items, parallelism)
-    if with_folds is not None:
-        with_folds.unpersist()
+    fits = in_parallel(lambda s: attempt(s.name, lambda: fit_model(s, prepared)), specs, parallelism)
+    scores = fold_rmse(specs, prepared, folds, parallelism) if folds else {}
     results = []
-    for i, spec in enumerate(specs):
-        fit, *scores = done[i * (folds + 1):(i + 1) * (folds + 1)]
-        if fit is None or None in scores:
+    for spec, fit in zip(specs, fits):
+        if fit is None or (folds and spec.name not in scores):
             continue
-        cv, std = _mean_std(scores) if scores else (float("nan"), float("nan"))
-        results.append(Trained(spec.name, PipelineModel([*prepared.stages.stages, fit[0]]), fit[1], fit[2], round(cv, 4), round(std, 4)))
+        cv, std = _mean_std(scores[spec.name]) if folds else (float("nan"), float("nan"))
+        results.append(Trained(spec.name, fit[0], fit[1]["train"], fit[1]["test"], round(cv, 4), round(std, 4)))
     return results
 
 
@@ -256,22 +299,43 @@ def learning_curve(spark: SparkSession, spec: Spec, prepared: Prepared, sizes: S
                    folds: int = 5) -> DataFrame:
     """Train and validation RMSE by share of the training rows, over contiguous folds.
 
-    The share is a fixed hash range of the row key, so larger sizes contain the smaller ones.
+    The share is a fixed hash range of the row key, so larger sizes contain the smaller ones. Linear models need one
+    pass over the rows for the whole curve; of the others, every fit that is done stays in the store.
     """
-    bucket = F.pmod(F.xxhash64("date", *TIES), F.lit(1000)) / 1000.0
-    base = time_folds(prepared.train, folds).withColumn("_u", bucket).persist()
-
-    def work(item):
-        size, k = item
-        part = base.where((F.col("fold") != k) & (F.col("_u") < size))
-        n = part.count()
-        model = spec.make(n, prepared.label_std).fit(part)
-        train_rmse, val_rmse = (metrics_regression(model.transform(d), TARGET, places=None).first().rmse
-                                for d in (part, base.where(F.col("fold") == k)))
-        return n, train_rmse, val_rmse
-
-    done = in_parallel(work, [(s, k) for s in sizes for k in range(folds)])
-    base.unpersist()
+    bucket = F.pmod(F.xxhash64("date", *TIES), F.lit(1000)).cast("int")
+    base = prepared.folds(folds).withColumn("_u", bucket)
+    linear = linear_models(RIDGE_ALPHA, LASSO_ALPHA).get(spec.name)
+    points = [(s, k) for s in sizes for k in range(folds)]
+    if linear:
+        step = F.lit(len(sizes))
+        for i in reversed(range(len(sizes))):
+            step = F.when(F.col("_u") < sizes[i] * 1000, i).otherwise(step)
+        cells = base.withColumn("_cell", F.col("fold") * (len(sizes) + 1) + step).withColumn("_z", vector_to_array("features"))
+        parts = gram_parts(cells, "_cell", "_z", TARGET, len(prepared.names))
+
+        def work(item):
+            size, k = item
+            at = sizes.index(size)
+            inside = lambda c: c // (len(sizes) + 1) != k and c % (len(sizes) + 1) <= at
+            train = Gram.total(g for c, g in parts.items() if inside(c))
+            fit = linear(train)
+            return train.rows, train.rmse(fit), Gram.total(g for c, g in parts.items() if c // (len(sizes) + 1) == k).rmse(fit)
+
+        done = [work(p) for p in points]
+    else:
+        def work(item):
+            size, k = item
+            estimator = spec.make(int(prepared.rows * (folds - 1) / folds * size), prepared.label_std)
+
+            def make():
+                part = base.where((F.col("fold") != k) & (F.col("_u") < size * 1000))
+                model = estimator.fit(part)
+                return [part.count(), *(metrics_regression(model.transform(d), TARGET, places=None).first().rmse
+                                        for d in (part, base.where(F.col("fold") == k)))]
+
+            return prepared.store.value({"model": spec.name, "params": stage_params(estimator), "fold": [k, folds], "share": size}, make)
+
+        done = in_parallel(work, points, 2 * PARALLEL_FITS)
     rows = []
     for i, size in enumerate(sizes):
         n, train_scores, val_scores = zip(*done[i * folds:(i + 1) * folds])
@@ -281,12 +345,8 @@ def learning_curve(spark: SparkSession, spec: Spec, prepared: Prepared, sizes: S
 
 def cv_report(spark: SparkSession, specs: Sequence[Spec], prepared: Prepared, folds: int = 5) -> DataFrame:
     """Mean, deviation, minimum and maximum RMSE over the folds per model."""
-    base = time_folds(prepared.train, folds).persist()
-    rows = []
-    for spec in specs:
-        scores = fold_rmse(spec, base, folds, prepared.label_std, prepared.rows)
-        rows.append((spec.name, *_mean_std(scores), min(scores), max(scores)))
-    base.unpersist()
+    found = fold_rmse(specs, prepared, folds)
+    rows = [(name, *_mean_std(scores), min(scores), max(scores)) for name, scores in found.items()]
     return spark.createDataFrame(rows, "model STRING, mean_rmse DOUBLE, std_rmse DOUBLE, min_rmse DOUBLE, max_rmse DOUBLE").orderBy("mean_rmse")
 
 
