@@ -80,10 +80,10 @@ def ensemble(predictions: DataFrame, keys: Sequence[str], model: str = "model",
 
     ``predictions`` is long: one row per key and model. The weights are one row per model.
     """
-    rmse = metrics_regression(predictions, label, prediction, by=[model], places=None).select(
-        F.col(model), (1 / F.col("rmse")).alias("w"))
-    # One row per model: broadcasting it keeps the predictions from being shuffled on a few model names.
-    weighted = predictions.join(F.broadcast(rmse), model)
+    rmse = metrics_regression(predictions, label, prediction, by=[model], places=None)
+    # One entry per model: a map instead of a join keeps the predictions from being shuffled on a few model names.
+    weights = rmse.agg(F.map_from_entries(F.collect_list(F.struct(model, 1 / F.col("rmse")))).alias("w")).scalar()
+    weighted = predictions.withColumn("w", F.element_at(weights, F.col(model)))
     return weighted.groupBy(*keys).agg(
         F.first(label).alias("actual"), F.avg(prediction).alias("simple"),
         (F.sum(F.col(prediction) * F.col("w")) / F.sum("w")).alias("weighted"))

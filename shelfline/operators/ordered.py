@@ -105,12 +105,19 @@ def kth_smallest(df: DataFrame, key: str, k: Column) -> DataFrame:
     return stats.agg(F.min(F.when((F.col("n_le") >= k) & (k > 0), F.col(key))).alias(key))
 
 
+# Rows that one task may hold and sort.
+TOP_ROWS = 100_000
+
+
 def smallest_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in the order of the given columns, NULL first.
 
-    The n-th key is located and the rows are filtered by it, so they stay where they are; only of the rows equal
-    to it in every order column some are cut.
+    Up to ``TOP_ROWS`` rows are a top-n: every task keeps ``n`` rows at most. For more, the n-th key is located and the
+    rows are filtered by it, so they stay where they are; only of the rows equal to it in every order column some
+    are cut.
     """
+    if n <= TOP_ROWS:
+        return df.orderBy(*order_by).limit(n)
     key = F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(c) for c in order_by])
     keyed = df.withColumn("_key", key)
     last = kth_smallest(keyed, "_key", F.lit(n)).first()["_key"]

@@ -212,17 +212,36 @@ def target_correlations(matrix: DataFrame, target: str = TARGET) -> DataFrame:
 # --- analyses behind the figures quoted in the business report -------------------------------------
 
 
-def insight_copurchase(sales: DataFrame, products: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """Correlation between the amounts customers spend in the categories (those of the dimension if not given).
+def category_pairs(products: DataFrame) -> DataFrame:
+    """(category_a, category_b) of all pairs of the dimension's categories, each once in their order."""
+    names = products.agg(F.array_sort(F.collect_set("category")).alias("names"))
+    each = names.select("names", F.posexplode("names").alias("at", "category_a"))
+    rest = F.slice("names", F.col("at") + 2, F.greatest(F.size("names") - F.col("at") - 1, F.lit(0)))
+    return each.select("category_a", F.explode(rest).alias("category_b"))
 
-    The fact is reduced to customers and products before it meets the dimension.
+
+def insight_copurchase(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Correlation between the amounts customers spend in the categories of the dimension, 0 where they buy nothing.
+
+    The fact is reduced to customers and products before it meets the dimension, then to customers and categories.
+    Sums of squares and of products come from the categories that a customer does buy in; the zeros only count.
     """
-    if categories is None:
-        categories = [r[0] for r in products.select("category").where("category is not null").distinct().orderBy("category").collect()]
     bought = sales.where(F.col("customer_id").isNotNull()).groupBy("customer_id", "product_id").agg(F.sum("total_amount").alias("s"))
-    spend = bought.join(products.select("product_id", "category"), "product_id").groupBy("customer_id").agg(
-        *[F.coalesce(F.sum(F.when(F.col("category") == c, F.col("s"))), F.lit(0)).cast("double").alias(c) for c in categories])
-    return eda_correlation_matrix(spend, list(categories)).withColumnsRenamed({"column_a": "category_a", "column_b": "category_b"})
+    spend = bought.join(products.select("product_id", "category"), "product_id").groupBy("customer_id", "category").agg(
+        F.coalesce(F.sum("s"), F.lit(0)).cast("double").alias("s"))
+    spend = materialize(spend, "spend")
+    people = spend.agg(F.count_distinct("customer_id").cast("double").alias("n")).scalar()
+    x = F.col("s")
+    alone = spend.groupBy("category").agg(F.sum(x).alias("x"), F.sum(x * x).alias("xx"))
+    a, b = (spend.select("customer_id", F.col("category").alias(f"category_{k}"), x.alias(f"s_{k}")) for k in "ab")
+    both = a.join(b, "customer_id").where("category_a < category_b").groupBy("category_a", "category_b").agg(F.sum(F.col("s_a") * F.col("s_b")).alias("xy"))
+    found = category_pairs(products).join(both, ["category_a", "category_b"], "left")
+    for k in "ab":
+        found = found.join(alone.select(F.col("category").alias(f"category_{k}"), F.col("x").alias(f"x_{k}"), F.col("xx").alias(f"xx_{k}")), f"category_{k}", "left")
+    part = lambda k: F.greatest(people * F.col(f"xx_{k}") - F.col(f"x_{k}") * F.col(f"x_{k}"), F.lit(0.0))
+    shared = people * F.coalesce("xy", F.lit(0.0)) - F.col("x_a") * F.col("x_b")
+    spread = F.sqrt(part("a")) * F.sqrt(part("b"))
+    return found.select("category_a", "category_b", F.round(F.when(spread > 0, shared / spread), 6).alias("correlation"))
 
 
 def insight_early_buyers(sales: DataFrame, days: int = 60, least: int = 3) -> DataFrame:

@@ -101,13 +101,22 @@ def test_blocked_rolling_mean(spark, cuts, rows):
     assert all((want[k] is None and got[k] is None) or abs(want[k] - got[k]) < 1e-9 for k in want)
 
 
+@pytest.mark.parametrize("top", [0, 100_000])
 @pytest.mark.parametrize("n", [0, 1, 15, 170, 400, 10_000])
-def test_first_rows(frame, n):
+def test_first_rows(frame, monkeypatch, n, top):
+    monkeypatch.setattr(o, "TOP_ROWS", top)
     rows = frame.select("v", "id")
     got = sorted(map(tuple, o.smallest_rows(rows, n, ["v", "id"]).collect()), key=str)
     assert got == sorted(map(tuple, rows.orderBy("v", "id").limit(n).collect()), key=str)
 
 
-def test_first_rows_cuts_equal_rows(spark):
+@pytest.mark.parametrize("top", [0, 100_000])
+def test_first_rows_cuts_equal_rows(spark, monkeypatch, top):
+    monkeypatch.setattr(o, "TOP_ROWS", top)
     df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 50, "v INT")
     assert sorted(r.v for r in o.smallest_rows(df, 70, ["v"]).collect()) == [1] * 50 + [2] * 20
+
+
+def test_few_rows_are_a_top_n(frame):
+    plan = o.smallest_rows(frame, 15, ["v", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan

@@ -114,3 +114,16 @@ def test_daily_totals_add_up(tables):
     sales = tables.sales
     total = sales.agg(F.sum("total_amount")).first()[0]
     assert daily_sales_agg(sales).agg(F.sum("daily_revenue")).first()[0] == total
+
+
+def test_copurchase_counts_customers_without_a_category(spark, make_sales, products):
+    import numpy as np
+
+    from shelfline.plans.eda import category_pairs, insight_copurchase
+    rows = [sale(1, "2024-01-01", customer=1, product=1, amount="10.00"), sale(2, "2024-01-01", customer=1, product=2, amount="4.00"),
+            sale(3, "2024-01-02", customer=2, product=1, amount="3.00"), sale(4, "2024-01-02", customer=3, product=2, amount="8.00"),
+            sale(5, "2024-01-03", customer=4, product=1, amount="5.00"), sale(6, "2024-01-03", customer=4, product=1, amount="5.00")]
+    got = {(r.category_a, r.category_b): r.correlation for r in insight_copurchase(make_sales(rows), products).collect()}
+    want = np.corrcoef([10, 3, 0, 10], [4, 0, 8, 0])[0, 1]
+    assert got == {("Beverages", "Dairy"): round(want, 6), ("Beverages", "Snacks"): None, ("Dairy", "Snacks"): None}
+    assert category_pairs(products.limit(1)).count() == 0
