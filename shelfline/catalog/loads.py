@@ -203,11 +203,10 @@ def _(t):
     base = fresh_path(t.spark, "stream")
     rows = t.series_sales.select("transaction_id", "store_id", "product_id", "quantity", "total_amount", "discount_applied",
                                  F.col("date").cast("timestamp").alias("event_time"))
-    rows.write.parquet(f"{base}/in/rows")
-    # A row far in the future closes the last days; its own day stays open and is never written.
-    late = rows.limit(1).withColumn("event_time", F.lit("2100-01-01").cast("timestamp"))
-    late.write.parquet(f"{base}/in/zz")
-    source = stream.file_stream(t.spark, f"{base}/in/*", rows.schema)
-    q = stream.stream_daily_sales(source, f"{base}/out", f"{base}/checkpoint", delay="1 day")
-    q.awaitTermination()
-    return t.spark.read.parquet(f"{base}/out")
+    # A third of the rows of every day arrives in a file of its own, after all others.
+    late = F.pmod(F.col("transaction_id"), F.lit(3)) == 0
+    rows.where(~late).write.parquet(f"{base}/in/rows")
+    rows.where(late).write.parquet(f"{base}/in/zz")
+    source = stream.file_stream(t.spark, f"{base}/in/*", rows.schema, files_per_batch=1)
+    stream.stream_daily_sales(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return stream.read_daily(t.spark, f"{base}/out")

@@ -77,21 +77,13 @@ def upsert(target: DataFrame, staged: DataFrame, key: str | Sequence[str],
 
 def merge_into(spark: SparkSession, path: str, staged: DataFrame, key: str,
                update_columns: Sequence[str], partition_col: str) -> None:
-    """Upsert into a versioned table, rewriting only the partitions it touches.
+    """Upsert into a table of whole states: one join of the table with the stage by key, written as the next state.
 
-    Of the target only keys inside the range of the staged keys are scanned to find the partitions that hold
-    them. The merged partitions are written beside the old ones and take their place in one step, so a run that
-    fails leaves the table as it was, and repeating a merge gives the same table.
+    A run that fails leaves the table as it was, and repeating a merge gives the same table.
     """
     if not versions.exists(spark, path):
         return versions.replace(staged, path, partition_col)
-    lo, hi = staged.agg(F.min(key), F.max(key)).first()
-    near = versions.read(spark, path).where(F.col(key).between(F.lit(lo), F.lit(hi)))
-    hit = near.join(staged.select(key), key, "left_semi").select(versions.partition_text(partition_col).alias("p"))
-    # Names of partitions: the manifest holds as many.
-    touched = [r[0] for r in hit.union(staged.select(versions.partition_text(partition_col))).distinct().collect()]
-    merged = upsert(versions.read(spark, path, touched).select(*staged.columns), staged, key, update_columns)
-    versions.replace(merged, path, partition_col, touched)
+    versions.replace(upsert(versions.read(spark, path).select(*staged.columns), staged, key, update_columns), path, partition_col)
 
 
 def watermark_update(staged: DataFrame, watermark: DataFrame, key: str = "transaction_id") -> DataFrame:

@@ -1,94 +1,61 @@
-"""Partitioned parquet tables whose changes appear all at once.
+"""Tables that change all at once: each state is a folder that Spark writes, and one small file names the current one.
 
-A table is a folder with ``data/<version>/<partition>`` folders and numbered manifests. A manifest names for every
-partition the version that holds it. A change writes the partitions it touches under a new version and then adds
-the next manifest by one rename; until then readers see the old state, and a crash leaves only files that nobody
-reads. Manifests have one line per partition, which the driver holds just as Spark holds the partitions of a table.
+A change writes the whole new state beside the old one and then renames a new ``CURRENT`` over the old. Until then
+readers see the old state; a run that is lost leaves a folder that nobody reads. The state before the current one is
+kept for readers that are still on it. One load at a time changes a table. Where the cluster has a catalog with a
+table format of its own, ``plans.incremental.upsert`` serves its merge just as well.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _fs(spark: SparkSession, path: str):
+def _path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+def current(spark: SparkSession, path: str) -> dict | None:
+    """``version``, ``previous`` and ``schema`` of the current state."""
+    fs, p = _path(spark, f"{path}/CURRENT")
+    return json.loads(spark.read.text(f"{path}/CURRENT").first().value) if fs.exists(p) else None
 
 
-def _latest(spark: SparkSession, path: str) -> int:
-    return max((int(n) for n in _names(spark, f"{path}/manifests") if n.isdigit()), default=0)
-
-
-def manifest(spark: SparkSession, path: str) -> dict[str, str]:
-    """Version of every partition (by the text of its value) in the current state."""
-    at = _latest(spark, path)
-    if not at:
-        return {}
-    lines = spark.read.text(f"{path}/manifests/{at}").collect()
-    return dict(line.value.split("\t", 1)[::-1] for line in lines if line.value)
+def exists(spark: SparkSession, path: str) -> bool:
+    return current(spark, path) is not None
 
 
-def commit(spark: SparkSession, path: str, new: dict[str, str], after: int) -> None:
-    """Make ``new`` the state that follows manifest number ``after``; fails if another change came first."""
-    fs, tmp = _fs(spark, f"{path}/manifests/.{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
+def switch(spark: SparkSession, path: str, state: dict) -> None:
+    """Make ``state`` the current one by a rename."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, draft = _path(spark, f"{path}/_CURRENT-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
     try:
-        out.write(bytearray("".join(f"{v}\t{k}\n" for k, v in sorted(new.items())).encode()))
+        out.write(bytearray(json.dumps(state).encode()))
     finally:
         out.close()
-    _, target = _fs(spark, f"{path}/manifests/{after + 1}")
-    if fs.exists(target) or not fs.rename(tmp, target):
-        raise RuntimeError(f"{path}: another change was committed first")
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    return _latest(spark, path) > 0
-
-
-def read(spark: SparkSession, path: str, partitions: Iterable[str] | None = None) -> DataFrame:
-    """The table, or those of its partitions that are named."""
-    state = manifest(spark, path)
-    wanted = state if partitions is None else {p: state[p] for p in partitions if p in state}
-    schema = spark.read.parquet(f"{path}/schema").schema
-    if not wanted:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/data/{v}/_part={p}" for p, v in sorted(wanted.items())])
-
-
-def replace(df: DataFrame, path: str, partition_col: str, touched: Iterable[str] = ()) -> None:
-    """Put ``df`` in the place of the partitions ``touched`` and of those it has rows for; others stay as they are."""
-    spark = df.sparkSession
-    after, state = _latest(spark, path), manifest(spark, path)
-    version = uuid.uuid4().hex
-    out = df.withColumn("_part", partition_text(partition_col))
-    out.hint("rebalance", "_part").write.partitionBy("_part").parquet(f"{path}/data/{version}")
-    if not after:
-        df.limit(0).write.mode("overwrite").parquet(f"{path}/schema")
-    written = [n.removeprefix("_part=") for n in _names(spark, f"{path}/data/{version}") if n.startswith("_part=")]
-    gone = set(touched) | set(written)
-    commit(spark, path, {p: v for p, v in state.items() if p not in gone} | {p: version for p in written}, after)
-
-
-def partition_text(column: str):
-    """Value of the partition column as a folder name; no value is ``none``."""
-    return F.coalesce(F.col(column).cast("string"), F.lit("none"))
-
-
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Delete the versions that the current state does not use; returns how many."""
-    used, done = set(manifest(spark, path).values()), 0
-    for name in _names(spark, f"{path}/data"):
-        if name not in used:
-            fs, p = _fs(spark, f"{path}/data/{name}")
-            done += fs.delete(p, True)
-    return done
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(target), over)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    state = current(spark, path)
+    schema = T.StructType.fromJson(state["schema"])
+    return spark.read.schema(schema).parquet(f"{path}/{state['version']}").select(*schema.names)
+
+
+def replace(df: DataFrame, path: str, partition_col: str) -> None:
+    """Make ``df`` the new state of the table."""
+    spark, old, version = df.sparkSession, current(df.sparkSession, path), uuid.uuid4().hex
+    df.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(f"{path}/{version}")
+    switch(spark, path, {"version": version, "previous": old and old["version"], "schema": df.schema.jsonValue()})
+    if old and old["previous"]:
+        fs, p = _path(spark, f"{path}/{old['previous']}")
+        fs.delete(p, True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from shelfline.operators.aggregates import daily_sales_agg
 from shelfline.plans.incremental import REQUIRED, LoadPaths, apply_batch
 
 
@@ -40,21 +41,22 @@ def stream_incremental_load(spark: SparkSession, source: DataFrame, paths: LoadP
             .trigger(availableNow=True).start())
 
 
-def daily_totals(sales: DataFrame, event_time: str = "event_time", delay: str = "1 day") -> DataFrame:
-    """Daily totals per store and product over tumbling event-time days, for batch or stream input."""
-    grouped = sales.withWatermark(event_time, delay).groupBy(
-        F.window(event_time, "1 day"), "store_id", "product_id")
-    return grouped.agg(
-        F.sum("quantity").alias("daily_quantity"), F.sum("total_amount").alias("daily_revenue"),
-        F.count("transaction_id").alias("transaction_count"),
-        F.sum(F.col("discount_applied").cast("int")).alias("discounted_count"),
-    ).select(F.to_date("window.start").alias("date"), "store_id", "product_id", "daily_quantity",
-             "daily_revenue", "transaction_count", "discounted_count")
+def stream_daily_sales(source: DataFrame, target: str, checkpoint: str, event_time: str = "event_time") -> StreamingQuery:
+    """Daily totals per store and product of a stream, to be read with ``read_daily``.
 
+    Totals add up, so every micro-batch writes the totals of its own rows to a folder of its own: no state is kept, no
+    row is too late, and a batch that is replayed after a failure replaces its folder.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        totals = daily_sales_agg(batch.withColumn("date", F.to_date(event_time)))
+        totals.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-def stream_daily_sales(source: DataFrame, target: str, checkpoint: str, event_time: str = "event_time",
-                       delay: str = "1 day") -> StreamingQuery:
-    """Append each finished day to ``target``; a day is finished once the watermark has passed it."""
-    return (daily_totals(source, event_time, delay).writeStream.outputMode("append").format("parquet")
-            .option("path", target).option("checkpointLocation", checkpoint)
+    return (source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def read_daily(spark: SparkSession, target: str) -> DataFrame:
+    """The daily totals over all batches so far."""
+    parts = spark.read.parquet(target)
+    return parts.groupBy("date", "store_id", "product_id").agg(
+        *[F.sum(c).alias(c) for c in ("daily_quantity", "daily_revenue", "transaction_count", "discounted_count")])

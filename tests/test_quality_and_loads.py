@@ -84,35 +84,43 @@ def test_incremental_run(spark, tmp_path, make_sales, stores, products):
     assert (mark.last_loaded_id, str(mark.last_loaded_date)) == (3, "2024-02-05")
 
 
-def test_merge_rewrites_touched_partitions_only(spark, tmp_path, make_sales):
+def test_merge_follows_the_key_and_repeats_change_nothing(spark, tmp_path, make_sales):
     path = str(tmp_path / "t")
     inc.merge_into(spark, path, monthly(make_sales([sale(1, "2024-01-01"), sale(2, "2024-02-01"), sale(3, "2024-03-01")])),
                    "transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
-    march = versions.manifest(spark, path)["2024-03-01"]
     # Key 1 lives in January though the staged row says February.
     staged = monthly(make_sales([sale(1, "2024-02-09", qty=8)]))
-    for _ in range(2):  # repeating a merge changes nothing
+    for _ in range(3):
         inc.merge_into(spark, path, staged, "transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
         rows = {r.transaction_id: r for r in versions.read(spark, path).collect()}
-        assert len(rows) == 3 and rows[1].quantity == 8 and str(rows[1].date) == "2024-01-01"
-    assert versions.manifest(spark, path)["2024-03-01"] == march
-    assert versions.vacuum(spark, path) == 1 and versions.read(spark, path).count() == 3
+        assert len(rows) == 3 and rows[1].quantity == 8 and str(rows[1].date) == "2024-01-01" and str(rows[1].sale_month) == "2024-01-01"
+    kept = [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()]
+    state = versions.current(spark, path)
+    assert sorted(kept) == sorted([state["version"], state["previous"]])
+    assert "sale_month" in versions.read(spark, path).columns and versions.read(spark, path).where("sale_month = '2024-03-01'").count() == 1
 
 
-def test_crash_between_write_and_swap_loses_nothing(spark, tmp_path, make_sales, monkeypatch):
+def test_crash_between_write_and_switch_loses_nothing(spark, tmp_path, make_sales, monkeypatch):
     path = str(tmp_path / "t")
     args = ("transaction_id", inc.UPDATED_ON_CONFLICT, "sale_month")
     inc.merge_into(spark, path, monthly(make_sales([sale(1, "2024-01-01"), sale(2, "2024-01-02")])), *args)
     staged = monthly(make_sales([sale(2, "2024-01-02", qty=5), sale(3, "2024-01-03")]))
     with monkeypatch.context() as m:
-        m.setattr(versions, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(versions, "switch", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             inc.merge_into(spark, path, staged, *args)
     assert {r.transaction_id: r.quantity for r in versions.read(spark, path).collect()} == {1: 1, 2: 1}
     inc.merge_into(spark, path, staged, *args)
     assert {r.transaction_id: r.quantity for r in versions.read(spark, path).collect()} == {1: 1, 2: 5, 3: 1}
-    with pytest.raises(RuntimeError):
-        versions.commit(spark, path, {}, 1)  # another change came first
+
+
+def test_empty_state_and_rows_without_partition_value(spark, tmp_path, make_sales):
+    path = str(tmp_path / "t")
+    rows = monthly(make_sales([sale(1, "2024-01-01")]))
+    versions.replace(rows.limit(0), path, "sale_month")
+    assert versions.read(spark, path).count() == 0 and versions.read(spark, path).columns == rows.columns
+    versions.replace(rows.withColumn("sale_month", F.lit(None).cast("date")), path, "sale_month")
+    assert versions.read(spark, path).first().sale_month is None
 
 
 def test_bounds_may_be_open(spark):

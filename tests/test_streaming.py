@@ -81,19 +81,31 @@ def test_replayed_batch_has_one_log_row(load, make_sales):
     assert load.log().count() == 1
 
 
-def test_stream_daily_equals_batch_and_drops_late_rows(spark, tmp_path, make_sales):
-    folder, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    on_time = make_sales([sale(1, "2024-01-01"), sale(2, "2024-01-01", pct=5), sale(3, "2024-01-02", store=2)])
-    schema = timed(on_time).schema
-
-    def run():
-        stream.stream_daily_sales(stream.file_stream(spark, f"{folder}/*", schema), out, cp).awaitTermination()
-
-    deliver(timed(on_time), folder, "a")
-    run()
-    deliver(timed(make_sales([sale(4, "2024-02-01")])), folder, "b")
-    run()
-    deliver(timed(make_sales([sale(5, "2024-01-01"), sale(6, "2024-03-01")])), folder, "c")  # the first is too late
-    run()
-    got = sorted(tuple(r) for r in spark.read.parquet(out).where("date < '2024-02-01'").select(*daily_sales_agg(on_time).columns).collect())
-    assert got == sorted(tuple(r) for r in daily_sales_agg(on_time).collect())
+def test_stream_daily_equals_batch_with_late_rows_and_replays(spark, tmp_path, make_sales):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    parts = [make_sales([sale(1, "2024-01-01"), sale(2, "2024-01-01", pct=5), sale(3, "2024-01-02", store=2)]),
+             make_sales([sale(4, "2024-02-01")]), make_sales([sale(5, "2024-01-01", qty=3), sale(6, "2024-03-01")])]
+
+    def run(checkpoint="cp"):
+        source = stream.file_stream(spark, f"{folder}/*", timed(parts[0]).schema)
+        stream.stream_daily_sales(source, out, str(tmp_path / checkpoint)).awaitTermination()
+
+    seen = None
+    for name, part in zip("abc", parts):  # the last brings a row of the first day
+        deliver(timed(part), folder, name)
+        run()
+        seen = part if seen is None else seen.unionByName(part)
+        want = daily_sales_agg(seen)
+        got = stream.read_daily(spark, out).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    run()  # nothing new
+    assert sorted(map(tuple, stream.read_daily(spark, out).select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_replayed_daily_batch_counts_once(spark, tmp_path, make_sales):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    deliver(timed(make_sales([sale(1, "2024-01-01")])), folder, "a")
+    for checkpoint in ("cp", "lost"):  # batch 0 twice
+        source = stream.file_stream(spark, f"{folder}/*", timed(make_sales([sale(1, "2024-01-01")])).schema)
+        stream.stream_daily_sales(source, out, str(tmp_path / checkpoint)).awaitTermination()
+    assert [r.transaction_count for r in stream.read_daily(spark, out).collect()] == [1]
