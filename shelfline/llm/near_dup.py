@@ -7,12 +7,14 @@ level apart and are compared below the lower limit of the two, so both samples c
 The popcount of the XOR of two bitmaps bounds the symmetric difference and so the similarity; pairs whose bounds
 reach the threshold are confirmed on the full sets; links are closed into components.
 
-Large buckets. Only links that change the components are needed. Inside a task, pairs surely above the threshold
-give a spanning forest, and pairs that may be above it are proposed if they join two trees. A bucket
-of more than ``TILE`` classes is first compared with its hub (the class that most of its other buckets share);
-only classes not surely linked to the hub go on, against all tiles of the bucket, each tile pair in its own task.
-Should the full sets refute a link taken for sure, its buckets are gone through once more: then every pair of
-different components that may be linked is confirmed.
+Large buckets. Only links that change the components are needed, so a task proposes a spanning forest of its pairs,
+the most similar first, and the links that the full sets refute are looked at again: in their buckets, trees are now the
+confirmed components and refuted pairs are left out; ``LOOKS`` rounds propose the next best forest (each costs a pass
+for components), then
+every remaining pair of different components that may be linked is confirmed. No link is lost, and a group of copies
+proposes links in proportion to its size. A bucket of more than ``TILE`` classes is first compared with its hub (the
+class that most of its other buckets share); only classes that do not seem linked to the hub go on, against all tiles
+of the bucket, each tile pair in its own task.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ MISSED = 1e-5  # a pair just at the threshold may be in no common bucket with th
 SAMPLE, BITS = 1024, 2048  # most shingles of a sample, and bits of its odd sketch
 SIGMA = 4.5
 TILE = 512
+LOOKS = 0
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -135,12 +138,12 @@ SIGNATURE = ("doc_id long, n_shingles long, d1 long, d2 long, bands array<long>,
              "sketch_up binary, tie long")
 
 
-def _similarity(z: np.ndarray, a: np.ndarray, b: np.ndarray, sampled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Estimate of the similarity of two samples of sizes ``a`` and ``b`` and bounds for that of the sets.
+def _similarity(z: np.ndarray, a: np.ndarray, b: np.ndarray, sampled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimate of the similarity of two samples of sizes ``a`` and ``b``, and an upper bound for that of the sets.
 
     ``z`` is the popcount of the XOR of their sketches, ``sampled`` tells whether the samples are less than the sets.
-    The popcount never exceeds the difference of the samples and falls short by two for each collision of differing
-    shingles: for small differences that gives the bounds, for larger ones ``SIGMA`` standard errors do.
+    The popcount never exceeds the difference of the samples: that bounds the similarity of whole sets that differ
+    little; otherwise ``SIGMA`` standard errors do.
     """
     ab = (a + b).astype(float)
     left = np.maximum(1 - 2 * z / BITS, 1e-3)
@@ -149,11 +152,7 @@ def _similarity(z: np.ndarray, a: np.ndarray, b: np.ndarray, sampled: np.ndarray
     est = of(d)
     var = np.maximum(BITS / 4 * (1 - left**2) - d * left**2, 0) / left**2 * (2 * ab / np.maximum(ab + d, 1) ** 2) ** 2
     var += np.where(sampled, est * (1 - est) / np.maximum((ab + d) / 2, 1), 0)
-    err = SIGMA * np.sqrt(var)
-    collisions = (d + 2) ** 2 / (2 * BITS)
-    low = np.minimum(est - err, of(z + 2 * (collisions + 5 * np.sqrt(collisions) + 4)))
-    high = np.where(~sampled & (z < 64), of(z), est + err)
-    return est, low, high
+    return est, np.where(~sampled & (z < 64), of(z), est + SIGMA * np.sqrt(var))
 
 
 @dataclass
@@ -175,7 +174,7 @@ class Sketched:
     def at(self, rows: np.ndarray) -> Sketched:
         return Sketched(self.size[rows], self.level[rows], self.bits[:, rows], self.k[:, rows])
 
-    def bounds(self, other: Sketched, pairwise: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def bounds(self, other: Sketched, pairwise: bool) -> tuple[np.ndarray, np.ndarray]:
         """``_similarity`` of every row with every row of ``other``, or of the rows side by side if ``pairwise``."""
         wide = (lambda x, y: (x, y)) if pairwise else (lambda x, y: (x[:, None], y[None, :]))
         la, lb = wide(self.level, other.level)
@@ -191,89 +190,68 @@ class Sketched:
                 part += np.bitwise_count(np.bitwise_xor(*wide(x[:, w], y[:, w])))
             ka, kb = np.broadcast_arrays(*wide(self.k[up_a], other.k[up_b]))
             z[here], a[here], b[here] = part[here], ka[here], kb[here]
-        est, low, high = _similarity(z, a, b, level > 0)
+        est, high = _similarity(z, a, b, level > 0)
         # Sets of very different size cannot be similar, whatever their samples say.
         most = np.minimum(sa, sb) / np.maximum(np.maximum(sa, sb), 1)
-        apart = np.abs(la - lb) > 1
-        return np.minimum(est, most), np.where(apart, 0, np.minimum(low, most)), np.where(apart, most, np.minimum(high, most))
+        return np.minimum(est, most), np.where(np.abs(la - lb) > 1, most, np.minimum(high, most))
 
 
-LINK = "a long, b long, sure boolean"
+LINK = "a long, b long"
 
 
-def _links(ids: np.ndarray, pairs: list[tuple[int, int, bool]]) -> pa.Table:
-    a, b, sure = np.array(pairs, np.int64).reshape(-1, 3).T
-    a, b = ids[a], ids[b]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "sure": sure.astype(bool)})
+def propose(threshold: float, full: bool = False):
+    """applyInArrow function over one bucket or tile pair: links to be confirmed.
 
-
-def propose(threshold: float):
-    """applyInArrow function over one bucket or tile pair: links to be confirmed, and whether they were taken for sure.
-
-    Rows have ``id``, the columns of ``SKETCH`` and ``open``; at least one end of a link is open. Classes are
-    grown tree by tree: each joins the tree it is most similar to if that is surely above the threshold. Pairs that
-    may be above it are proposed when their ends are in different trees.
+    Rows have ``id``, the columns of ``SKETCH``, and may have ``open`` (at least one end of a link is open), ``tree``
+    (the component a class is known to be in) and ``refuted`` (classes it is known not to be linked with). Of the pairs
+    that may reach the threshold, a spanning forest between the trees is proposed, the most similar first, or if
+    ``full`` all pairs of different trees.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table["id"].to_numpy()
-        is_open = table["open"].to_numpy(zero_copy_only=False).astype(bool)
+        ids, n = table["id"].to_numpy(), table.num_rows
+        is_open = table["open"].to_numpy(zero_copy_only=False).astype(bool) if "open" in table.column_names else np.ones(n, bool)
         sets = Sketched.of(table)
-        # The closed rows of a bucket are surely linked to its hub already, so they form one tree.
-        tree = np.where(is_open, np.arange(len(ids)), -1)
+        tree = np.unique(table["tree"].to_numpy(), return_inverse=True)[1] if "tree" in table.column_names else np.arange(n)
+        # The closed rows of a bucket are linked to its hub already, so they form one tree.
+        tree = np.where(is_open, tree, -1)
+        apart = table["refuted"].to_pylist() if "refuted" in table.column_names else [None] * n
+        place = {x: i for i, x in enumerate(ids.tolist())}
         rows = np.flatnonzero(is_open)
-        out: list[tuple[int, int, bool]] = []
-        unsure: list[np.ndarray] = []
+        out: list[tuple[int, int]] = []
         for lo in range(0, len(rows), 256):
             block = rows[lo : lo + 256]
-            est, low, high = sets.at(block).bounds(sets, pairwise=False)
-            low[np.arange(len(block)), block] = high[np.arange(len(block)), block] = 0
-            sure = low >= threshold
-            maybe = (high >= threshold) & ~sure
-            i, j = np.nonzero(sure)
+            est, high = sets.at(block).bounds(sets, pairwise=False)
+            may = (high >= threshold) & (tree[block][:, None] != tree[None, :])
+            for k, i in enumerate(block):
+                for other in apart[i] or ():
+                    if other in place:
+                        may[k, place[other]] = False
+            i, j = np.nonzero(may)
+            if full:
+                once = (block[i] < j) | ~is_open[j]
+                out.extend(zip(block[i[once]], j[once]))
+                continue
             order = np.argsort(-est[i, j], kind="stable")
             i, j = i[order], j[order]
             while len(i):  # each round links every remaining tree pair once, best pair first
                 a, b = tree[block[i]], tree[j]
                 live = a != b
                 i, j, a, b = i[live], j[live], a[live], b[live]
-                if not len(i):
-                    break
                 used: set[int] = set()
-                for k in np.unique(a, return_index=True)[1]:
+                for k in np.sort(np.unique(a, return_index=True)[1]):
                     if a[k] not in used and b[k] not in used:
                         used.update((a[k], b[k]))
-                        out.append((block[i[k]], j[k], True))
+                        out.append((block[i[k]], j[k]))
                         tree[tree == max(a[k], b[k])] = min(a[k], b[k])
-            i, j = np.nonzero(maybe)
-            unsure.append(np.stack([block[i], j]))
-        for i, j in unsure:
-            apart = (tree[i] != tree[j]) & ((i < j) | ~is_open[j])
-            out.extend((x, y, False) for x, y in zip(i[apart], j[apart]))
-        return _links(ids, out)
-
-    return run
-
-
-def propose_all(threshold: float):
-    """applyInArrow function over one tile pair: all pairs of different ``tree`` that may reach the threshold."""
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, tree = table["id"].to_numpy(), table["tree"].to_numpy()
-        sets = Sketched.of(table)
-        out: list[tuple[int, int, bool]] = []
-        for lo in range(0, len(ids), 256):
-            block = np.arange(lo, min(lo + 256, len(ids)))
-            _, _, high = sets.at(block).bounds(sets, pairwise=False)
-            i, j = np.nonzero((high >= threshold) & (tree[block][:, None] != tree[None, :]))
-            out.extend((x, y, False) for x, y in zip(block[i], j) if x < y)
-        return _links(ids, out)
+        a, b = ids[np.array(out, np.int64).reshape(-1, 2)].T
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
 
 def hub_links(threshold: float):
-    """mapInArrow function: is (id, sketches) surely linked to the hub of its bucket?"""
+    """mapInArrow function: does (id, sketches) seem linked to the hub of its bucket?"""
     columns = ["bucket", "n", "id", *SKETCH, "hub"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,9 +259,9 @@ def hub_links(threshold: float):
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
-            _, low, _ = Sketched.of(t).bounds(Sketched.of(t, "hub_"), pairwise=True)
+            est, _ = Sketched.of(t).bounds(Sketched.of(t, "hub_"), pairwise=True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)) for c in columns] + [pa.array(low < threshold)], names=[*columns, "open"])
+                [batch.column(batch.schema.get_field_index(c)) for c in columns] + [pa.array(est < threshold)], names=[*columns, "open"])
 
     return run
 
@@ -326,7 +304,7 @@ def bucket_members(classes: DataFrame) -> DataFrame:
 
 
 def candidate_links(members: DataFrame, narrow: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a, b, sure) of class ids that may be linked; ``narrow``: id and sketches of the classes."""
+    """Distinct pairs (a, b) of class ids that may be linked; ``narrow``: id and sketches of the classes."""
     small = members.where(F.col("n") <= TILE).join(narrow, "id").withColumn("open", F.lit(True))
     pairs = small.groupBy("bucket").applyInArrow(propose(threshold), LINK)
 
@@ -339,7 +317,7 @@ def candidate_links(members: DataFrame, narrow: DataFrame, threshold: float) ->
         hub_links(threshold), f"bucket long, n long, id long, {SKETCH_TYPES}, hub long, open boolean")
     starred = materialize(starred, "near-starred")
     star = starred.where("not open and id != hub").select(
-        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.lit(True).alias("sure"))
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     # Tiles of the whole bucket against tiles of its open classes.
     shape = starred.groupBy("bucket").agg(
         F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"), F.ceil(F.sum(F.col("open").cast("long")) / TILE).alias("open_tiles"))
@@ -350,20 +328,30 @@ def candidate_links(members: DataFrame, narrow: DataFrame, threshold: float) ->
                                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("i"))
     grid = resident.unionByName(visiting).groupBy("bucket", "i", "j", "id").agg(*[F.first(c).alias(c) for c in (*SKETCH, "open")])
     crossed = grid.groupBy("bucket", "i", "j").applyInArrow(propose(threshold), LINK)
-    return pairs.unionByName(star).unionByName(crossed).groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    return pairs.unionByName(star).unionByName(crossed).distinct()
+
 
+def second_look(members: DataFrame, narrow: DataFrame, recent: DataFrame, refuted: DataFrame, roots: DataFrame,
+                threshold: float, full: bool) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, in the buckets that hold both ends of a ``recent``
+    refuted link.
 
-def second_look(members: DataFrame, narrow: DataFrame, refuted: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different components that may be linked, in the buckets of the refuted links, tile by tile."""
-    ends = refuted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    buckets = members.join(ends, "id", "left_semi").select("bucket").distinct()
-    rows = members.join(buckets, "bucket", "left_semi").join(narrow, "id").join(roots, "id", "left")
-    rows = rows.withColumn("tree", F.coalesce("root", "id")).withColumn("tiles", F.ceil(F.col("n") / TILE))
+    ``refuted`` are all pairs known not to be linked. Buckets are worked through by pairs of tiles.
+    """
+    first, second = members.select(F.col("id").alias("a"), "bucket"), members.select(F.col("id").alias("b"), "bucket")
+    buckets = recent.join(first, "a").join(second, ["b", "bucket"]).select("bucket").distinct()
+    rows = members.join(buckets, "bucket", "left_semi").join(roots, "id", "left").withColumn("tree", F.coalesce("root", "id"))
+    rows = materialize(rows.select("bucket", "n", "id", "tree"), "near-again")
+    split = rows.groupBy("bucket").agg(F.min("tree").alias("lo"), F.max("tree").alias("hi")).where("lo < hi")
+    turned = refuted.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
+                                              F.struct(F.col("b").alias("id"), F.col("a").alias("other")))).alias("p"))
+    known = turned.groupBy("p.id").agg(F.collect_list("p.other").alias("refuted"))
+    rows = rows.join(split, "bucket", "left_semi").join(narrow, "id").join(known, "id", "left").withColumn("tiles", F.ceil(F.col("n") / TILE))
     own = F.pmod(F.xxhash64("id", "bucket"), F.col("tiles"))
     every = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
-    grid = rows.select("bucket", "id", *SKETCH, "tree", F.explode(F.transform(every, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))).alias("t"))
-    found = grid.groupBy("bucket", "t.i", "t.j").applyInArrow(propose_all(threshold), LINK)
-    return found.select("a", "b").distinct()
+    tiles = F.transform(every, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    grid = rows.select("bucket", "id", *SKETCH, "tree", "refuted", F.explode(tiles).alias("t")).select("*", "t.i", "t.j").drop("t")
+    return grid.groupBy("bucket", "i", "j").applyInArrow(propose(threshold, full), LINK).distinct()
 
 
 def class_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -434,11 +422,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = bucket_members(classes)
     pairs = materialize(candidate_links(members, narrow, threshold), "near-pairs")
     checked = confirmed(pairs, classes, named_docs, words, percent)
-    links, refuted = checked.where("linked").select("a", "b"), checked.where("sure and not linked").select("a", "b")
-    if refuted.limit(1).count():
-        again = second_look(members, narrow, refuted, components(links), threshold).join(pairs, ["a", "b"], "left_anti")
-        again = confirmed(materialize(again, "near-pairs"), classes, named_docs, words, percent)
-        links = links.unionByName(again.where("linked").select("a", "b"))
+    links, refuted = checked.where("linked").select("a", "b"), checked.where("not linked").select("a", "b")
+    recent = refuted
+    for look in range(LOOKS + 1):
+        if not recent.limit(1).count():
+            break
+        again = second_look(members, narrow, recent, refuted, components(links), threshold, full=look == LOOKS)
+        checked = confirmed(materialize(again, "near-pairs"), classes, named_docs, words, percent)
+        recent = checked.where("not linked").select("a", "b")
+        links, refuted = links.unionByName(checked.where("linked").select("a", "b")), refuted.unionByName(recent)
     rooted = classes.select("id", "d1", "d2", "n_shingles", "doc_id").join(components(links), "id", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "id"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
