@@ -9,12 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 FINE = 1 << 20
-LIMIT = 1 << 16
+LIMIT = 1 << 17  # beyond the logarithm of the largest double
 
 
 def digits(x: Column) -> tuple[Column, Column]:
-    """Coarse and fine digit of a double; their pair ascends with ``x`` inside +-1024."""
-    scaled = F.greatest(F.least(x * 64, F.lit(float(LIMIT))), F.lit(float(-LIMIT)))
+    """Coarse and fine digit of a double; their pair ascends with ``x`` over the whole range of doubles.
+
+    The digits are those of ``sign(x) * log2(1 + |x|)``, whose resolution follows the size of ``x``.
+    """
+    scaled = F.signum(x) * F.least(F.log2(1 + F.abs(x)) * 64, F.lit(float(LIMIT)))
     coarse = F.floor(scaled)
     return coarse, F.floor((scaled - coarse) * FINE)
 
