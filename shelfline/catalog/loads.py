@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfline.catalog.base import query
 from shelfline.operators import quality
 from shelfline.plans import incremental as inc
-from shelfline.session import fresh_path, materialize
+from shelfline.session import fresh_path
 from shelfline.sources import versions
 from shelfline.streaming import incremental as stream
 
@@ -177,7 +177,7 @@ def _(t):
 def _(t):
     paths = _paths(t)
     inc.apply_batch(t.spark, _with_year(_as_target(_loaded(t))), paths, required=["transaction_id", "date"])
-    inc.apply_batch(t.spark, materialize(_with_year(_arriving(t)), "staged"), paths, required=["transaction_id", "date"])
+    inc.apply_batch(t.spark, _with_year(_arriving(t)), paths, required=["transaction_id", "date"])
     return versions.read(t.spark, paths.table).drop("sale_year")
 
 

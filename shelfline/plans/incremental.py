@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import schemas
 from shelfline.operators.aggregates import row_counts
-from shelfline.operators.quality import all_checks, assert_clean, count_where, dq_duplicate_keys, dq_orphans
-from shelfline.session import materialize
+from shelfline.operators.quality import all_checks, assert_clean, count_where, dq_duplicate_keys, dq_orphans, known_counts
+from shelfline.session import materialize_observed
 from shelfline.sources import versions
 from shelfline.sources.tables import path_exists
 
@@ -42,14 +42,27 @@ def incremental_filter(source: DataFrame, watermark: DataFrame, key: str = "tran
     return source.where(F.col(key) > last)
 
 
+def any_null(columns: Sequence[str]) -> Column:
+    found = F.lit(False)
+    for c in columns:
+        found = found | F.col(c).isNull()
+    return found
+
+
+def stage(rows: DataFrame, required: Sequence[str] = REQUIRED, key: str = "transaction_id") -> tuple[DataFrame, dict]:
+    """The rows stored for a load, with what the pass that wrote them saw: their number, the rows that lack a required
+    value, the last date and the last key."""
+    return materialize_observed(rows, "staged", rows=F.count(F.lit(1)), null_required=F.count_if(any_null(required)),
+                                last_date=F.max("date"), last_key=F.max(key).cast("long"))
+
+
 def staging_checks(staged: DataFrame, stores: DataFrame | None = None, products: DataFrame | None = None,
                    required: Sequence[str] = REQUIRED, key: str = "transaction_id",
-                   fail_on_issue: bool = True) -> DataFrame:
-    """Required values, foreign keys and key uniqueness of the staged rows."""
-    any_null = F.lit(False)
-    for c in required:
-        any_null = any_null | F.col(c).isNull()
-    checks = [count_where(staged, {"null_required": any_null}), dq_duplicate_keys(staged, key)]
+                   fail_on_issue: bool = True, seen: dict | None = None) -> DataFrame:
+    """Required values, foreign keys and key uniqueness of the staged rows; ``seen`` is what ``stage`` saw of them."""
+    nulls = (known_counts(staged.sparkSession, {"null_required": seen["null_required"]}) if seen
+             else count_where(staged, {"null_required": any_null(required)}))
+    checks = [nulls, dq_duplicate_keys(staged, key)]
     if stores is not None:
         checks.append(dq_orphans(staged, stores, "store_id"))
     if products is not None:
@@ -137,26 +150,35 @@ class LoadPaths:
         return f"{self.name}_incremental"
 
 
-def apply_batch(spark: SparkSession, staged: DataFrame, paths: LoadPaths, stores: DataFrame | None = None,
+def apply_batch(spark: SparkSession, rows: DataFrame, paths: LoadPaths, stores: DataFrame | None = None,
                 products: DataFrame | None = None, required: Sequence[str] = REQUIRED,
-                refresh_id: str | None = None) -> int:
-    """Check one staged batch, merge it and log it under ``refresh_id``; returns its row count."""
-    staging_checks(staged, stores, products, required, paths.key)
-    count = staged.count()
-    if count:
+                refresh_id: str | None = None) -> dict:
+    """Stage one batch, check it, merge it and log it under ``refresh_id``; returns what ``stage`` saw."""
+    staged, seen = stage(rows, required, paths.key)
+    staging_checks(staged, stores, products, required, paths.key, seen=seen)
+    if seen["rows"]:
         merge_into(spark, paths.table, staged, paths.key, paths.update_columns, paths.partition_col)
-    rows = spark.range(1).select(F.lit(paths.log_name).alias("table_name"),
-                                 F.current_timestamp().alias("refresh_timestamp"), F.lit(count).cast("long").alias("row_count"))
-    append_log(rows, paths.log, refresh_id)
-    return count
+    log = spark.range(1).select(F.lit(paths.log_name).alias("table_name"),
+                                F.current_timestamp().alias("refresh_timestamp"), F.lit(seen["rows"]).cast("long").alias("row_count"))
+    append_log(log, paths.log, refresh_id)
+    return seen
+
+
+def next_watermark(watermark: DataFrame, seen: dict) -> DataFrame:
+    """The watermark after a load; one without rows keeps the old values."""
+    def moved(value, column: str) -> Column:
+        return F.coalesce(F.lit(value).cast(watermark.schema[column].dataType), F.col(column))
+
+    return watermark.select(
+        "table_name", moved(seen["last_date"], "last_loaded_date").alias("last_loaded_date"), moved(seen["last_key"], "last_loaded_id").alias("last_loaded_id"),
+        (F.col("updated_at") if seen["last_key"] is None else F.current_timestamp()).alias("updated_at"))
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, paths: LoadPaths, stores: DataFrame | None = None,
                     products: DataFrame | None = None, required: Sequence[str] = REQUIRED) -> DataFrame:
     """Load the rows above the stored watermark and return the load summary."""
     watermark = read_watermark(spark, paths.watermark, paths.name)
-    staged = materialize(incremental_filter(source, watermark, paths.key), "staged")
-    apply_batch(spark, staged, paths, stores, products, required)
-    watermark_update(staged, watermark, paths.key).write.mode("append").parquet(paths.watermark)
+    seen = apply_batch(spark, incremental_filter(source, watermark, paths.key), paths, stores, products, required)
+    next_watermark(watermark, seen).write.mode("append").parquet(paths.watermark)
     return load_summary(spark, read_watermark(spark, paths.watermark, paths.name),
                         read_log(spark, paths.log), paths.log_name)

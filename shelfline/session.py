@@ -7,7 +7,7 @@ import uuid
 
 from py4j.protocol import Py4JError
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the jobs rely on. AQE splits skewed join partitions and coalesces small ones; the
 # broadcast threshold stays Spark's own, so a side is broadcast only when its size was checked.
@@ -67,6 +67,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and the value of each aggregate over the rows, taken by the pass that writes them."""
+    spark, path, seen = df.sparkSession, fresh_path(df.sparkSession, name), Observation()
+    df.observe(seen, *[m.alias(k) for k, m in metrics.items()]).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
+
+
 _stored: list[str] = []
 
 

@@ -84,6 +84,19 @@ def test_incremental_run(spark, tmp_path, make_sales, stores, products):
     assert (mark.last_loaded_id, str(mark.last_loaded_date)) == (3, "2024-02-05")
 
 
+def test_the_pass_that_writes_a_stage_counts_it(spark, make_sales):
+    rows = make_sales([sale(1, "2024-01-01"), sale(7, "2024-02-03")]).unionByName(make_sales([sale(3, "2024-01-02")]).withColumn("store_id", F.lit(None).cast("int")))
+    staged, seen = inc.stage(rows)
+    assert (seen["rows"], seen["null_required"], str(seen["last_date"]), seen["last_key"]) == (3, 1, "2024-02-03", 7)
+    assert staged.count() == 3
+    counts = inc.staging_checks(staged, fail_on_issue=False, seen=seen)
+    assert {r.check_name: r.issue_count for r in counts.collect()} == {"null_required": 1, "duplicate_keys": 0}
+    # The null check reads nothing more.
+    assert counts.where("check_name = 'null_required'")._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 1
+    none, seen = inc.stage(rows.limit(0))
+    assert (seen["rows"], seen["last_key"], none.count()) == (0, None, 0)
+
+
 def test_merge_follows_the_key_and_repeats_change_nothing(spark, tmp_path, make_sales):
     path = str(tmp_path / "t")
     inc.merge_into(spark, path, monthly(make_sales([sale(1, "2024-01-01"), sale(2, "2024-02-01"), sale(3, "2024-03-01")])),
