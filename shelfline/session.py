@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task sorts, or keeps in a hash table, about twenty times what it fetches compressed.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
     # Stream state lives on disk instead of the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -33,11 +36,25 @@ def build_session(app: str = "shelfline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that a running session can take to a session made elsewhere."""
+# Input files behind one shuffle partition before adaptive execution joins small ones.
+INPUT_PER_PARTITION = 4 << 20
+
+
+def configure(spark: SparkSession, path: str | None = None) -> SparkSession:
+    """Apply the settings that a running session can take to a session made elsewhere.
+
+    With the folder of the input, shuffles start with partitions in proportion to its size, at least as many as the
+    session names. Adaptive execution joins small partitions but splits no large one: with a fixed number of them the
+    memory of a task would grow with the input.
+    """
     for key, value in SETTINGS.items():
-        if key.startswith("spark.sql.adaptive."):
+        if key.startswith(("spark.sql.adaptive.", "spark.sql.files.")):
             spark.conf.set(key, value)
+    if path is not None:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        size = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, -(-size // INPUT_PER_PARTITION))))
     return spark
 
 
@@ -55,7 +72,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", **options: str | int) -> DataFrame:
     """Write ``df`` once as a columnar table in the shared folder and read it back.
 
     Used where several branches need the same aggregate: they then read the stored result with
@@ -63,7 +80,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
