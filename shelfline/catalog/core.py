@@ -52,7 +52,7 @@ def copied(t):
     for name, df in {"sales_transactions": t.customer_sales, **{d: getattr(t, d) for d in schemas.DIMENSIONS}}.items():
         declared = T.StructType.fromDDL(schemas.TABLES[name])
         columns = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared]
-        df.select(*columns).write.option("header", True).csv(f"{source}/{name}.csv")
+        df.select(*columns).write.option("header", True).option("compression", "gzip").csv(f"{source}/{name}.csv")
     tables.bulk_copy(t.spark, source, target)
     return target
 

@@ -184,3 +184,12 @@ def test_label_codes(spark, tmp_path):
     assert {r.x: r.x_code for r in codes.transform(new).collect()} == want
     codes.save(str(tmp_path))
     assert {r.x: r.x_code for r in LabelCodes.load(spark, str(tmp_path), ["x"]).transform(new).collect()} == want
+
+
+def test_text_copies_are_stored_compressed(spark, tables, tmp_path, monkeypatch):
+    from shelfline.catalog import core
+    monkeypatch.setattr(core, "fresh_path", lambda spark, name: str(tmp_path / name))
+    target = core.copied(tables)
+    plain = [p for p in (tmp_path / "csv").rglob("part-*") if p.suffix == ".csv"]
+    assert not plain
+    assert spark.read.parquet(f"{target}/sales_transactions.parquet").count() == tables.customer_sales.count()
