@@ -298,7 +298,7 @@ def _(t):
 def importance_of(t):
     prepared = prepared_of(t)
     trees = specs("RandomForest", "BoostedDepthwise", "BoostedLeafy", "BoostedSampled")
-    results = tr.train_all(prepared, trees, folds=0)
+    results = tr.train_all(prepared, trees, folds=0, every=True)
     return [r.name for r in results], tr.feature_importance(t.spark, results, prepared.names)
 
 

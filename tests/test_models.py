@@ -162,6 +162,28 @@ def test_a_fold_without_rows_is_a_failure(spark):
         tr.fold_rmse([tree], prepared, 4)
 
 
+def planted(spark, monkeypatch, bad):
+    """Small models under the names of the tree models, one of which cannot be fitted; runs queries on them."""
+    from types import SimpleNamespace
+
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from shelfline.catalog import REGISTRY, forecasting
+    df, *_ = training_frame(spark, 120)
+    prepared = tr.prepare(df, ["a", "b", "c"])
+    good = [tr.Spec(f, lambda n, s, k=k: DecisionTreeRegressor(labelCol=tr.TARGET, featuresCol="features", maxDepth=k))
+            for k, f in enumerate(["RandomForest", "BoostedDepthwise"], 1)]
+    monkeypatch.setattr(tr, "model_specs", lambda: [tr.Spec("BoostedLeafy", lambda n, s: bad), *good])
+    monkeypatch.setattr(forecasting, "prepared_of", lambda t, features=None: prepared)
+    return lambda name: REGISTRY[name].run(SimpleNamespace(spark=spark)).collect()
+
+
+@pytest.mark.parametrize("name", ["feature_importance", "feature_importance_by_model"])
+def test_importance_does_not_pass_over_a_failed_model(spark, monkeypatch, name):
+    run = planted(spark, monkeypatch, Unfit())
+    with pytest.raises(tr.TrainingFailed, match="1 of 3 fits failed: BoostedLeafy: RuntimeError: no such rows"):
+        run(name)
+
+
 def test_tree_importance(spark):
     df, *_ = training_frame(spark, 300)
     prepared = tr.prepare(df, ["a", "b", "c"])
