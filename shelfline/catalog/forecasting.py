@@ -234,7 +234,7 @@ _linear_query("train_lasso_single", "Lasso", "daily", ONE_SQL, [ONE_FEATURE])
 def _training_query(name, *models):
     @query(name)
     def _(t):
-        return tr.results_summary(t.spark, tr.train_all(prepared_of(t), specs(*models), folds=0))
+        return tr.results_summary(t.spark, tr.train_all(prepared_of(t), specs(*models), folds=0, every=True))
 
 
 _training_query("train_random_forest", "RandomForest")
@@ -260,12 +260,12 @@ def _(t):
 
 @query("train_all")
 def _(t):
-    return tr.metrics_frame(t.spark, tr.train_all(prepared_of(t), folds=0))
+    return tr.metrics_frame(t.spark, tr.train_all(prepared_of(t), folds=0, every=True))
 
 
 @query("results_summary")
 def _(t):
-    return tr.results_summary(t.spark, tr.train_all(prepared_of(t)))
+    return tr.results_summary(t.spark, tr.train_all(prepared_of(t), every=True))
 
 
 @query("save_load_models", TABLE_VIEWS, f"""WITH {TABLE_CTES}, t AS ({TABLE_SELECT})
@@ -274,7 +274,7 @@ def _(t):
     # Stored, loaded again and applied to every row: the reloaded best model predicts what the fitted one does.
     features, path = features_of(t), fresh_path(t.spark, "models")
     prepared = prepared_of(t, features)
-    results = tr.train_all(prepared, folds=0)
+    results = tr.train_all(prepared, folds=0, every=True)
     best = tr.best_of(t.spark, results)
     tr.save_models(t.spark, results, path, best.name, prepared.names)
     _, model, names = tr.load_best(t.spark, path)
@@ -289,7 +289,7 @@ def _(t):
     features = features_of(t)
     prepared = prepared_of(t, features)
     out = tr.training_job(t.spark, t.series_sales, t.calendar, t.series_stores, t.series_products, t.series_weather,
-                          t.series_promotions, save_features=True, done=(features, prepared, tr.train_all(prepared)))
+                          t.series_promotions, save_features=True, done=(features, prepared, tr.train_all(prepared, every=True)))
     keys = ["feature_rows", "features", "models_trained", "best_model", "best_rmse", "train_rows", "test_rows"]
     return t.spark.createDataFrame([tuple(out[k] for k in keys)],
                                    "feature_rows BIGINT, features INT, models_trained INT, best_model STRING, best_rmse DOUBLE, train_rows BIGINT, test_rows BIGINT")
@@ -316,7 +316,7 @@ def _(t):
 @query("learning_curve")
 def _(t):
     prepared = prepared_of(t)
-    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0))
+    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0, every=True))
     return tr.learning_curve(t.spark, specs(best.name)[0], prepared)
 
 
@@ -374,7 +374,7 @@ def _(t):
 def _(t):
     features = features_of(t)
     prepared = prepared_of(t, features)
-    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0))
+    best = tr.best_of(t.spark, tr.train_all(prepared, folds=0, every=True))
     return fc.score_batch(requests_of(features), features, best.model, best.name, prepared.names, given="given")
 
 

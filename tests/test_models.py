@@ -184,6 +184,22 @@ def test_importance_does_not_pass_over_a_failed_model(spark, monkeypatch, name):
         run(name)
 
 
+@pytest.mark.parametrize("name", ["results_summary", "train_all", "train_gbt", "learning_curve"])
+def test_summaries_do_not_pass_over_a_failed_model(spark, monkeypatch, name):
+    bad = Unfit()
+    run = planted(spark, monkeypatch, bad)
+    with pytest.raises(tr.TrainingFailed, match="fits failed: BoostedLeafy: RuntimeError: no such rows"):
+        run(name)
+    assert bad.asked == 1
+
+
+def test_summary_has_every_model(spark, monkeypatch):
+    from pyspark.ml.regression import DecisionTreeRegressor
+    fit = DecisionTreeRegressor(labelCol=tr.TARGET, featuresCol="features", maxDepth=3)
+    rows = planted(spark, monkeypatch, fit)("results_summary")
+    assert {r.Model for r in rows} == {"BoostedLeafy", "RandomForest", "BoostedDepthwise"} and all(None not in r for r in rows)
+
+
 def test_tree_importance(spark):
     df, *_ = training_frame(spark, 300)
     prepared = tr.prepare(df, ["a", "b", "c"])
